@@ -24,7 +24,18 @@ from burstwatch.operators import (  # noqa: E402
 from burstwatch.params import SIX_HOURS  # noqa: E402
 from burstwatch.plans import replay, scored_windows  # noqa: E402
 from burstwatch.schemas import MEASURES, Z_COLUMNS  # noqa: E402
-from burstwatch.sources import load_comments  # noqa: E402
+from burstwatch.sources import (  # noqa: E402
+    labels_as_predictions, load_comments, load_table, with_document_text,
+)
+from burstwatch.operators.evidence import (  # noqa: E402
+    alert_comments, alert_evidence, repeat_authors, window_timeline,
+)
+from burstwatch.operators.text import (  # noqa: E402
+    mean_pairwise_cosine, templated_windows, text_similarity, top_keywords,
+)
+from burstwatch.operators.sentiment import with_sentiment  # noqa: E402
+from burstwatch.functions.sentiment import sentiment_score  # noqa: E402
+from burstwatch.session import cut_lineage  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 P = SIX_HOURS
@@ -87,6 +98,82 @@ def _q_explode_alerts(spark, sf_dir):
     return explode_alerts(a)
 
 
+def _alerts_and_comments(spark, sf_dir):
+    """Alert windows (materialised in the checkpoint folder: they are reused
+    and counted before broadcasting) and the comments of those windows."""
+    comments = load_comments(spark, sf_dir)
+    alerts = cut_lineage(detect_patterns(scored_windows(comments, P), P))
+    return alerts, alert_comments(comments, alerts, P)
+
+
+def _q_alert_comments(spark, sf_dir):
+    _prepare(spark)
+    _, ac = _alerts_and_comments(spark, sf_dir)
+    ac = ac.select("video_id", "window_start", "comment_id", "author_id", "text",
+                   "published_at", "sentiment")
+    return _round(ac, ["sentiment"], OQ.D)
+
+
+def _q_window_timeline(spark, sf_dir):
+    _prepare(spark)
+    _, ac = _alerts_and_comments(spark, sf_dir)
+    return window_timeline(ac, P)
+
+
+def _q_repeat_authors(spark, sf_dir):
+    _prepare(spark)
+    _, ac = _alerts_and_comments(spark, sf_dir)
+    ra = repeat_authors(ac, P)
+    return ra.select("video_id", "window_start", "rank", "author_id", "comment_count",
+                     F.array_join("samples", "\x1e").alias("samples"), "author_short")
+
+
+def _q_alert_evidence(spark, sf_dir):
+    _prepare(spark)
+    alerts, ac = _alerts_and_comments(spark, sf_dir)
+    return alert_evidence(ac, alerts, P)
+
+
+def _q_mean_pairwise_cosine(spark, sf_dir):
+    emb = load_table(spark, sf_dir, "embeddings")
+    return mean_pairwise_cosine(emb, ["label"], "embedding")
+
+
+def _q_text_similarity(spark, sf_dir):
+    conv = load_table(spark, sf_dir, "conversations")
+    return text_similarity(conv, ["conv_id"], "turn", "text")
+
+
+def _q_top_keywords(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents")
+    top = top_keywords(docs, ["source"], "doc_id", "text", P.top_keywords,
+                       max_df=P.keyword_max_df)
+    return _round(top.select("source", "rank", "term", "score"), ["score"], OQ.D)
+
+
+def _q_templated_windows(spark, sf_dir):
+    _prepare(spark)
+    _, ac = _alerts_and_comments(spark, sf_dir)
+    docs = load_table(spark, sf_dir, "documents")
+    texts = with_document_text(ac.select("video_id", "window_start", "comment_id",
+                                         "published_at", "text"), docs)
+    tw = templated_windows(texts, P)
+    return tw.select("video_id", "window_start", "n_items", "similarity", "templated",
+                     F.array_join("keywords", ",").alias("keywords"))
+
+
+def _q_sentiment_score(spark, sf_dir):
+    pred = labels_as_predictions(load_table(spark, sf_dir, "labels"))
+    return pred.withColumn("sentiment", sentiment_score(F.col("label"), F.col("score"),
+                                                        P.positive_label))
+
+
+def _q_with_sentiment(spark, sf_dir):
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = with_sentiment(docs, "text", params=P, keep_prediction=True)
+    return _round(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"], OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -95,6 +182,16 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "detect_patterns": (_q_detect_patterns, OQ.q_detect_patterns()),
     "explode_alerts": (_q_explode_alerts, OQ.q_explode_alerts()),
     "replay": (_q_replay, OQ.q_replay()),
+    "alert_comments": (_q_alert_comments, OQ.q_alert_comments()),
+    "window_timeline": (_q_window_timeline, OQ.q_window_timeline()),
+    "repeat_authors": (_q_repeat_authors, OQ.q_repeat_authors()),
+    "alert_evidence": (_q_alert_evidence, OQ.q_alert_evidence()),
+    "mean_pairwise_cosine": (_q_mean_pairwise_cosine, OQ.q_mean_pairwise_cosine()),
+    "text_similarity": (_q_text_similarity, OQ.q_text_similarity()),
+    "top_keywords": (_q_top_keywords, OQ.q_top_keywords()),
+    "templated_windows": (_q_templated_windows, OQ.q_templated_windows()),
+    "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score()),
+    "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment()),
 }
 
 

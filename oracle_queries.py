@@ -197,3 +197,209 @@ def q_explode_alerts(p: Params = SIX_HOURS) -> str:
     return f"""WITH {scored_ctes(p)},
 {alerts_cte(p)}
 """ + "\nUNION ALL\n".join(parts)
+
+
+# ---------------------------------------------------------------- evidence
+
+def _alert_comments_ctes(p: Params = SIX_HOURS) -> str:
+    L = p.window_seconds
+    return f"""{scored_ctes(p)},
+{alerts_cte(p)},
+ak AS (SELECT DISTINCT video_id, w, concentration_z FROM a),
+ac AS (SELECT c.*, c.sec - (c.sec % {L}) AS w, make_timestamp(c.sec * 1000000) AS published_at
+       FROM c JOIN ak ON c.video_id = ak.video_id AND c.sec - (c.sec % {L}) = ak.w)"""
+
+
+def q_alert_comments(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_alert_comments_ctes(p)}
+SELECT video_id, make_timestamp(w * 1000000) AS window_start, comment_id, author_id, text,
+       published_at, round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment
+FROM ac"""
+
+
+def _timeline_cte(p: Params, src: str = "ac") -> str:
+    return f"""tl AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY video_id, w ORDER BY sec, comment_id) AS rank
+    FROM {src}) WHERE rank <= {p.timeline_limit})"""
+
+
+def q_window_timeline(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_alert_comments_ctes(p)},
+{_timeline_cte(p)}
+SELECT video_id, make_timestamp(w * 1000000) AS window_start, rank, comment_id, published_at,
+       author_id, text, substr(author_id, 1, {p.author_display}) AS author_short,
+       substr(text, 1, {p.timeline_display}) AS text_short
+FROM tl"""
+
+
+def _repeat_ctes(p: Params, src: str = "ac") -> str:
+    return f"""cnt AS (
+  SELECT video_id, w, author_id, count(*) AS comment_count FROM {src}
+  GROUP BY video_id, w, author_id HAVING count(*) > 1),
+top AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY video_id, w
+                                 ORDER BY comment_count DESC, author_id ASC NULLS LAST) AS rank
+    FROM cnt) WHERE rank <= {p.spammer_limit}),
+smp AS (
+  SELECT * FROM (
+    SELECT video_id, w, author_id, text,
+           row_number() OVER (PARTITION BY video_id, w, author_id ORDER BY sec, comment_id) AS sn
+    FROM {src}) WHERE sn <= {p.spammer_samples}),
+ra AS (
+  SELECT top.video_id, top.w, top.rank, top.author_id, top.comment_count, smp.sn, smp.text
+  FROM top JOIN smp ON top.video_id = smp.video_id AND top.w = smp.w
+                   AND top.author_id IS NOT DISTINCT FROM smp.author_id)"""
+
+
+def q_repeat_authors(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_alert_comments_ctes(p)},
+{_repeat_ctes(p)}
+SELECT video_id, make_timestamp(w * 1000000) AS window_start, rank, author_id, comment_count,
+       string_agg(text, chr(30) ORDER BY sn) AS samples,
+       substr(author_id, 1, {p.author_display}) AS author_short
+FROM ra GROUP BY video_id, w, rank, author_id, comment_count"""
+
+
+def q_alert_evidence(p: Params = SIX_HOURS) -> str:
+    spam = f"concentration_z > {_dbl(p.spam_concentration_z)}"
+    return f"""WITH {_alert_comments_ctes(p)},
+kinds AS (SELECT DISTINCT video_id, w, CASE WHEN {spam} THEN 'repeat_authors' ELSE 'timeline' END AS kind
+          FROM ak),
+acs AS (SELECT ac.* FROM ac JOIN kinds USING (video_id, w) WHERE kind = 'repeat_authors'),
+act AS (SELECT ac.* FROM ac JOIN kinds USING (video_id, w) WHERE kind = 'timeline'),
+{_repeat_ctes(p, 'acs')},
+{_timeline_cte(p, 'act')}
+SELECT video_id, make_timestamp(w * 1000000) AS window_start, 'repeat_authors' AS evidence_kind,
+       rank, CAST(sn AS INTEGER) AS sample_no, author_id, comment_count,
+       CAST(NULL AS TIMESTAMP) AS published_at, text
+FROM ra
+UNION ALL
+SELECT video_id, make_timestamp(w * 1000000), 'timeline', rank, CAST(NULL AS INTEGER), author_id,
+       CAST(NULL AS BIGINT), published_at, text
+FROM tl"""
+
+
+# ---------------------------------------------------------------- text
+
+TOKEN_RE = r"[\p{L}\p{N}_]{2,}"
+
+
+def _tokens_sql(text: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({text}, '')), '{TOKEN_RE}')"
+
+
+def q_mean_pairwise_cosine() -> str:
+    return """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+pairs AS (SELECT a.label, list_cosine_similarity(a.v, b.v) AS cos
+          FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id),
+sizes AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+agg AS (SELECT label, sum(cos) AS s FROM pairs GROUP BY label)
+SELECT label, n AS n_items,
+       CASE WHEN n < 2 THEN CAST(0 AS DOUBLE) ELSE round(coalesce(s, 0) / (n * (n - 1) / 2), 4) END
+         AS similarity
+FROM sizes LEFT JOIN agg USING (label)"""
+
+
+def _bow_pairs_sql(src: str, key: str, doc: str, text: str) -> str:
+    """CTEs tk, tf, nrm, u, pr, sz over a relation ``src``; ``key`` is the group column."""
+    return f"""tk AS (SELECT {key}, {doc} AS doc, unnest({_tokens_sql(text)}) AS term FROM {src}),
+tf AS (SELECT {key}, doc, term, count(*) AS tf FROM tk GROUP BY ALL),
+nrm AS (SELECT {key}, doc, sqrt(sum(tf * tf)) AS norm FROM tf GROUP BY ALL),
+u AS (SELECT tf.{key}, tf.doc, term, tf / norm AS u FROM tf JOIN nrm USING ({key}, doc)),
+pr AS (SELECT a.{key}, sum(a.u * b.u) AS s FROM u a JOIN u b
+       ON a.{key} = b.{key} AND a.term = b.term AND a.doc < b.doc GROUP BY a.{key}),
+sz AS (SELECT {key}, count(*) AS n FROM {src} GROUP BY ALL)"""
+
+
+def _sim_select(key: str) -> str:
+    return f"""SELECT {key}, n AS n_items,
+       CASE WHEN n < 2 THEN CAST(0 AS DOUBLE) ELSE round(coalesce(s, 0) / (n * (n - 1) / 2), 4) END
+         AS similarity
+FROM sz LEFT JOIN pr USING ({key})"""
+
+
+def q_text_similarity() -> str:
+    return f"""WITH {_bow_pairs_sql('conversations', 'conv_id', 'turn', 'text')}
+{_sim_select('conv_id')}"""
+
+
+def _stop_list() -> str:
+    from burstwatch.functions.text import english_stop_words
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words())
+
+
+def _keyword_ctes(src: str, key: str, doc: str, text: str, p: Params = SIX_HOURS) -> str:
+    return f"""ktk AS (SELECT {key}, {doc} AS doc, unnest({_tokens_sql(text)}) AS term FROM {src}),
+ktf AS (SELECT {key}, doc, term, count(*) AS tf FROM ktk WHERE term NOT IN ({_stop_list()})
+        GROUP BY ALL),
+ksz AS (SELECT {key}, count(*) AS n FROM {src} GROUP BY ALL HAVING count(*) >= 2),
+kdf AS (SELECT {key}, term, count(*) AS df FROM ktf GROUP BY ALL),
+kvoc AS (SELECT kdf.{key}, term, ln((1 + n) / (1 + df)) + 1 AS idf FROM kdf JOIN ksz USING ({key})
+         WHERE df <= {_dbl(p.keyword_max_df)} * n),
+kw AS (SELECT ktf.{key}, doc, term, tf * idf AS w FROM ktf JOIN kvoc USING ({key}, term)),
+knrm AS (SELECT {key}, doc, sqrt(sum(w * w)) AS norm FROM kw GROUP BY ALL),
+ksc AS (SELECT kw.{key}, term, sum(w / norm) AS score FROM kw JOIN knrm USING ({key}, doc)
+        GROUP BY ALL),
+ktop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, term)
+                        AS rank FROM ksc) WHERE rank <= {p.top_keywords})"""
+
+
+def q_top_keywords(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_keyword_ctes('documents', 'source', 'doc_id', 'text', p)}
+SELECT source, rank, term, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score FROM ktop"""
+
+
+def q_templated_windows(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_alert_comments_ctes(p)},
+docs AS (SELECT doc_id, coalesce(text, '') AS dtext FROM documents),
+act AS (SELECT ac.*, coalesce(docs.dtext, '') AS dtext FROM ac LEFT JOIN docs
+        ON docs.doc_id = CAST(ac.comment_id AS BIGINT) % (SELECT count(*) FROM documents)),
+smpl AS (SELECT video_id || '|' || CAST(w AS VARCHAR) AS gk, video_id, w, comment_id, dtext FROM (
+           SELECT *, row_number() OVER (PARTITION BY video_id, w ORDER BY sec, comment_id) AS rn
+           FROM act) WHERE rn <= {p.similarity_sample}),
+{_bow_pairs_sql('smpl', 'gk', 'comment_id', 'dtext')},
+sim AS ({_sim_select('gk')}),
+hot AS (SELECT smpl.* FROM smpl JOIN sim USING (gk) WHERE sim.similarity > {_dbl(p.similarity_threshold)}),
+{_keyword_ctes('hot', 'gk', 'comment_id', 'dtext', p)},
+kl AS (SELECT gk, string_agg(term, ',' ORDER BY rank) AS keywords FROM ktop GROUP BY gk),
+gkeys AS (SELECT DISTINCT gk, video_id, w FROM smpl)
+SELECT gkeys.video_id, make_timestamp(gkeys.w * 1000000) AS window_start, sim.n_items, sim.similarity,
+       sim.similarity > {_dbl(p.similarity_threshold)} AS templated,
+       CASE WHEN sim.similarity > {_dbl(p.similarity_threshold)} THEN coalesce(kl.keywords, '') END
+         AS keywords
+FROM sim JOIN gkeys USING (gk) LEFT JOIN kl USING (gk)"""
+
+
+# ---------------------------------------------------------------- sentiment
+
+def q_sentiment_score(p: Params = SIX_HOURS) -> str:
+    return f"""SELECT doc_id, label, score,
+       ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 AS sentiment
+FROM (SELECT doc_id, CASE WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS label,
+             0.5 + (doc_id % 50) / 100.0 AS score FROM labels)"""
+
+
+def q_with_sentiment(p: Params = SIX_HOURS) -> str:
+    from burstwatch.operators.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
+    pos = ", ".join(f"'{w}'" for w in POSITIVE_WORDS)
+    neg = ", ".join(f"'{w}'" for w in NEGATIVE_WORDS)
+    toks = _tokens_sql("text")
+    return f"""WITH t AS (
+  SELECT doc_id, text,
+         regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') = '' AS blank,
+         len(list_filter({toks}, lambda x: x IN ({pos}))) AS pos,
+         len(list_filter({toks}, lambda x: x IN ({neg}))) AS neg
+  FROM documents),
+l AS (SELECT doc_id, blank,
+             CASE WHEN blank THEN NULL WHEN pos > neg THEN 'POSITIVE' WHEN neg > pos THEN 'NEGATIVE'
+                  ELSE 'NEUTRAL' END AS label,
+             CASE WHEN blank THEN NULL ELSE CAST(greatest(pos, neg) + 1 AS DOUBLE) / (pos + neg + 2) END
+               AS score
+      FROM t)
+SELECT doc_id, label, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score,
+       round(CASE WHEN blank THEN CAST(0 AS DOUBLE)
+             ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END
+             * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment
+FROM l"""
