@@ -36,6 +36,12 @@ from burstwatch.operators.text import (  # noqa: E402
 from burstwatch.operators.sentiment import with_sentiment  # noqa: E402
 from burstwatch.functions.sentiment import sentiment_score  # noqa: E402
 from burstwatch.session import cut_lineage  # noqa: E402
+from burstwatch.operators import window_metrics_between, with_gaps  # noqa: E402
+from burstwatch.functions.timefn import normalize_timestamp  # noqa: E402
+from burstwatch.sources import (  # noqa: E402
+    comment_pages, delta_since, high_water_marks, insert_ignore_duplicates,
+    pages_from_json, parse_comments, upsert_window_metrics,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 P = SIX_HOURS
@@ -174,6 +180,76 @@ def _q_with_sentiment(spark, sf_dir):
     return _round(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"], OQ.D)
 
 
+def _q_with_gaps(spark, sf_dir):
+    _prepare(spark)
+    g = with_gaps(load_comments(spark, sf_dir), params=P)
+    return g.select("comment_id", "video_id", "published_at", "gap")
+
+
+def _q_window_metrics_between(spark, sf_dir):
+    _prepare(spark)
+    c = load_comments(spark, sf_dir)
+    videos = c.select("video_id").union(spark.createDataFrame([(OQ.QUIET_VIDEO,)], "video_id string"))
+    m = window_metrics_between(c, OQ.BETWEEN[0], OQ.BETWEEN[1], videos=videos)
+    return _round(m, DOUBLE_MEASURES, OQ.D)
+
+
+def _q_parse_comments(spark, sf_dir):
+    _prepare(spark)
+    pages = comment_pages(load_comments(spark, sf_dir))
+    parsed = parse_comments(pages_from_json(pages), fetched_at="2024-02-01 00:00:00")
+    return parsed.select("comment_id", "video_id", "author_id", "text", "published_at")
+
+
+def _q_normalize_timestamp(spark, sf_dir):
+    _prepare(spark)
+    ev = load_table(spark, sf_dir, "events")
+    variant = F.pmod(F.col("event_id"), F.lit(4)).cast("int")
+    raw = (F.when(variant == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+           .when(variant == 1, F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"),
+                                             "yyyy-MM-dd'T'HH:mm:ss.SSS'+02:00'"))
+           .when(variant == 2, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+           .otherwise(F.concat(F.lit("not a time "), F.col("props"))))
+    return ev.select("event_id", variant.alias("variant"),
+                     normalize_timestamp(raw).alias("published_at"))
+
+
+def _split(spark, sf_dir):
+    c = load_comments(spark, sf_dir)
+    old = c.filter(F.col("published_at") < F.lit(OQ.SPLIT_OLD_BEFORE).cast("timestamp"))
+    new = c.filter(F.col("published_at") >= F.lit(OQ.SPLIT_NEW_FROM).cast("timestamp"))
+    return c, old, new
+
+
+def _q_high_water_marks(spark, sf_dir):
+    _prepare(spark)
+    _, old, _ = _split(spark, sf_dir)
+    return high_water_marks(old)
+
+
+def _q_delta_since(spark, sf_dir):
+    _prepare(spark)
+    c, old, _ = _split(spark, sf_dir)
+    return delta_since(c, high_water_marks(old)).select("comment_id", "video_id", "published_at")
+
+
+def _q_append_ignore_duplicates(spark, sf_dir):
+    _prepare(spark)
+    _, old, new = _split(spark, sf_dir)
+    lo, hi = (F.lit(x).cast("timestamp") for x in OQ.REFETCH)
+    refetched = (new.filter(F.col("published_at").between(lo, hi))
+                 .withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 DAY")))
+    table = insert_ignore_duplicates(old, new.unionByName(refetched))
+    return _round(table, ["sentiment"], OQ.D)
+
+
+def _q_upsert_window_metrics(spark, sf_dir):
+    _prepare(spark)
+    _, old, new = _split(spark, sf_dir)
+    table = upsert_window_metrics(replay(old, P), replay(new, P))
+    return _round(table, DOUBLE_MEASURES, OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -192,6 +268,14 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "templated_windows": (_q_templated_windows, OQ.q_templated_windows()),
     "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score()),
     "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment()),
+    "with_gaps": (_q_with_gaps, OQ.q_with_gaps()),
+    "window_metrics_between": (_q_window_metrics_between, OQ.q_window_metrics_between()),
+    "parse_comments": (_q_parse_comments, OQ.q_parse_comments()),
+    "normalize_timestamp": (_q_normalize_timestamp, OQ.q_normalize_timestamp()),
+    "high_water_marks": (_q_high_water_marks, OQ.q_high_water_marks()),
+    "delta_since": (_q_delta_since, OQ.q_delta_since()),
+    "append_ignore_duplicates": (_q_append_ignore_duplicates, OQ.q_append_ignore_duplicates()),
+    "upsert_window_metrics": (_q_upsert_window_metrics, OQ.q_upsert_window_metrics()),
 }
 
 

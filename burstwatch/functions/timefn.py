@@ -31,13 +31,8 @@ def window_label(sec: Column, length_seconds: int) -> Column:
 def normalize_timestamp(s: Column) -> Column:
     """ISO-8601 text (``Z``, an offset, or none) or ``YYYY-MM-DD HH:MM:SS`` to a
     UTC instant cut to the second; null when unparseable (callers quarantine).
-    Text without an offset is read as UTC."""
+    Text without an offset is read as UTC, whatever the session zone."""
     txt = F.trim(s)
     has_zone = txt.rlike(r"(Z|z|[+-]\d{2}:?\d{2})$")
     utc_txt = F.when(has_zone, txt).otherwise(F.concat(txt, F.lit("Z")))
-    parsed = F.coalesce(
-        F.try_to_timestamp(utc_txt, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX")),
-        F.try_to_timestamp(utc_txt, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX")),
-        F.try_to_timestamp(utc_txt, F.lit("yyyy-MM-dd'T'HH:mm[.SSSSSS]XXX")),
-    )
-    return F.date_trunc("second", parsed)
+    return F.date_trunc("second", utc_txt.try_cast("timestamp"))

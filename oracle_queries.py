@@ -24,20 +24,21 @@ def _dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def comments_cte() -> str:
-    return """c AS (
+def comments_cte(name: str = "c", where: str = "TRUE") -> str:
+    return f"""{name} AS (
   SELECT CAST(event_id AS VARCHAR) AS comment_id,
          event_type AS video_id,
          CAST(user_id AS VARCHAR) AS author_id,
          coalesce(props, '') AS text,
          greatest(CAST(-1.0 AS DOUBLE), least(CAST(1.0 AS DOUBLE), value / 100 - 1)) AS sentiment,
          CAST(epoch_us(ts) // 1000000 AS BIGINT) AS sec
-  FROM events)"""
+  FROM events WHERE {where})"""
 
 
-def gaps_cte(scope: str = "video", L: int = SIX_HOURS.window_seconds, src: str = "c") -> str:
+def gaps_cte(scope: str = "video", L: int = SIX_HOURS.window_seconds, src: str = "c",
+             name: str = "g") -> str:
     part = "video_id" if scope == "video" else "video_id, sec - (sec % {L})".format(L=L)
-    return f"""g AS (
+    return f"""{name} AS (
   SELECT *, sec - lag(sec) OVER (PARTITION BY {part} ORDER BY sec, comment_id) AS gap,
          sec - (sec % {L}) AS w
   FROM {src})"""
@@ -86,21 +87,21 @@ def _z_expr(value: str, hist: str, floor: float, p: Params) -> str:
             f"ELSE greatest({_dbl(-p.z_cap)}, least({_dbl(p.z_cap)}, {raw})) END")
 
 
-def baseline_cte(p: Params = SIX_HOURS, src: str = "m") -> str:
+def baseline_cte(p: Params = SIX_HOURS, src: str = "m", h: str = "h", b: str = "b") -> str:
     """Two CTEs: h (history lists) and b (z columns)."""
     lists = ",\n         ".join(
         f"list({v}) OVER wf AS h_{k}" for k, (v, _) in ((z, (_SIG[z][0], None)) for z in Z_COLS))
     zs = ",\n         ".join(
         _z_expr(_SIG[z][0], f"h_{z}", p.mad_floors[_SIG[z][1]], p) + f" AS {z}" for z in Z_COLS)
-    return f"""h AS (
+    return f"""{h} AS (
   SELECT *,
          {lists}
   FROM {src}
   WINDOW wf AS (PARTITION BY video_id ORDER BY w ROWS BETWEEN {p.max_windows} PRECEDING AND 1 PRECEDING)),
-b AS (
+{b} AS (
   SELECT video_id, w, window_start, {', '.join(MEASURE_COLS)},
          {zs}
-  FROM h)"""
+  FROM {h})"""
 
 
 def _dampen(z: str, p: Params) -> str:
@@ -118,9 +119,14 @@ def score_expr(p: Params = SIX_HOURS) -> str:
     return f"round({raw}, {p.score_decimals})"
 
 
-def scored_ctes(p: Params = SIX_HOURS, scope: str = "video") -> str:
-    return ",\n".join([comments_cte(), gaps_cte(scope, p.window_seconds), metrics_cte(),
-                       baseline_cte(p), f"s AS (SELECT *, {score_expr(p)} AS coordination_score FROM b)"])
+def scored_ctes(p: Params = SIX_HOURS, scope: str = "video", prefix: str = "",
+                where: str = "TRUE") -> str:
+    """CTEs {prefix}c, g, m, h, b, s: comments .. scored windows."""
+    n = {k: prefix + k for k in "cgmhbs"}
+    return ",\n".join([
+        comments_cte(n["c"], where), gaps_cte(scope, p.window_seconds, n["c"], n["g"]),
+        metrics_cte(n["m"], n["g"]), baseline_cte(p, n["m"], n["h"], n["b"]),
+        f"{n['s']} AS (SELECT *, {score_expr(p)} AS coordination_score FROM {n['b']})"])
 
 
 def _round(cols, d):
@@ -403,3 +409,83 @@ SELECT doc_id, label, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score,
              ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END
              * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment
 FROM l"""
+
+
+# ---------------------------------------------------------------- sources / tables
+
+BETWEEN = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
+SPLIT_OLD_BEFORE = "2024-01-20 00:00:00"   # existing table: comments before this
+SPLIT_NEW_FROM = "2024-01-15 00:00:00"     # new batch: comments from this on
+REFETCH = ("2024-01-18 00:00:00", "2024-01-19 00:00:00")  # fetched twice in the batch
+QUIET_VIDEO = "quiet_video"
+
+
+def q_with_gaps() -> str:
+    return f"""WITH {comments_cte()}
+SELECT comment_id, video_id, make_timestamp(sec * 1000000) AS published_at,
+       sec - lag(sec) OVER (PARTITION BY video_id ORDER BY sec, comment_id) AS gap
+FROM c"""
+
+
+def q_window_metrics_between() -> str:
+    lo, hi = BETWEEN
+    return f"""WITH {comments_cte()},
+gi AS (SELECT *, sec - lag(sec) OVER (PARTITION BY video_id ORDER BY sec, comment_id) AS gap,
+              CAST(epoch(TIMESTAMP '{lo}') AS BIGINT) AS w
+       FROM c WHERE sec BETWEEN epoch(TIMESTAMP '{lo}') AND epoch(TIMESTAMP '{hi}')),
+{metrics_cte('mi', 'gi')},
+vids AS (SELECT DISTINCT video_id FROM c UNION SELECT '{QUIET_VIDEO}')
+SELECT vids.video_id, TIMESTAMP '{lo}' AS window_start,
+       coalesce(total_comments, 0) AS total_comments, coalesce(unique_authors, 0) AS unique_authors,
+       {", ".join(f"round(coalesce({x}, 0) * CAST({NUDGE!r} AS DOUBLE), {D}) AS {x}" for x in DOUBLE_MEASURES)}
+FROM vids LEFT JOIN mi USING (video_id)"""
+
+
+def q_parse_comments() -> str:
+    return f"""WITH {comments_cte()}
+SELECT comment_id, video_id, author_id, text, make_timestamp(sec * 1000000) AS published_at FROM c"""
+
+
+def q_normalize_timestamp() -> str:
+    return """SELECT event_id, CAST(event_id % 4 AS INTEGER) AS variant,
+       CASE WHEN event_id % 4 = 3 THEN NULL ELSE date_trunc('second', ts) END AS published_at
+FROM events"""
+
+
+def q_high_water_marks() -> str:
+    return f"""WITH {comments_cte(where=f"ts < TIMESTAMP '{SPLIT_OLD_BEFORE}'")}
+SELECT video_id, comment_id AS mark_id, make_timestamp(sec * 1000000) AS mark_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec DESC, comment_id DESC) AS rn FROM c)
+WHERE rn = 1"""
+
+
+def q_delta_since() -> str:
+    return f"""WITH {comments_cte()},
+{comments_cte('old', f"ts < TIMESTAMP '{SPLIT_OLD_BEFORE}'")},
+mk AS (SELECT video_id, comment_id AS mark_id, sec AS mark_sec FROM (
+  SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec DESC, comment_id DESC) AS rn FROM old)
+  WHERE rn = 1)
+SELECT c.comment_id, c.video_id, make_timestamp(c.sec * 1000000) AS published_at
+FROM c LEFT JOIN mk USING (video_id)
+WHERE mk.mark_sec IS NULL OR c.sec > mk.mark_sec OR (c.sec = mk.mark_sec AND c.comment_id > mk.mark_id)"""
+
+
+def q_append_ignore_duplicates() -> str:
+    return f"""WITH {comments_cte()}
+SELECT comment_id, video_id, author_id, text,
+       round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment,
+       make_timestamp(sec * 1000000) AS published_at, make_timestamp(sec * 1000000) AS fetched_at
+FROM c"""
+
+
+def q_upsert_window_metrics(p: Params = SIX_HOURS) -> str:
+    old = scored_ctes(p, prefix="o", where=f"ts < TIMESTAMP '{SPLIT_OLD_BEFORE}'")
+    new = scored_ctes(p, prefix="n", where=f"ts >= TIMESTAMP '{SPLIT_NEW_FROM}'")
+    cols = (f"video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}, "
+            f"coalesce(coordination_score, CAST(0 AS DOUBLE)) AS coordination_score")
+    return f"""WITH {old},
+{new}
+SELECT {cols} FROM os WHERE NOT EXISTS (
+  SELECT 1 FROM ns WHERE ns.video_id = os.video_id AND ns.w = os.w)
+UNION ALL
+SELECT {cols} FROM ns"""
