@@ -250,6 +250,27 @@ def _q_upsert_window_metrics(spark, sf_dir):
     return _round(table, DOUBLE_MEASURES, OQ.D)
 
 
+def _q_stream_replay(spark, sf_dir):
+    """The live path over the whole events table as a file stream: stream
+    windows -> stateful baseline -> upsert sink; returns the sink table.
+    The last window of each video stays open (watermark), as in any stream."""
+    import uuid
+
+    from burstwatch.session import ensure_checkpoint_dir
+    from burstwatch.sources.adapters import comments_from_events
+    from burstwatch.streaming import stream_comments, stream_pipeline, stream_sink
+
+    _prepare(spark)
+    schema = load_table(spark, sf_dir, "events").schema
+    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    scored = stream_pipeline(comments_from_events(src), P, watermark="1 hour")
+    root = f"{ensure_checkpoint_dir(spark)}/stream-replay-{uuid.uuid4().hex}"
+    q = stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    table = spark.read.parquet(f"{root}/table").drop("window_date")
+    return _round(table, DOUBLE_MEASURES, OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -276,6 +297,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "delta_since": (_q_delta_since, OQ.q_delta_since()),
     "append_ignore_duplicates": (_q_append_ignore_duplicates, OQ.q_append_ignore_duplicates()),
     "upsert_window_metrics": (_q_upsert_window_metrics, OQ.q_upsert_window_metrics()),
+    "stream_replay": (_q_stream_replay, OQ.q_stream_replay()),
 }
 
 

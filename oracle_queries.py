@@ -489,3 +489,12 @@ SELECT {cols} FROM os WHERE NOT EXISTS (
   SELECT 1 FROM ns WHERE ns.video_id = os.video_id AND ns.w = os.w)
 UNION ALL
 SELECT {cols} FROM ns"""
+
+
+def q_stream_replay(p: Params = SIX_HOURS) -> str:
+    """Batch scored windows minus each video's last (still open) window."""
+    return f"""WITH {scored_ctes(p)}
+SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
+       coordination_score
+FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY w DESC) AS rn_desc FROM s)
+WHERE rn_desc > 1"""
