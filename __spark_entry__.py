@@ -263,7 +263,8 @@ def _q_stream_replay(spark, sf_dir):
     _prepare(spark)
     schema = load_table(spark, sf_dir, "events").schema
     src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
-    scored = stream_pipeline(comments_from_events(src), P, watermark="1 hour")
+    scored = stream_pipeline(comments_from_events(src), P,
+                             watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
     root = f"{ensure_checkpoint_dir(spark)}/stream-replay-{uuid.uuid4().hex}"
     q = stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()

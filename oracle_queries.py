@@ -491,10 +491,13 @@ UNION ALL
 SELECT {cols} FROM ns"""
 
 
+STREAM_WATERMARK_SECONDS = 3600
+
+
 def q_stream_replay(p: Params = SIX_HOURS) -> str:
-    """Batch scored windows minus each video's last (still open) window."""
+    """Batch scored windows the stream has closed: window end at or before the
+    global watermark (newest event second minus the delay)."""
     return f"""WITH {scored_ctes(p)}
 SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
        coordination_score
-FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY w DESC) AS rn_desc FROM s)
-WHERE rn_desc > 1"""
+FROM s WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
