@@ -54,4 +54,5 @@ def robust_z_expr(value: Column, history: Column, floor: float,
 
 def dampen(z: Column, noise_floor: float = 1.2, factor: float = 0.1) -> Column:
     """abs(z) when it exceeds the noise floor, else a tenth of it."""
-    return let(F.abs(z), lambda a: F.when(a > noise_floor, a).otherwise(a * factor))
+    a = F.abs(z)
+    return F.when(a > noise_floor, a).otherwise(a * factor)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstwatch.functions.text import english_stop_words, tokens
+from burstwatch.operators.parallel import spread
 from burstwatch.params import DEFAULT, Params
 
 
@@ -53,8 +54,8 @@ def mean_pairwise_cosine(df: DataFrame, group_cols: Sequence[str], vector_col: s
 def term_counts(df: DataFrame, keys: Sequence[str], doc_col: str, text_col: str) -> DataFrame:
     """(keys, doc, term, tf) over whole texts."""
     keys = list(keys)
-    return (df.select(*keys, F.col(doc_col).alias("_doc"),
-                      F.explode(tokens(F.col(text_col))).alias("term"))
+    rows = spread(df.select(*keys, F.col(doc_col).alias("_doc"), F.col(text_col).alias("_text")))
+    return (rows.select(*keys, "_doc", F.explode(tokens(F.col("_text"))).alias("term"))
             .groupBy(*keys, "_doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -70,10 +71,9 @@ def text_similarity(df: DataFrame, group_cols: Sequence[str], doc_col: str, text
         return mean_pairwise_cosine(df.select(*keys, embed(F.col(text_col)).alias("_e")),
                                     keys, "_e", decimals)
     tf = term_counts(df, keys, doc_col, text_col)
-    norms = tf.groupBy(*keys, "_doc").agg(
-        F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("_norm"))
-    units = tf.join(norms, [*keys, "_doc"]).select(
-        *keys, "term", (F.col("tf") / F.col("_norm")).alias("_u"))
+    per_doc = Window.partitionBy(*keys, "_doc")
+    units = tf.select(*keys, "term", (F.col("tf") / F.sqrt(
+        F.sum(F.col("tf") * F.col("tf")).over(per_doc))).alias("_u"))
     per_term = units.groupBy(*keys, "term").agg(F.sum("_u").alias("_s"),
                                                 F.sum(F.col("_u") * F.col("_u")).alias("_uu"))
     sums = per_term.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s")).alias("_ss"),
@@ -93,15 +93,18 @@ def keyword_scores(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_
     tf = term_counts(df, keys, doc_col, text_col)
     if stops:
         tf = tf.filter(~F.col("term").isin(stops))
-    dfreq = tf.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("_df"))
+    # counting rows with tf > 0 (all of them) keeps this branch's input
+    # identical to the others, so the tokenised term counts are computed once
+    # and their exchange reused
+    dfreq = tf.groupBy(*keys, "term").agg(F.count(F.when(F.col("tf") > 0, True)).alias("_df"))
     vocab = (dfreq.join(sizes, keys)
              .filter(F.col("_df") <= F.lit(max_df) * F.col("_n"))
              .select(*keys, "term",
                      (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf")))
     w = tf.join(vocab, [*keys, "term"]).select(
         *keys, "_doc", "term", (F.col("tf") * F.col("_idf")).alias("_w"))
-    norms = w.groupBy(*keys, "_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return (w.join(norms, [*keys, "_doc"])
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*keys, "_doc")))
+    return (w.withColumn("_norm", norm)
             .groupBy(*keys, "term").agg(F.sum(F.col("_w") / F.col("_norm")).alias("score")))
 
 
