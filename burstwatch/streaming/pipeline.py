@@ -27,7 +27,7 @@ from burstwatch.functions.stats import robust_z_expr
 from burstwatch.operators.windows import window_metrics
 from burstwatch.params import DEFAULT, Params
 from burstwatch.schemas import MEASURES
-from burstwatch.session import ensure_checkpoint_dir
+from burstwatch.session import ensure_checkpoint_dir, ship_package
 
 _SIG_NAMES = [f for _, f, _ in SIGNALS]
 
@@ -210,6 +210,7 @@ def stream_baseline(window_sums: DataFrame, params: Params = DEFAULT,
     columns and the coordination score (null during warm-up)."""
     p = params
     use_rocksdb_state(window_sums.sparkSession)
+    ship_package(window_sums.sparkSession)
     based = window_sums.groupBy("video_id").transformWithStateInPandas(
         statefulProcessor=BaselineProcessor(p.max_windows),
         outputStructType=BASELINE_OUT, outputMode="Append", timeMode="None",
