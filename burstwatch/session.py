@@ -60,13 +60,20 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``burstwatch`` importable in Python workers (stateful streaming
+    """Make ``burstwatch`` available to Python workers (stateful streaming
     processors, batch model UDFs) wherever the driver runs from: the package
     is zipped once per application and handed to ``addPyFile``, which
-    distributes it to every executor."""
+    distributes it to every executor, and its code is pickled by value."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    # Some Python runners (the planning-time runner of transformWithState)
+    # start without the added files on their path: pickle our classes and
+    # functions by value so no import of the package is needed there.
+    import burstwatch
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(burstwatch)
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="burstwatch-pkg-"), "burstwatch.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
