@@ -31,7 +31,7 @@ from burstwatch.operators.evidence import (  # noqa: E402
     alert_comments, alert_evidence, repeat_authors, window_timeline,
 )
 from burstwatch.operators.text import (  # noqa: E402
-    mean_pairwise_cosine, templated_windows, text_similarity, top_keywords,
+    first_n, mean_pairwise_cosine, templated_windows, text_similarity, top_keywords,
 )
 from burstwatch.operators.sentiment import with_sentiment  # noqa: E402
 from burstwatch.functions.sentiment import sentiment_score  # noqa: E402
@@ -161,9 +161,12 @@ def _q_templated_windows(spark, sf_dir):
     _prepare(spark)
     _, ac = _alerts_and_comments(spark, sf_dir)
     docs = load_table(spark, sf_dir, "documents")
-    texts = with_document_text(ac.select("video_id", "window_start", "comment_id",
-                                         "published_at", "text"), docs)
-    tw = templated_windows(texts, P)
+    keys = ["video_id", "window_start"]
+    # the check reads only the first comments of each window: take them
+    # before fetching their texts
+    sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
+                     ["published_at", "comment_id"], P.similarity_sample).drop("rank")
+    tw = templated_windows(with_document_text(sample, docs), P)
     return tw.select("video_id", "window_start", "n_items", "similarity", "templated",
                      F.array_join("keywords", ",").alias("keywords"))
 

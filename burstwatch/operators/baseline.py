@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from burstwatch.functions.stats import dampen, robust_z_expr
+from burstwatch.functions.stats import dampen, robust_z_sql
 from burstwatch.params import DEFAULT, Params
 
 # (z column, signal name in the history struct, MAD floor key)
@@ -53,13 +53,11 @@ def rolling_baseline(metrics: DataFrame, params: Params = DEFAULT) -> DataFrame:
              .rowsBetween(-p.max_windows, -1))
     df = (metrics.withColumn("_sig", _signals())
           .withColumn("_hist", F.collect_list("_sig").over(frame)))
-    warm = F.size("_hist") >= p.warmup
     zs = []
     for z_name, field, floor_key in SIGNALS:
-        z = robust_z_expr(F.col("_sig").getField(field),
-                          F.transform(F.col("_hist"), _field_getter(field)),
-                          p.mad_floors[floor_key], p.mad_constant, p.z_cap, p.min_history)
-        zs.append(F.when(warm, z).alias(z_name))
+        z = robust_z_sql(f"_sig.`{field}`", f"transform(_hist, s_{field} -> s_{field}.`{field}`)",
+                         p.mad_floors[floor_key], p.mad_constant, p.z_cap, p.min_history, tag=field)
+        zs.append(F.expr(f"CASE WHEN size(_hist) >= {int(p.warmup)} THEN {z} END").alias(z_name))
     return df.select(*metrics.columns, *zs)
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all cores when it arrives in fewer partitions
-    than there are cores (e.g. one large unsplittable file); otherwise leave
-    it alone. Used before per-row work such as tokenising whole texts, where
-    a single input split would leave the cluster idle. With a normally split
-    large input this is a no-op (no extra shuffle)."""
+    """Round-robin a *scanned* table over all cores when it arrives in fewer
+    partitions than there are cores (e.g. one large unsplittable file);
+    otherwise leave it alone. Meant for text tables right after the scan,
+    before per-row work such as tokenising whole texts. With a normally split
+    large input this is a no-op (no extra shuffle). Call it on scans only:
+    on a plan with shuffles, asking for the partition count runs them."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)

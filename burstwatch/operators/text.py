@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstwatch.functions.text import english_stop_words, tokens
-from burstwatch.operators.parallel import spread
 from burstwatch.params import DEFAULT, Params
 
 
@@ -54,8 +53,7 @@ def mean_pairwise_cosine(df: DataFrame, group_cols: Sequence[str], vector_col: s
 def term_counts(df: DataFrame, keys: Sequence[str], doc_col: str, text_col: str) -> DataFrame:
     """(keys, doc, term, tf) over whole texts."""
     keys = list(keys)
-    rows = spread(df.select(*keys, F.col(doc_col).alias("_doc"), F.col(text_col).alias("_text")))
-    return (rows.select(*keys, "_doc", F.explode(tokens(F.col("_text"))).alias("term"))
+    return (df.select(*keys, F.col(doc_col).alias("_doc"), F.explode(tokens(F.col(text_col))).alias("term"))
             .groupBy(*keys, "_doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 

@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstwatch.functions.timefn import epoch_seconds
+from burstwatch.operators.parallel import spread
+
+
+# Tables whose rows carry whole texts: per-row work on them (tokenising) is
+# heavy, so a scan that arrives in too few splits is spread over the cores.
+TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def comments_from_events(events: DataFrame) -> DataFrame:

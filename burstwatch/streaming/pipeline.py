@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from burstwatch.operators.baseline import SIGNALS, coordination_score
-from burstwatch.functions.stats import robust_z_expr
+from burstwatch.functions.stats import robust_z_sql
 from burstwatch.operators.windows import window_metrics
 from burstwatch.params import DEFAULT, Params
 from burstwatch.schemas import MEASURES
@@ -215,17 +215,16 @@ def stream_baseline(window_sums: DataFrame, params: Params = DEFAULT,
         statefulProcessor=BaselineProcessor(p.max_windows),
         outputStructType=BASELINE_OUT, outputMode="Append", timeMode="None",
         initialState=None if init is None else init.groupBy("video_id"))
-    authors = F.greatest(F.col("unique_authors"), F.lit(1))
+    authors = "greatest(unique_authors, 1)"
     current = {
-        "count": F.col("total_comments").cast("double"), "author": authors.cast("double"),
-        "length": F.col("avg_length"), "sentiment": F.col("avg_sentiment"),
-        "concentration": F.col("total_comments") / authors,
-        "sentiment_var": F.col("sentiment_variance"), "gap": F.col("avg_gap"),
-        "gap_var": F.col("gap_variance"),
+        "count": "CAST(total_comments AS DOUBLE)", "author": f"CAST({authors} AS DOUBLE)",
+        "length": "avg_length", "sentiment": "avg_sentiment",
+        "concentration": f"total_comments / {authors}",
+        "sentiment_var": "sentiment_variance", "gap": "avg_gap", "gap_var": "gap_variance",
     }
-    warm = F.size("hist_count") >= p.warmup
-    zs = [F.when(warm, robust_z_expr(current[f], F.col(f"hist_{f}"), p.mad_floors[fk],
-                                     p.mad_constant, p.z_cap, p.min_history)).alias(z)
+    zs = [F.expr(f"CASE WHEN size(hist_count) >= {int(p.warmup)} THEN "
+                 + robust_z_sql(current[f], f"hist_{f}", p.mad_floors[fk], p.mad_constant,
+                                p.z_cap, p.min_history, tag=f) + " END").alias(z)
           for z, f, fk in SIGNALS]
     scored = based.select("video_id", F.timestamp_seconds("w_sec").alias("window_start"),
                           *MEASURES, *zs)
