@@ -22,7 +22,7 @@ from burstwatch.operators import (  # noqa: E402
     detect_patterns, explode_alerts, window_metrics,
 )
 from burstwatch.params import SIX_HOURS  # noqa: E402
-from burstwatch.plans import replay, scored_windows  # noqa: E402
+from burstwatch.plans import alert_context, replay, scored_windows  # noqa: E402
 from burstwatch.schemas import MEASURES, Z_COLUMNS  # noqa: E402
 from burstwatch.sources import (  # noqa: E402
     labels_as_predictions, load_comments, load_table, with_document_text,
@@ -107,9 +107,7 @@ def _q_explode_alerts(spark, sf_dir):
 def _alerts_and_comments(spark, sf_dir):
     """Alert windows (materialised in the checkpoint folder: they are reused
     and counted before broadcasting) and the comments of those windows."""
-    comments = load_comments(spark, sf_dir)
-    alerts = cut_lineage(detect_patterns(scored_windows(comments, P), P))
-    return alerts, alert_comments(comments, alerts, P)
+    return alert_context(load_comments(spark, sf_dir), P)
 
 
 def _q_alert_comments(spark, sf_dir):

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from burstwatch.functions.text import english_stop_words, tokens
 from burstwatch.params import DEFAULT, Params
+from burstwatch.operators.parallel import spread
+from burstwatch.session import cut_lineage
 
 
 def _group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -68,7 +70,12 @@ def text_similarity(df: DataFrame, group_cols: Sequence[str], doc_col: str, text
     if embed is not None:
         return mean_pairwise_cosine(df.select(*keys, embed(F.col(text_col)).alias("_e")),
                                     keys, "_e", decimals)
-    tf = term_counts(df, keys, doc_col, text_col)
+    return _similarity_from_tf(term_counts(df, keys, doc_col, text_col), _group_sizes(df, keys),
+                               keys, decimals)
+
+
+def _similarity_from_tf(tf: DataFrame, sizes: DataFrame, keys: list[str],
+                        decimals: int | None) -> DataFrame:
     per_doc = Window.partitionBy(*keys, "_doc")
     units = tf.select(*keys, "term", (F.col("tf") / F.sqrt(
         F.sum(F.col("tf") * F.col("tf")).over(per_doc))).alias("_u"))
@@ -76,7 +83,7 @@ def text_similarity(df: DataFrame, group_cols: Sequence[str], doc_col: str, text
                                                 F.sum(F.col("_u") * F.col("_u")).alias("_uu"))
     sums = per_term.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s")).alias("_ss"),
                                        F.sum("_uu").alias("_q"))
-    return _mean_from_sums(sums, _group_sizes(df, keys), keys, decimals)
+    return _mean_from_sums(sums, sizes, keys, decimals)
 
 
 def keyword_scores(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_col: str,
@@ -86,9 +93,14 @@ def keyword_scores(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_
     Stop words and terms in more than ``max_df`` of the documents are
     dropped; groups of fewer than two documents get no terms."""
     keys = list(group_cols)
+    return _keyword_scores_from_tf(term_counts(df, keys, doc_col, text_col),
+                                   _group_sizes(df, keys), keys, stop_words, max_df)
+
+
+def _keyword_scores_from_tf(tf: DataFrame, sizes: DataFrame, keys: list[str],
+                            stop_words: Sequence[str] | None, max_df: float) -> DataFrame:
     stops = list(english_stop_words() if stop_words is None else stop_words)
-    sizes = _group_sizes(df, keys).filter(F.col("_n") >= 2)
-    tf = term_counts(df, keys, doc_col, text_col)
+    sizes = sizes.filter(F.col("_n") >= 2)
     if stops:
         tf = tf.filter(~F.col("term").isin(stops))
     # counting rows with tf > 0 (all of them) keeps this branch's input
@@ -112,7 +124,10 @@ def top_keywords(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_co
     """Top ``top_n`` TF-IDF keywords per group: (keys, rank, term, score).
     Ties are broken by term."""
     keys = list(group_cols)
-    scores = keyword_scores(df, keys, doc_col, text_col, stop_words, max_df)
+    return _top(keyword_scores(df, keys, doc_col, text_col, stop_words, max_df), keys, top_n)
+
+
+def _top(scores: DataFrame, keys: list[str], top_n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "term"))
     return scores.withColumn("rank", rank).filter(F.col("rank") <= top_n)
 
@@ -143,12 +158,23 @@ def templated_windows(window_texts: DataFrame, params: Params = DEFAULT,
     for the comments of the alert windows."""
     p = params
     keys = ["video_id", "window_start"]
-    sample = first_n(window_texts, keys, ["published_at", "comment_id"], p.similarity_sample)
-    sim = text_similarity(sample, keys, "comment_id", "text", decimals=4, embed=embed)
+    # The sample (at most similarity_sample rows per window) is materialised
+    # once and spread over the cores (it is small in bytes but CPU-heavy);
+    # its term counts feed both the similarity and the keywords.
+    sample = spread(cut_lineage(first_n(window_texts, keys, ["published_at", "comment_id"],
+                                        p.similarity_sample)))
+    sizes = _group_sizes(sample, keys)
+    if embed is None:
+        tf = cut_lineage(term_counts(sample, keys, "comment_id", "text"))
+        sim = _similarity_from_tf(tf, sizes, keys, 4)
+    else:
+        sim = text_similarity(sample, keys, "comment_id", "text", decimals=4, embed=embed)
+        tf = term_counts(sample, keys, "comment_id", "text")
     hot = sim.filter(F.col("similarity") > p.similarity_threshold).select(*keys)
-    kw = keyword_lists(
-        top_keywords(sample.join(hot, keys, "left_semi"), keys, "comment_id", "text",
-                     p.top_keywords, max_df=p.keyword_max_df), keys)
+    scores = _keyword_scores_from_tf(tf.join(hot, keys, "left_semi"),
+                                     sizes.join(hot, keys, "left_semi"), keys, None,
+                                     p.keyword_max_df)
+    kw = keyword_lists(_top(scores, keys, p.top_keywords), keys)
     return (sim.join(kw, keys, "left")
             .select(*keys, "n_items", "similarity",
                     (F.col("similarity") > p.similarity_threshold).alias("templated"),

@@ -36,4 +36,20 @@ def replay_alerts(comments: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return detect_patterns(scored, params)
 
 
-__all__ = ["replay", "replay_alerts", "scored_windows", "WINDOW_TABLE_COLUMNS", "Z_COLUMNS"]
+def alert_context(comments: DataFrame, params: Params = DEFAULT,
+                  max_broadcast_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Alert windows and the comments of those windows, both materialised in
+    the shared checkpoint folder: evidence, timeline and text checks all
+    start from these files instead of re-reading the comment table per
+    branch. The alert keys are counted and broadcast under the row bound."""
+    from burstwatch.operators.evidence import alert_comments
+    from burstwatch.operators.joins import MAX_BROADCAST_ROWS
+    from burstwatch.session import cut_lineage
+
+    alerts = cut_lineage(replay_alerts(comments, params))
+    bound = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    window_comments = cut_lineage(alert_comments(comments, alerts, params, bound))
+    return alerts, window_comments
+
+
+__all__ = ["alert_context", "replay", "replay_alerts", "scored_windows", "WINDOW_TABLE_COLUMNS", "Z_COLUMNS"]
