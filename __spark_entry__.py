@@ -22,7 +22,7 @@ from burstwatch.operators import (  # noqa: E402
     detect_patterns, explode_alerts, window_metrics,
 )
 from burstwatch.params import SIX_HOURS  # noqa: E402
-from burstwatch.plans import alert_context, replay, scored_windows  # noqa: E402
+from burstwatch.plans import alert_context, alert_table, replay, scored_windows  # noqa: E402
 from burstwatch.schemas import MEASURES, Z_COLUMNS  # noqa: E402
 from burstwatch.sources import (  # noqa: E402
     labels_as_predictions, load_comments, load_table, with_document_text,
@@ -169,6 +169,19 @@ def _q_templated_windows(spark, sf_dir):
                      F.array_join("keywords", ",").alias("keywords"))
 
 
+def _q_alert_table(spark, sf_dir):
+    """The alerts table: pattern rows with score, similarity, keywords and
+    evidence kind (comment texts from ``documents``)."""
+    _prepare(spark)
+    alerts, ac = _alerts_and_comments(spark, sf_dir)
+    docs = load_table(spark, sf_dir, "documents")
+    keys = ["video_id", "window_start"]
+    sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
+                     ["published_at", "comment_id"], P.similarity_sample).drop("rank")
+    table = alert_table(alerts, with_document_text(sample, docs), P)
+    return table.withColumn("keywords", F.array_join("keywords", ","))
+
+
 def _q_sentiment_score(spark, sf_dir):
     pred = labels_as_predictions(load_table(spark, sf_dir, "labels"))
     return pred.withColumn("sentiment", sentiment_score(F.col("label"), F.col("score"),
@@ -289,6 +302,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "text_similarity": (_q_text_similarity, OQ.q_text_similarity()),
     "top_keywords": (_q_top_keywords, OQ.q_top_keywords()),
     "templated_windows": (_q_templated_windows, OQ.q_templated_windows()),
+    "alert_table": (_q_alert_table, OQ.q_alert_table()),
     "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score()),
     "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment()),
     "with_gaps": (_q_with_gaps, OQ.q_with_gaps()),

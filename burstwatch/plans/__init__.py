@@ -1,3 +1,5 @@
 """Compositions of operators into end-to-end jobs."""
 
-from burstwatch.plans.replay import alert_context, replay, replay_alerts, scored_windows  # noqa: F401
+from burstwatch.plans.replay import (  # noqa: F401
+    alert_context, alert_table, replay, replay_alerts, scored_windows,
+)

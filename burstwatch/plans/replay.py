@@ -52,4 +52,27 @@ def alert_context(comments: DataFrame, params: Params = DEFAULT,
     return alerts, window_comments
 
 
-__all__ = ["alert_context", "replay", "replay_alerts", "scored_windows", "WINDOW_TABLE_COLUMNS", "Z_COLUMNS"]
+def alert_table(alerts: DataFrame, window_texts: DataFrame, params: Params = DEFAULT,
+                embed=None) -> DataFrame:
+    """The alerts table (``schemas.ALERTS``): one row per (window, pattern)
+    with the true score, the templated-text similarity of the window's first
+    comments, keywords when templated, and which evidence the window gets.
+
+    ``alerts``: output of ``detect_patterns``; ``window_texts``: (video_id,
+    window_start, comment_id, published_at, text) of the alert windows."""
+    from pyspark.sql import functions as F
+
+    from burstwatch.operators.patterns import explode_alerts
+    from burstwatch.operators.text import templated_windows
+
+    keys = ["video_id", "window_start"]
+    kind = F.when(F.col("concentration_z") > params.spam_concentration_z,
+                  F.lit("repeat_authors")).otherwise(F.lit("timeline"))
+    kinds = alerts.select(*keys, kind.alias("evidence_kind"))
+    tw = templated_windows(window_texts, params, embed=embed).select(*keys, "similarity", "keywords")
+    return (explode_alerts(alerts).join(kinds, keys).join(tw, keys, "left")
+            .select(*keys, "pattern", "coordination_score", "similarity", "keywords",
+                    "evidence_kind"))
+
+
+__all__ = ["alert_table", "alert_context", "replay", "replay_alerts", "scored_windows", "WINDOW_TABLE_COLUMNS", "Z_COLUMNS"]

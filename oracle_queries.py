@@ -378,6 +378,26 @@ SELECT gkeys.video_id, make_timestamp(gkeys.w * 1000000) AS window_start, sim.n_
 FROM sim JOIN gkeys USING (gk) LEFT JOIN kl USING (gk)"""
 
 
+def q_alert_table(p: Params = SIX_HOURS) -> str:
+    """Pattern rows joined with the templated check and the evidence kind."""
+    tw = q_templated_windows(p)
+    tw_body = tw[len("WITH "):] if tw.startswith("WITH ") else tw
+    # reuse the templated-window CTEs, then add pattern rows and evidence kinds
+    select_at = tw_body.rindex("\nSELECT gkeys.video_id")
+    ctes, final = tw_body[:select_at], tw_body[select_at + 1:]
+    pats = "\nUNION ALL\n".join(
+        f"SELECT video_id, w, coordination_score, concentration_z, '{k}' AS pattern FROM a WHERE {k}"
+        for k in PATTERN_MESSAGES)
+    return f"""WITH {ctes},
+tw AS ({final}),
+pr AS ({pats})
+SELECT pr.video_id, make_timestamp(pr.w * 1000000) AS window_start, pr.pattern, pr.coordination_score,
+       tw.similarity, tw.keywords,
+       CASE WHEN pr.concentration_z > {_dbl(p.spam_concentration_z)} THEN 'repeat_authors'
+            ELSE 'timeline' END AS evidence_kind
+FROM pr LEFT JOIN tw ON tw.video_id = pr.video_id AND tw.window_start = make_timestamp(pr.w * 1000000)"""
+
+
 # ---------------------------------------------------------------- sentiment
 
 def q_sentiment_score(p: Params = SIX_HOURS) -> str:
