@@ -390,12 +390,12 @@ def q_alert_table(p: Params = SIX_HOURS) -> str:
         for k in PATTERN_MESSAGES)
     return f"""WITH {ctes},
 tw AS ({final}),
-pr AS ({pats})
-SELECT pr.video_id, make_timestamp(pr.w * 1000000) AS window_start, pr.pattern, pr.coordination_score,
+pat AS ({pats})
+SELECT pat.video_id, make_timestamp(pat.w * 1000000) AS window_start, pat.pattern, pat.coordination_score,
        tw.similarity, tw.keywords,
-       CASE WHEN pr.concentration_z > {_dbl(p.spam_concentration_z)} THEN 'repeat_authors'
+       CASE WHEN pat.concentration_z > {_dbl(p.spam_concentration_z)} THEN 'repeat_authors'
             ELSE 'timeline' END AS evidence_kind
-FROM pr LEFT JOIN tw ON tw.video_id = pr.video_id AND tw.window_start = make_timestamp(pr.w * 1000000)"""
+FROM pat LEFT JOIN tw ON tw.video_id = pat.video_id AND tw.window_start = make_timestamp(pat.w * 1000000)"""
 
 
 # ---------------------------------------------------------------- sentiment
