@@ -286,6 +286,65 @@ def _q_stream_replay(spark, sf_dir):
     return _round(table, DOUBLE_MEASURES, OQ.D)
 
 
+def _q_robust_z(spark, sf_dir):
+    """Robust z of window volume against the previous <= max_windows windows
+    (no warm-up gate)."""
+    from pyspark.sql import Window
+
+    from burstwatch.functions.stats import robust_z
+
+    _prepare(spark)
+    m = window_metrics(load_comments(spark, sf_dir), P)
+    frame = Window.partitionBy("video_id").orderBy("window_start").rowsBetween(-P.max_windows, -1)
+    h = m.withColumn("_h", F.collect_list(F.col("total_comments").cast("double")).over(frame))
+    z = robust_z(F.col("total_comments"), F.col("_h"), P.mad_floors["count"], P)
+    out = h.select("video_id", "window_start", "total_comments",
+                   F.size("_h").cast("long").alias("history_size"), z.alias("count_z"))
+    return _round(out, ["count_z"], OQ.Z)
+
+
+def _stream_root(spark, name):
+    import uuid
+
+    from burstwatch.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _q_stream_window_metrics(spark, sf_dir):
+    """Live window measures from the events table read as a file stream,
+    written by a parquet sink in append mode; returns the sink table."""
+    from burstwatch.sources.adapters import comments_from_events
+    from burstwatch.streaming import stream_comments, stream_window_metrics
+
+    _prepare(spark)
+    schema = load_table(spark, sf_dir, "events").schema
+    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    m = stream_window_metrics(comments_from_events(src), P,
+                              watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
+    root = _stream_root(spark, "stream-window-metrics")
+    q = (m.writeStream.format("parquet").outputMode("append")
+         .option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return _round(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES, OQ.D)
+
+
+def _q_ingest_comments(spark, sf_dir):
+    """Pages built from events -> parse -> sentiment -> insert-or-ignore into a
+    stored table, twice (the second fetch adds nothing); returns the table."""
+    from burstwatch.plans import ingest_comments
+    from burstwatch.sources import read_comments
+
+    _prepare(spark)
+    pages = pages_from_json(comment_pages(load_comments(spark, sf_dir)))
+    path = f"{_stream_root(spark, 'ingest')}/comments"
+    ingest_comments(spark, pages, path, params=P, fetched_at=OQ.INGEST_FETCHED_AT)
+    ingest_comments(spark, pages, path, params=P, fetched_at="2024-02-02 00:00:00")
+    table = read_comments(spark, path)
+    return _round(table.select("comment_id", "video_id", "author_id", "text", "sentiment",
+                               "published_at", "fetched_at"), ["sentiment"], OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -314,6 +373,9 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "append_ignore_duplicates": (_q_append_ignore_duplicates, OQ.q_append_ignore_duplicates()),
     "upsert_window_metrics": (_q_upsert_window_metrics, OQ.q_upsert_window_metrics()),
     "stream_replay": (_q_stream_replay, OQ.q_stream_replay()),
+    "robust_z": (_q_robust_z, OQ.q_robust_z()),
+    "stream_window_metrics": (_q_stream_window_metrics, OQ.q_stream_window_metrics()),
+    "ingest_comments": (_q_ingest_comments, OQ.q_ingest_comments()),
 }
 
 

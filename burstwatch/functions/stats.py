@@ -52,6 +52,17 @@ def robust_z_expr(value: Column, history: Column, floor: float,
     return let(F.array_sort(F.transform(history, lambda x: x.cast("double"))), with_sorted)
 
 
+def robust_z(value: Column, history: Column, floor: float, params=None) -> Column:
+    """Robust z of ``value`` against an array of earlier values, with the
+    detector's MAD constant, cap and minimum history (``Params``); ``floor``
+    is the signal's MAD floor. No warm-up gate: 0.0 below the minimum
+    history, as the single-signal rule defines it."""
+    from burstwatch.params import DEFAULT
+
+    p = params or DEFAULT
+    return robust_z_expr(value, history, floor, p.mad_constant, p.z_cap, p.min_history)
+
+
 def dampen(z: Column, noise_floor: float = 1.2, factor: float = 0.1) -> Column:
     """abs(z) when it exceeds the noise floor, else a tenth of it."""
     a = F.abs(z)

@@ -181,3 +181,36 @@ def templated_windows(window_texts: DataFrame, params: Params = DEFAULT,
                     F.when(F.col("similarity") > p.similarity_threshold,
                            F.coalesce(F.col("keywords"), F.array().cast("array<string>")))
                     .alias("keywords")))
+
+
+def model_embedder(make_predict_fn, batch_size: int = 32,
+                   max_chars: int | None = None):
+    """Wrap a batch sentence-embedding model as a column function for
+    ``with_embedding`` / ``text_similarity(embed=...)``. ``make_predict_fn()``
+    is called once per Python worker and returns
+    ``predict(texts: np.ndarray) -> np.ndarray`` of shape (n, dim). Texts
+    travel to the model in Arrow batches of ``batch_size``."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql import types as T
+
+    udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
+                            batch_size=batch_size, input_tensor_shapes=None)
+
+    def embed(text: Column) -> Column:
+        from pyspark.sql import SparkSession
+
+        from burstwatch.session import ship_package
+
+        ship_package(SparkSession.getActiveSession())
+        t = F.coalesce(text, F.lit(""))
+        return udf(t if max_chars is None else F.substring(t, 1, max_chars))
+
+    return embed
+
+
+def with_embedding(df: DataFrame, embed, text_col: str = "text",
+                   out_col: str = "embedding") -> DataFrame:
+    """Adds an ``array<float>`` embedding of each text. ``embed`` is a column
+    function, e.g. ``model_embedder(...)``; without a model, similarity ops
+    use bag-of-words vectors instead (``text_similarity``)."""
+    return df.withColumn(out_col, embed(F.col(text_col)))

@@ -2,5 +2,5 @@
 
 from burstwatch.streaming.pipeline import (  # noqa: F401
     BaselineProcessor, initial_state, stream_baseline, stream_comments, stream_pipeline,
-    stream_sink, stream_window_sums,
+    stream_sink, stream_window_metrics, stream_window_sums,
 )

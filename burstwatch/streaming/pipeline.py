@@ -263,3 +263,26 @@ def stream_pipeline(comments_stream: DataFrame, params: Params = DEFAULT,
     """Comments stream -> scored windows, seeded with the batch history."""
     init = None if history_comments is None else initial_state(history_comments, params)
     return stream_baseline(stream_window_sums(comments_stream, params, watermark), params, init)
+
+
+def stream_window_metrics(comments_stream: DataFrame, params: Params = DEFAULT,
+                          watermark: str = "10 minutes") -> DataFrame:
+    """The seven measures of every closed tumbling window of a comment stream
+    (append mode), with gaps inside the window only, as the live path
+    measures them; equal to ``window_metrics(gap_scope="window")`` on the
+    windows the watermark has closed."""
+    s = stream_window_sums(comments_stream, params, watermark)
+    n = F.col("total_comments")
+    k = n - 1
+    zero = F.lit(0.0)
+    avg_s = F.col("sum_s") / n
+    avg_gap = F.col("sum_gap").cast("double") / k
+    return s.select(
+        "video_id", F.timestamp_seconds("w_sec").alias("window_start"), "total_comments",
+        "unique_authors",
+        (F.col("sum_len") / n).alias("avg_length"),
+        avg_s.alias("avg_sentiment"),
+        F.greatest(zero, F.col("sum_s2") / n - avg_s * avg_s).alias("sentiment_variance"),
+        F.when(k > 0, avg_gap).otherwise(zero).alias("avg_gap"),
+        F.when(k > 0, F.greatest(zero, F.col("sum_gap2").cast("double") / k - avg_gap * avg_gap))
+        .otherwise(zero).alias("gap_variance"))

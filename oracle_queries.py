@@ -407,28 +407,37 @@ FROM (SELECT doc_id, CASE WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEGATIVE' END A
              0.5 + (doc_id % 50) / 100.0 AS score FROM labels)"""
 
 
-def q_with_sentiment(p: Params = SIX_HOURS) -> str:
+def _lexicon_ctes(src: str, cols: str, p: Params = SIX_HOURS) -> str:
+    """CTEs lt, ll over ``src``: lexicon label/score and the blank flag of ``text``."""
     from burstwatch.operators.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
     pos = ", ".join(f"'{w}'" for w in POSITIVE_WORDS)
     neg = ", ".join(f"'{w}'" for w in NEGATIVE_WORDS)
     toks = _tokens_sql("text")
-    return f"""WITH t AS (
-  SELECT doc_id, text,
+    return f"""lt AS (
+  SELECT {cols},
          regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') = '' AS blank,
          len(list_filter({toks}, lambda x: x IN ({pos}))) AS pos,
          len(list_filter({toks}, lambda x: x IN ({neg}))) AS neg
-  FROM documents),
-l AS (SELECT doc_id, blank,
+  FROM {src}),
+ll AS (SELECT {cols}, blank,
              CASE WHEN blank THEN NULL WHEN pos > neg THEN 'POSITIVE' WHEN neg > pos THEN 'NEGATIVE'
                   ELSE 'NEUTRAL' END AS label,
              CASE WHEN blank THEN NULL ELSE CAST(greatest(pos, neg) + 1 AS DOUBLE) / (pos + neg + 2) END
                AS score
-      FROM t)
+      FROM lt)"""
+
+
+def _lexicon_sentiment(p: Params = SIX_HOURS) -> str:
+    return (f"round(CASE WHEN blank THEN CAST(0 AS DOUBLE) "
+            f"ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END "
+            f"* CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment")
+
+
+def q_with_sentiment(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_lexicon_ctes('documents', 'doc_id, text', p)}
 SELECT doc_id, label, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score,
-       round(CASE WHEN blank THEN CAST(0 AS DOUBLE)
-             ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END
-             * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment
-FROM l"""
+       {_lexicon_sentiment(p)}
+FROM ll"""
 
 
 # ---------------------------------------------------------------- sources / tables
@@ -521,3 +530,42 @@ def q_stream_replay(p: Params = SIX_HOURS) -> str:
 SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
        coordination_score
 FROM s WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+
+
+def q_stream_window_metrics(p: Params = SIX_HOURS) -> str:
+    """Live (window-scope gap) measures of the windows the stream has closed."""
+    return f"""WITH {comments_cte()},
+{gaps_cte('window', p.window_seconds)},
+{metrics_cte()}
+SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
+FROM m WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+
+
+def q_robust_z(p: Params = SIX_HOURS) -> str:
+    """Robust z of each window's volume against the previous <= max_windows
+    windows, without the warm-up gate (0 below the minimum history)."""
+    no_warmup = p.with_(warmup=0)
+    z = _z_expr("CAST(total_comments AS DOUBLE)", "hc", p.mad_floors["count"], no_warmup)
+    return f"""WITH {comments_cte()},
+{gaps_cte('video', p.window_seconds)},
+{metrics_cte()},
+hz AS (SELECT *, coalesce(list(CAST(total_comments AS DOUBLE)) OVER (
+                    PARTITION BY video_id ORDER BY w
+                    ROWS BETWEEN {p.max_windows} PRECEDING AND 1 PRECEDING), []::DOUBLE[]) AS hc
+       FROM m)
+SELECT video_id, window_start, total_comments, CAST(len(hc) AS BIGINT) AS history_size,
+       round(({z}) * CAST({NUDGE!r} AS DOUBLE), {Z}) AS count_z
+FROM hz"""
+
+
+INGEST_FETCHED_AT = "2024-02-01 00:00:00"
+
+
+def q_ingest_comments(p: Params = SIX_HOURS) -> str:
+    """Every event once in the stored table (a re-fetch adds nothing), with
+    lexicon sentiment of its text and the first fetch time."""
+    return f"""WITH {comments_cte()},
+{_lexicon_ctes('c', 'comment_id, video_id, author_id, text, sec', p)}
+SELECT comment_id, video_id, author_id, text, {_lexicon_sentiment(p)},
+       make_timestamp(sec * 1000000) AS published_at, TIMESTAMP '{INGEST_FETCHED_AT}' AS fetched_at
+FROM ll"""

@@ -73,3 +73,27 @@ def test_blank_text_gets_zero_and_scorer_hook(spark):
 
     got = {r.id: r.sentiment for r in with_sentiment(df, scorer=model_scorer(make)).collect()}
     assert got[1] == 0.0 and got[2] == pytest.approx(0.8) and got[3] == pytest.approx(0.8)
+
+
+def test_with_embedding_feeds_dense_similarity(spark):
+    from burstwatch.operators.text import model_embedder, with_embedding
+
+    def letter_counts_model():
+        """Stub sentence embedder: counts of the letters a, b, c."""
+        import numpy as np
+
+        def predict(texts):
+            return np.array([[t.count("a"), t.count("b"), t.count("c")] for t in texts],
+                            dtype=np.float32)
+
+        return predict
+
+    rows = [("g", 1, "aa"), ("g", 2, "bb"), ("g", 3, "ab"), ("h", 4, "abc")]
+    df = spark.createDataFrame(rows, "g string, id int, text string")
+    embed = model_embedder(letter_counts_model, batch_size=2)
+    emb = {r.id: r.embedding for r in with_embedding(df, embed).collect()}
+    assert emb[3] == [1.0, 1.0, 0.0] and emb[4] == [1.0, 1.0, 1.0]
+    sim = {r.g: r.similarity for r in text_similarity(df, ["g"], "id", "text", None,
+                                                      embed=embed).collect()}
+    assert sim["g"] == pytest.approx((0 + 2 / math.sqrt(2)) / 3)
+    assert sim["h"] == 0.0
