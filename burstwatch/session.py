@@ -95,4 +95,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading job to infer it
+    return spark.read.schema(df.schema).parquet(path)
