@@ -63,25 +63,45 @@ def stream_window_sums(comments: DataFrame, params: Params = DEFAULT,
     """Closed tumbling windows of a comment stream as sums (append mode).
     Duplicated comment ids within the watermark are dropped; comments later
     than the watermark are dropped (batch replay still counts them).
-    countDistinct and lag are not allowed in streams: distinct authors are a
-    set size, gaps come from the window's sorted distinct seconds (at most
-    ``window_seconds`` of them)."""
+
+    countDistinct and lag are not allowed in streams, and one set of all a
+    window's authors would grow with the window's volume. So two chained
+    streaming aggregations: first per (video, window, author), whose state is
+    spread over tasks by author, then per (video, window), where authors are
+    counted as rows. Gaps come from the window's sorted distinct seconds: each
+    author row carries its own second set, exploded before the second
+    aggregation, so the window keeps at most ``window_seconds`` seconds."""
     L = params.window_seconds
     c = (comments.withWatermark("published_at", watermark)
          .dropDuplicatesWithinWatermark(["comment_id"])
          .withColumn("_sec", F.unix_seconds("published_at")))
-    agg = c.groupBy("video_id", F.window("published_at", f"{L} seconds").alias("_win")).agg(
-        F.count(F.lit(1)).alias("total_comments"),
-        F.size(F.collect_set("author_id")).cast("long").alias("unique_authors"),
-        F.sum(F.length("text")).cast("double").alias("sum_len"),
-        F.sum("sentiment").alias("sum_s"),
-        F.sum(F.col("sentiment") * F.col("sentiment")).alias("sum_s2"),
+    per_author = c.groupBy("video_id", F.window("published_at", f"{L} seconds").alias("_win"),
+                           "author_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.length("text")).alias("_len"),
+        F.sum("sentiment").alias("_s"),
+        F.sum(F.col("sentiment") * F.col("sentiment")).alias("_s2"),
+        F.collect_set("_sec").alias("_secs"))
+    # one row per (author, second); the author's sums ride on its first row
+    rows = per_author.select("video_id", "_win", "author_id", "_n", "_len", "_s", "_s2",
+                             F.posexplode("_secs").alias("_pos", "_sec"))
+    first = F.col("_pos") == 0
+
+    def on_first(c):
+        return F.when(first, F.col(c))
+
+    agg = rows.groupBy("video_id", F.window(F.window_time("_win"), f"{L} seconds").alias("_w2")).agg(
+        F.sum(on_first("_n")).alias("total_comments"),
+        F.count(F.when(first & F.col("author_id").isNotNull(), F.lit(1))).alias("unique_authors"),
+        F.sum(on_first("_len")).cast("double").alias("sum_len"),
+        F.sum(on_first("_s")).alias("sum_s"),
+        F.sum(on_first("_s2")).alias("sum_s2"),
         F.array_sort(F.collect_set("_sec")).alias("_secs"))
     secs = F.col("_secs")
     n = F.size(secs)
     diffs = F.zip_with(F.slice(secs, 2, n), F.slice(secs, 1, n - 1), lambda a, b: a - b)
     return agg.select(
-        "video_id", F.unix_seconds(F.col("_win.start")).alias("w_sec"), "total_comments",
+        "video_id", F.unix_seconds(F.col("_w2.start")).alias("w_sec"), "total_comments",
         "unique_authors", "sum_len", "sum_s", "sum_s2",
         F.get(secs, 0).alias("first_sec"), F.element_at(secs, -1).alias("last_sec_w"),
         (F.element_at(secs, -1) - F.get(secs, 0)).alias("sum_gap"),
