@@ -345,6 +345,32 @@ def _q_ingest_comments(spark, sf_dir):
                                "published_at", "fetched_at"), ["sentiment"], OQ.D)
 
 
+def _q_read_comment_pages(spark, sf_dir):
+    """Pages built from events, landed as JSON Lines files per video, read
+    back and parsed."""
+    from burstwatch.sources import land_comment_pages, read_comment_pages
+
+    _prepare(spark)
+    root = f"{_stream_root(spark, 'pages')}/landed"
+    land_comment_pages(comment_pages(load_comments(spark, sf_dir)), root)
+    parsed = parse_comments(read_comment_pages(spark, root, multi_line=False),
+                            fetched_at="2024-02-01 00:00:00")
+    return parsed.select("comment_id", "video_id", "author_id", "text", "published_at")
+
+
+def _q_read_comments(spark, sf_dir):
+    """Comments stored partitioned by date, scanned for one video and a
+    closed time range (date partitions pruned, the rest pushed down)."""
+    from burstwatch.sources import read_comments, write_comments
+
+    _prepare(spark)
+    path = f"{_stream_root(spark, 'comments')}/table"
+    write_comments(load_comments(spark, sf_dir), path)
+    got = read_comments(spark, path, video_id=OQ.SCAN_VIDEO, start=OQ.BETWEEN[0], end=OQ.BETWEEN[1])
+    return _round(got.select("comment_id", "video_id", "author_id", "text", "sentiment",
+                             "published_at"), ["sentiment"], OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -376,6 +402,8 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "robust_z": (_q_robust_z, OQ.q_robust_z()),
     "stream_window_metrics": (_q_stream_window_metrics, OQ.q_stream_window_metrics()),
     "ingest_comments": (_q_ingest_comments, OQ.q_ingest_comments()),
+    "read_comment_pages": (_q_read_comment_pages, OQ.q_parse_comments()),
+    "read_comments": (_q_read_comments, OQ.q_read_comments()),
 }
 
 

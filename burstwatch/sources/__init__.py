@@ -5,7 +5,7 @@ from burstwatch.sources.adapters import (  # noqa: F401
     with_document_text,
 )
 from burstwatch.sources.pages import (  # noqa: F401
-    comment_pages, pages_from_json, parse_comments, quarantined_items,
+    comment_pages, land_comment_pages, pages_from_json, parse_comments, quarantined_items,
     read_comment_pages, stream_comment_pages,
 )
 from burstwatch.sources.tables import (  # noqa: F401

@@ -569,3 +569,15 @@ def q_ingest_comments(p: Params = SIX_HOURS) -> str:
 SELECT comment_id, video_id, author_id, text, {_lexicon_sentiment(p)},
        make_timestamp(sec * 1000000) AS published_at, TIMESTAMP '{INGEST_FETCHED_AT}' AS fetched_at
 FROM ll"""
+
+
+SCAN_VIDEO = "click"
+
+
+def q_read_comments() -> str:
+    lo, hi = BETWEEN
+    return f"""WITH {comments_cte(where=f"event_type = '{SCAN_VIDEO}'")}
+SELECT comment_id, video_id, author_id, text,
+       round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment,
+       make_timestamp(sec * 1000000) AS published_at
+FROM c WHERE sec BETWEEN epoch(TIMESTAMP '{lo}') AND epoch(TIMESTAMP '{hi}')"""

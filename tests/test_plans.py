@@ -53,3 +53,18 @@ def test_first_n_limits_each_group_before_the_shuffle(spark):
     # at most n rows per input task
     assert plan.count("WindowGroupLimit") >= 2
     assert out.count() == 3 * c.select("video_id").distinct().count()
+
+
+def test_read_comments_prunes_dates_and_pushes_video(spark, tmp_path):
+    from burstwatch.sources import read_comments, write_comments
+
+    path = str(tmp_path / "comments")
+    write_comments(load_comments(spark, SF), path)
+    df = read_comments(spark, path, video_id="click", start="2024-01-10 00:00:00",
+                       end="2024-01-12 00:00:00")
+    plan = _formatted(df)
+    parts = [ln for ln in plan.splitlines() if ln.strip().startswith("PartitionFilters:")]
+    pushed = [ln for ln in plan.splitlines() if ln.strip().startswith("PushedFilters:")]
+    assert parts and "published_date" in parts[0]
+    assert pushed and "EqualTo(video_id,click)" in pushed[0]
+    assert df.count() > 0
