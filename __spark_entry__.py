@@ -371,6 +371,27 @@ def _q_read_comments(spark, sf_dir):
                              "published_at"), ["sentiment"], OQ.D)
 
 
+def _q_stream_pages_window_metrics(spark, sf_dir):
+    """The live path from landed pages: pages (built from events) land as
+    JSON Lines files, are read as a file stream, parsed, scored for
+    sentiment and cut into closed windows; returns the sink table."""
+    from burstwatch.operators.sentiment import with_sentiment
+    from burstwatch.sources import land_comment_pages, stream_comment_pages
+    from burstwatch.streaming import stream_window_metrics
+
+    _prepare(spark)
+    root = _stream_root(spark, "stream-pages")
+    land_comment_pages(comment_pages(load_comments(spark, sf_dir)), f"{root}/landed")
+    pages = stream_comment_pages(spark, f"{root}/landed", multi_line=False)
+    comments = with_sentiment(parse_comments(pages, fetched_at="2024-02-01 00:00:00"), params=P)
+    m = stream_window_metrics(comments, P, watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
+    q = (m.writeStream.format("parquet").outputMode("append")
+         .option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return _round(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES, OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -404,6 +425,8 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "ingest_comments": (_q_ingest_comments, OQ.q_ingest_comments()),
     "read_comment_pages": (_q_read_comment_pages, OQ.q_parse_comments()),
     "read_comments": (_q_read_comments, OQ.q_read_comments()),
+    "stream_pages_window_metrics": (_q_stream_pages_window_metrics,
+                                    OQ.q_stream_pages_window_metrics()),
 }
 
 

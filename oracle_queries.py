@@ -581,3 +581,17 @@ SELECT comment_id, video_id, author_id, text,
        round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment,
        make_timestamp(sec * 1000000) AS published_at
 FROM c WHERE sec BETWEEN epoch(TIMESTAMP '{lo}') AND epoch(TIMESTAMP '{hi}')"""
+
+
+def q_stream_pages_window_metrics(p: Params = SIX_HOURS) -> str:
+    """Closed live windows of comments parsed from pages: the text is the
+    event's, the sentiment the lexicon's (not the event value)."""
+    value = ("CASE WHEN blank THEN CAST(0 AS DOUBLE) "
+             f"ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END")
+    return f"""WITH {comments_cte('c0')},
+{_lexicon_ctes('c0', 'comment_id, video_id, author_id, text, sec', p)},
+c AS (SELECT comment_id, video_id, author_id, text, {value} AS sentiment, sec FROM ll),
+{gaps_cte('window', p.window_seconds)},
+{metrics_cte()}
+SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
+FROM m WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
