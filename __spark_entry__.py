@@ -182,6 +182,24 @@ def _q_alert_table(spark, sf_dir):
     return table.withColumn("keywords", F.array_join("keywords", ","))
 
 
+def _q_write_alerts(spark, sf_dir):
+    """The alerts table written to storage (partitioned by window date) and
+    read back."""
+    from burstwatch.sources import write_alerts
+
+    _prepare(spark)
+    alerts, ac = _alerts_and_comments(spark, sf_dir)
+    docs = load_table(spark, sf_dir, "documents")
+    keys = ["video_id", "window_start"]
+    sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
+                     ["published_at", "comment_id"], P.similarity_sample).drop("rank")
+    table = alert_table(alerts, with_document_text(sample, docs), P)
+    path = f"{_stream_root(spark, 'alerts')}/table"
+    write_alerts(table, path)
+    stored = spark.read.parquet(path).drop("window_date")
+    return stored.withColumn("keywords", F.array_join("keywords", ","))
+
+
 def _q_sentiment_score(spark, sf_dir):
     pred = labels_as_predictions(load_table(spark, sf_dir, "labels"))
     return pred.withColumn("sentiment", sentiment_score(F.col("label"), F.col("score"),
@@ -427,6 +445,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "read_comments": (_q_read_comments, OQ.q_read_comments()),
     "stream_pages_window_metrics": (_q_stream_pages_window_metrics,
                                     OQ.q_stream_pages_window_metrics()),
+    "write_alerts": (_q_write_alerts, OQ.q_alert_table()),
 }
 
 
