@@ -194,7 +194,7 @@ def _q_write_alerts(spark, sf_dir):
     sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
                      ["published_at", "comment_id"], P.similarity_sample).drop("rank")
     table = alert_table(alerts, with_document_text(sample, docs), P)
-    path = f"{_stream_root(spark, 'alerts')}/table"
+    path = f"{_table_root(spark, 'alerts')}/table"
     write_alerts(table, path)
     stored = spark.read.parquet(path).drop("window_date")
     return stored.withColumn("keywords", F.array_join("keywords", ","))
@@ -321,7 +321,8 @@ def _q_robust_z(spark, sf_dir):
     return _round(out, ["count_z"], OQ.Z)
 
 
-def _stream_root(spark, name):
+def _table_root(spark, name):
+    """A fresh folder under the shared checkpoint directory for tables a query writes."""
     import uuid
 
     from burstwatch.session import ensure_checkpoint_dir
@@ -339,7 +340,7 @@ def _q_stream_window_metrics(spark, sf_dir):
     src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
     m = stream_window_metrics(comments_from_events(src), P,
                               watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
-    root = _stream_root(spark, "stream-window-metrics")
+    root = _table_root(spark, "stream-window-metrics")
     q = (m.writeStream.format("parquet").outputMode("append")
          .option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
@@ -355,7 +356,7 @@ def _q_ingest_comments(spark, sf_dir):
 
     _prepare(spark)
     pages = pages_from_json(comment_pages(load_comments(spark, sf_dir)))
-    path = f"{_stream_root(spark, 'ingest')}/comments"
+    path = f"{_table_root(spark, 'ingest')}/comments"
     ingest_comments(spark, pages, path, params=P, fetched_at=OQ.INGEST_FETCHED_AT)
     ingest_comments(spark, pages, path, params=P, fetched_at="2024-02-02 00:00:00")
     table = read_comments(spark, path)
@@ -369,7 +370,7 @@ def _q_read_comment_pages(spark, sf_dir):
     from burstwatch.sources import land_comment_pages, read_comment_pages
 
     _prepare(spark)
-    root = f"{_stream_root(spark, 'pages')}/landed"
+    root = f"{_table_root(spark, 'pages')}/landed"
     land_comment_pages(comment_pages(load_comments(spark, sf_dir)), root)
     parsed = parse_comments(read_comment_pages(spark, root, multi_line=False),
                             fetched_at="2024-02-01 00:00:00")
@@ -382,7 +383,7 @@ def _q_read_comments(spark, sf_dir):
     from burstwatch.sources import read_comments, write_comments
 
     _prepare(spark)
-    path = f"{_stream_root(spark, 'comments')}/table"
+    path = f"{_table_root(spark, 'comments')}/table"
     write_comments(load_comments(spark, sf_dir), path)
     got = read_comments(spark, path, video_id=OQ.SCAN_VIDEO, start=OQ.BETWEEN[0], end=OQ.BETWEEN[1])
     return _round(got.select("comment_id", "video_id", "author_id", "text", "sentiment",
@@ -398,7 +399,7 @@ def _q_stream_pages_window_metrics(spark, sf_dir):
     from burstwatch.streaming import stream_window_metrics
 
     _prepare(spark)
-    root = _stream_root(spark, "stream-pages")
+    root = _table_root(spark, "stream-pages")
     land_comment_pages(comment_pages(load_comments(spark, sf_dir)), f"{root}/landed")
     pages = stream_comment_pages(spark, f"{root}/landed", multi_line=False)
     comments = with_sentiment(parse_comments(pages, fetched_at="2024-02-01 00:00:00"), params=P)
