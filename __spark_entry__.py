@@ -411,6 +411,28 @@ def _q_stream_pages_window_metrics(spark, sf_dir):
     return _round(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES, OQ.D)
 
 
+def _q_stream_handoff(spark, sf_dir):
+    """Backfill, then live: comments before the hand-off time are replayed in
+    batch and seed the per-video stream state (last 20 windows and the last
+    comment second); the file stream takes the comments from then on."""
+    from burstwatch.sources.adapters import comments_from_events
+    from burstwatch.streaming import stream_comments, stream_pipeline, stream_sink
+
+    _prepare(spark)
+    at = F.lit(OQ.HANDOFF_AT).cast("timestamp")
+    history = load_comments(spark, sf_dir).filter(F.col("published_at") < at)
+    schema = load_table(spark, sf_dir, "events").schema
+    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
+    live = comments_from_events(src).filter(F.col("published_at") >= at)
+    scored = stream_pipeline(live, P, history_comments=history,
+                             watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
+    root = _table_root(spark, "stream-handoff")
+    q = stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    table = spark.read.parquet(f"{root}/table").drop("window_date")
+    return _round(table, DOUBLE_MEASURES, OQ.D)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
@@ -447,6 +469,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "stream_pages_window_metrics": (_q_stream_pages_window_metrics,
                                     OQ.q_stream_pages_window_metrics()),
     "write_alerts": (_q_write_alerts, OQ.q_alert_table()),
+    "stream_handoff": (_q_stream_handoff, OQ.q_stream_handoff()),
 }
 
 

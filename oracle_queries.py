@@ -595,3 +595,16 @@ c AS (SELECT comment_id, video_id, author_id, text, {value} AS sentiment, sec FR
 {metrics_cte()}
 SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
 FROM m WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+
+
+HANDOFF_AT = "2024-01-15 00:00:00"   # on a window edge (epoch-aligned 6-hour windows)
+
+
+def q_stream_handoff(p: Params = SIX_HOURS) -> str:
+    """Batch scored windows over the whole history, from the hand-off on, that
+    the stream has closed (as in ``q_stream_replay``)."""
+    return f"""WITH {scored_ctes(p)}
+SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
+       coordination_score
+FROM s WHERE w >= CAST(epoch(TIMESTAMP '{HANDOFF_AT}') AS BIGINT)
+  AND w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
