@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a key table we are willing to ship to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
+# Rows of a key table we are willing to ship to every executor. Alert keys
+# are (video_id, window_start): about 40-50 bytes a row in a hashed relation,
+# so the bound keeps a broadcast near 25 MB; more alerts than that go to a
+# shuffle join (AQE splits skewed partitions).
+MAX_BROADCAST_ROWS = 500_000
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

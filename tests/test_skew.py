@@ -79,3 +79,29 @@ def test_comment_level_order_is_split_by_window_not_by_video(spark):
         if "lag(_last" in ln:
             spec = ln.split("windowspecdefinition(")[1]
             assert spec.startswith("video_id#") and "_sec" not in spec
+
+
+def test_hot_group_mean_cosine_matches_all_pairs(spark):
+    """Closed form (no pair join) on one group holding most of the vectors."""
+    import numpy as np
+
+    from burstwatch.operators.text import mean_pairwise_cosine
+
+    rng = np.random.default_rng(3)
+    sizes = {"hot": 1500, "a": 2, "b": 7, "c": 1}
+    rows, mats = [], {}
+    for g, n in sizes.items():
+        m = rng.normal(size=(n, 16)) + 0.3
+        mats[g] = m
+        rows += [(g, [float(x) for x in v]) for v in m]
+    out = {r.g: r.similarity for r in mean_pairwise_cosine(
+        spark.createDataFrame(rows, "g string, v array<double>"), ["g"], "v", None).collect()}
+    for g, m in mats.items():
+        n = len(m)
+        if n < 2:
+            assert out[g] == 0.0
+            continue
+        u = m / np.linalg.norm(m, axis=1, keepdims=True)
+        cos = u @ u.T
+        want = (cos.sum() - np.trace(cos)) / (n * (n - 1))
+        assert out[g] == pytest.approx(want, rel=1e-9, abs=1e-12)
