@@ -103,3 +103,31 @@ def test_parquet_sinks_roundtrip(spark):
     write_window_metrics(spark, f"{root}/windows", replay(c))
     table = spark.read.parquet(f"{root}/windows").drop("window_date")
     assert sorted(table.collect()) == sorted(replay(c).collect())
+
+
+def test_ingest_pages_twice_stores_once(spark, tmp_path):
+    """Parse -> sentiment -> insert-or-ignore: blank text scores 0.0, a null
+    author is kept, a bad item is left out, and a re-fetch adds nothing."""
+    from burstwatch.plans import ingest_comments
+
+    root = tmp_path / "landed"
+    (root / "video_id=vidB").mkdir(parents=True)
+    page = {"nextPageToken": None, "items": [
+        _item("d1", "auth1", "great video, love it", "2024-01-01T00:00:05Z"),
+        _item("d2", None, "   \t", "2024-01-01T00:00:06Z"),
+        _item("d3", "auth3", "terrible", "2024-01-01T00:01:00Z"),
+        _item("d4", "auth4", "x", "not a time"),
+    ]}
+    (root / "video_id=vidB" / "p1.json").write_text(json.dumps(page))
+    table = str(tmp_path / "comments")
+    pages = read_comment_pages(spark, str(root))
+    added = ingest_comments(spark, pages, table, fetched_at="2024-02-01 00:00:00")
+    assert added.count() == 3
+    again = ingest_comments(spark, read_comment_pages(spark, str(root)), table,
+                            fetched_at="2024-02-02 00:00:00")
+    assert again.count() == 0
+    got = {r.comment_id: r for r in read_comments(spark, table).collect()}
+    assert set(got) == {"d1", "d2", "d3"}
+    assert got["d2"].author_id is None and got["d2"].sentiment == 0.0
+    assert got["d1"].sentiment > 0 > got["d3"].sentiment
+    assert all(r.fetched_at.isoformat().startswith("2024-02-01") for r in got.values())
