@@ -433,43 +433,43 @@ def _q_stream_handoff(spark, sf_dir):
     return _round(table, DOUBLE_MEASURES, OQ.D)
 
 
-_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
-    "window_metrics": (_q_window_metrics, OQ.q_window_metrics()),
-    "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live()),
-    "rolling_baseline": (_q_rolling_baseline, OQ.q_rolling_baseline()),
-    "coordination_score": (_q_coordination_score, OQ.q_coordination_score()),
-    "detect_patterns": (_q_detect_patterns, OQ.q_detect_patterns()),
-    "explode_alerts": (_q_explode_alerts, OQ.q_explode_alerts()),
-    "replay": (_q_replay, OQ.q_replay()),
-    "alert_comments": (_q_alert_comments, OQ.q_alert_comments()),
-    "window_timeline": (_q_window_timeline, OQ.q_window_timeline()),
-    "repeat_authors": (_q_repeat_authors, OQ.q_repeat_authors()),
-    "alert_evidence": (_q_alert_evidence, OQ.q_alert_evidence()),
-    "mean_pairwise_cosine": (_q_mean_pairwise_cosine, OQ.q_mean_pairwise_cosine()),
-    "text_similarity": (_q_text_similarity, OQ.q_text_similarity()),
-    "top_keywords": (_q_top_keywords, OQ.q_top_keywords()),
-    "templated_windows": (_q_templated_windows, OQ.q_templated_windows()),
-    "alert_table": (_q_alert_table, OQ.q_alert_table()),
-    "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score()),
-    "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment()),
-    "with_gaps": (_q_with_gaps, OQ.q_with_gaps()),
-    "window_metrics_between": (_q_window_metrics_between, OQ.q_window_metrics_between()),
-    "parse_comments": (_q_parse_comments, OQ.q_parse_comments()),
-    "normalize_timestamp": (_q_normalize_timestamp, OQ.q_normalize_timestamp()),
-    "high_water_marks": (_q_high_water_marks, OQ.q_high_water_marks()),
-    "delta_since": (_q_delta_since, OQ.q_delta_since()),
-    "append_ignore_duplicates": (_q_append_ignore_duplicates, OQ.q_append_ignore_duplicates()),
-    "upsert_window_metrics": (_q_upsert_window_metrics, OQ.q_upsert_window_metrics()),
-    "stream_replay": (_q_stream_replay, OQ.q_stream_replay()),
-    "robust_z": (_q_robust_z, OQ.q_robust_z()),
-    "stream_window_metrics": (_q_stream_window_metrics, OQ.q_stream_window_metrics()),
-    "ingest_comments": (_q_ingest_comments, OQ.q_ingest_comments()),
-    "read_comment_pages": (_q_read_comment_pages, OQ.q_parse_comments()),
-    "read_comments": (_q_read_comments, OQ.q_read_comments()),
+_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str] | None]] = {
+    "window_metrics": (_q_window_metrics, OQ.q_window_metrics),
+    "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live),
+    "rolling_baseline": (_q_rolling_baseline, OQ.q_rolling_baseline),
+    "coordination_score": (_q_coordination_score, OQ.q_coordination_score),
+    "detect_patterns": (_q_detect_patterns, OQ.q_detect_patterns),
+    "explode_alerts": (_q_explode_alerts, OQ.q_explode_alerts),
+    "replay": (_q_replay, OQ.q_replay),
+    "alert_comments": (_q_alert_comments, OQ.q_alert_comments),
+    "window_timeline": (_q_window_timeline, OQ.q_window_timeline),
+    "repeat_authors": (_q_repeat_authors, OQ.q_repeat_authors),
+    "alert_evidence": (_q_alert_evidence, OQ.q_alert_evidence),
+    "mean_pairwise_cosine": (_q_mean_pairwise_cosine, OQ.q_mean_pairwise_cosine),
+    "text_similarity": (_q_text_similarity, OQ.q_text_similarity),
+    "top_keywords": (_q_top_keywords, OQ.q_top_keywords),
+    "templated_windows": (_q_templated_windows, OQ.q_templated_windows),
+    "alert_table": (_q_alert_table, OQ.q_alert_table),
+    "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score),
+    "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment),
+    "with_gaps": (_q_with_gaps, OQ.q_with_gaps),
+    "window_metrics_between": (_q_window_metrics_between, OQ.q_window_metrics_between),
+    "parse_comments": (_q_parse_comments, OQ.q_parse_comments),
+    "normalize_timestamp": (_q_normalize_timestamp, OQ.q_normalize_timestamp),
+    "high_water_marks": (_q_high_water_marks, OQ.q_high_water_marks),
+    "delta_since": (_q_delta_since, OQ.q_delta_since),
+    "append_ignore_duplicates": (_q_append_ignore_duplicates, OQ.q_append_ignore_duplicates),
+    "upsert_window_metrics": (_q_upsert_window_metrics, OQ.q_upsert_window_metrics),
+    "stream_replay": (_q_stream_replay, OQ.q_stream_replay),
+    "robust_z": (_q_robust_z, OQ.q_robust_z),
+    "stream_window_metrics": (_q_stream_window_metrics, OQ.q_stream_window_metrics),
+    "ingest_comments": (_q_ingest_comments, OQ.q_ingest_comments),
+    "read_comment_pages": (_q_read_comment_pages, OQ.q_parse_comments),
+    "read_comments": (_q_read_comments, OQ.q_read_comments),
     "stream_pages_window_metrics": (_q_stream_pages_window_metrics,
-                                    OQ.q_stream_pages_window_metrics()),
-    "write_alerts": (_q_write_alerts, OQ.q_alert_table()),
-    "stream_handoff": (_q_stream_handoff, OQ.q_stream_handoff()),
+                                    OQ.q_stream_pages_window_metrics),
+    "write_alerts": (_q_write_alerts, OQ.q_alert_table),
+    "stream_handoff": (_q_stream_handoff, OQ.q_stream_handoff),
 }
 
 
@@ -478,9 +478,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return _q_replay(spark, SMOKE_DIR)
 
 
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the training-data operators; none when that subpackage is absent."""
+    try:
+        from burstwatch.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith(("burstwatch.llm", "corpus_pipeline")):
+            raise
+        return {}
+    return llm.QUERIES
+
+
+def _llm_oracles() -> dict[str, str]:
+    try:
+        from burstwatch.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if not (e.name or "").startswith(("burstwatch.llm", "corpus_pipeline")):
+            raise
+        return {}
+    return llm.ORACLES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: fn for k, (fn, _) in _QUERIES.items()}
+    return {k: fn for k, (fn, _) in _QUERIES.items()} | _llm_queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in _QUERIES.items() if sql is not None}
+    """Oracle texts, built only when asked for: queries() never depends on them."""
+    return {k: sql() for k, (_, sql) in _QUERIES.items() if sql is not None} | _llm_oracles()

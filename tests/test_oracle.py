@@ -46,11 +46,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = {q for q in E.queries() if not q.startswith("op") and q != "pipeline"} - set(E.oracle_sql())
     assert not missing
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n in E._QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     got = pd.DataFrame([r.asDict(recursive=True) for r in sdf.collect()], columns=sdf.columns)
