@@ -9,6 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from burstwatch.llm.token_count import token_counts
+from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
+
+
+#: Rank file, pattern and end-of-text string of the byte-level vocabulary.
+VOCAB = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, "<|endoftext|>")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +25,15 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_root(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), root, VOCAB, end_id=0)
+    return read_token_files(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_token_files": op4_token_files,
 }
 
 ORACLES: dict[str, str] = {}
