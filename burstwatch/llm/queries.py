@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
 
@@ -31,9 +32,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, root)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_token_files": op4_token_files,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}

@@ -24,13 +24,13 @@ def _lazy(module: str, name: str, args: tuple):
     return run
 
 
-def arrow_map(df: DataFrame, kernel, schema: str, *args) -> DataFrame:
+def arrow_map(df: DataFrame, kernel, schema, *args) -> DataFrame:
     """``df.mapInArrow`` of a module-level kernel."""
     ship_package(df.sparkSession)
     return df.mapInArrow(_lazy(kernel.__module__, kernel.__name__, args), schema)
 
 
-def arrow_groups(df: DataFrame, keys: list[str], kernel, schema: str, *args) -> DataFrame:
+def arrow_groups(df: DataFrame, keys: list[str], kernel, schema, *args) -> DataFrame:
     """``applyInArrow`` of a module-level kernel(table) per group of ``keys``."""
     ship_package(df.sparkSession)
     run = _lazy(kernel.__module__, kernel.__name__, args)
