@@ -72,3 +72,23 @@ def record_batch(columns: dict, **types) -> pa.RecordBatch:
 def input_partitions(spark: SparkSession) -> int:
     """Tasks for a shuffle whose rows a kernel handles: the session's setting."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def keep_kernel(batches, module: str, name: str, args: tuple):
+    """Rows whose text (last column) ``module.name(texts, *args)`` marks True."""
+    import importlib
+
+    keep = getattr(importlib.import_module(module), name)
+    for b in slices(batches, "_text"):
+        yield b.filter(pa.array(keep(b.column("_text").to_pylist(), *args), pa.bool_()))
+
+
+def keep_rows(docs: DataFrame, text_col: str, keep, *args) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the module function
+    ``keep(texts, *args)`` marks True."""
+    from pyspark.sql import functions as F
+
+    names = [c for c in docs.columns if c != text_col]
+    moved = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    kept = arrow_map(moved, keep_kernel, moved.schema, keep.__module__, keep.__name__, args)
+    return kept.withColumnRenamed("_text", text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
