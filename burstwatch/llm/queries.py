@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from burstwatch.llm.language_id import identify, learn
+from burstwatch.llm import language_id, toxicity
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
@@ -27,6 +27,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_root(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), root, VOCAB, end_id=0)
@@ -39,11 +44,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return identify(docs, learn(docs))
+    return language_id.identify(docs, language_id.learn(docs))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op4_token_files": op4_token_files,
     "op8_secret_scan": op8_secret_scan,
     "op10_language_id": op10_language_id,

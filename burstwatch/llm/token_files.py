@@ -31,7 +31,7 @@ from burstwatch.session import ensure_checkpoint_dir
 LANE_TOKENS = 512
 BLOCK_TOKENS = 32_768
 #: Tokens whose blocks are coded together in a task.
-GROUP_TOKENS = 2_000_000
+GROUP_TOKENS = 1_000_000
 BITS = 16
 LOW = 1 << 16
 
