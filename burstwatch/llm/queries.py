@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from burstwatch.llm import language_id, toxicity
+from burstwatch.llm.bpe_codec import bpe_digests
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
@@ -42,6 +43,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"), VOCAB[0], VOCAB[1])
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs))
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_token_files": op4_token_files,
     "op8_secret_scan": op8_secret_scan,
+    "op9_bpe_codec": op9_bpe_codec,
     "op10_language_id": op10_language_id,
 }
 
