@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from burstwatch.llm import language_id, toxicity
 from burstwatch.llm.bpe_codec import bpe_digests
+from burstwatch.llm.packing import pack_sequences
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
@@ -33,6 +34,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(_table(spark, sf_dir, "documents"), VOCAB, end_id=1, window=2048)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_root(spark, "token-files")
     write_token_files(_table(spark, sf_dir, "documents"), root, VOCAB, end_id=0)
@@ -55,6 +60,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op8_secret_scan": op8_secret_scan,
     "op9_bpe_codec": op9_bpe_codec,
