@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from burstwatch.llm import language_id, toxicity
 from burstwatch.llm.bpe_codec import bpe_digests
+from burstwatch.llm.near_dedup import near_duplicates
 from burstwatch.llm.packing import pack_sequences
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
@@ -44,6 +45,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, root)
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
+    "op5_near_dedup": op5_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_language_id": op10_language_id,
