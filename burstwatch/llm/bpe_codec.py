@@ -22,7 +22,7 @@ from burstwatch.llm.tasks import arrow_groups, arrow_map, input_partitions, reco
 from burstwatch.llm.vocab import ranks
 
 #: Text bytes of a chunk (one longer text is a chunk by itself).
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 16_000_000
 #: Entries of the words that a worker keeps (their merges are made once a bucket).
 MEMO_WORDS = 400_000
 
@@ -111,31 +111,70 @@ def token_tables(path: str) -> tuple[list[bytes], list[str]]:
 # ------------------------------------------------------------------ packed numbers
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Unsigned numbers as compressed bytes (each column's width fits its largest)."""
+    """Unsigned numbers, each column by planes of its bytes (as many as its largest needs)."""
     out = []
     for c in columns:
-        kind = "<u1" if (top := int(c.max(initial=0))) < 1 << 8 else "<u2" if top < 1 << 16 else "<u4"
-        raw = c.astype(kind).tobytes()
-        out += [kind[1:].encode(), len(c).to_bytes(4, "little"), raw]
+        raw = np.ascontiguousarray(c, "<u4")
+        width = max(1, (int(raw.max(initial=0)).bit_length() + 7) // 8)
+        planes = raw.view(np.uint8).reshape(-1, 4)[:, :width].T
+        out += [bytes([width]), len(c).to_bytes(4, "little"), planes.tobytes()]
     return b"".join(out)
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(raw):
-        kind, n = "<" + raw[at:at + 2].decode(), int.from_bytes(raw[at + 2:at + 6], "little")
-        size = n * int(kind[2])
-        out.append(np.frombuffer(raw, kind, n, at + 6))
-        at += 6 + size
+        width, n = raw[at], int.from_bytes(raw[at + 1:at + 5], "little")
+        planes = np.frombuffer(raw, np.uint8, width * n, at + 5).reshape(width, n)
+        full = np.zeros((n, 4), np.uint8)
+        full[:, :width] = planes.T
+        out.append(full.reshape(-1).view("<u4").copy() if n else np.zeros(0, np.uint32))
+        at += 5 + width * n
     return out
 
 
+def low_bits(total: int, n: np.ndarray) -> np.ndarray:
+    """Bits of a gap that are stored plainly for words that stand n times in a chunk of
+    ``total`` words: some fewer than the mean gap has, as the rest compresses well."""
+    return np.maximum(0, np.frexp(total / np.maximum(1, n))[1] - 4)
+
+
+def pack_gaps(gaps: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(low bits of the gaps, rest of each gap). ``bits``, per gap, never rises, so the
+    gaps that have a certain bit come first and each bit is one packed row."""
+    rows = [np.packbits((gaps[:np.searchsorted(-bits, -j, side="left")] >> j).astype(np.uint8) & 1)
+            for j in range(int(bits.max(initial=0)))]
+    return b"".join(r.tobytes() for r in rows), gaps >> bits
+
+
+def unpack_gaps(raw: bytes, rest: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    gaps, data, at = rest.astype(np.int64) << bits, np.frombuffer(raw, np.uint8), 0
+    for j in range(int(bits.max(initial=0))):
+        n = int(np.searchsorted(-bits, -j, side="left"))
+        size = (n + 7) // 8
+        gaps[:n] |= np.unpackbits(data[at:at + size], count=n).astype(np.int64) << j
+        at += size
+    return gaps
+
+
 # ------------------------------------------------------------------ kernels
 
+def _zip(raw: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _unzip(raw: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def _chunk_rows(chunk: int, docs: list, texts: list[str | None], findall, buckets: int):
-    """(chunk, bucket, what) rows of a chunk. A negative bucket (any) has the documents
-    and their numbers of words; others the words of that bucket (UTF-8, new-line free by
-    length) with the gaps between their positions."""
+    """(chunk, bucket, words, places, docs) rows of a chunk. A negative bucket (any) has
+    the documents and their numbers of words; others the words of that bucket (their
+    sizes and bytes) and, apart, how often and where they stand."""
     seen: dict[str, int] = {}
     of, sizes = [], []
     for t in texts:
@@ -143,26 +182,39 @@ def _chunk_rows(chunk: int, docs: list, texts: list[str | None], findall, bucket
         sizes.append(len(found))
         of.append(np.fromiter((seen.setdefault(w, len(seen)) for w in found), np.uint32, len(found)))
     place = np.concatenate(of) if of else np.zeros(0, np.uint32)
-    yield chunk, -1 - chunk % (1 << 20), pack(np.array(sizes, np.uint32)), docs
+    yield chunk, -1 - chunk % (1 << 20), _zip(pack(np.array(sizes, np.uint32))), b"", docs
     order = np.argsort(place, kind="stable")
     counts = np.bincount(place, minlength=len(seen))
     firsts = np.cumsum(counts) - counts
     gaps = np.diff(order, prepend=0)
-    gaps[firsts] = order[firsts] if len(order) else gaps[firsts]
+    if len(order):
+        gaps[firsts] = order[firsts]
     words = [w.encode("utf-8", "surrogatepass") for w in seen]
-    dealt = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-    sizes = np.fromiter(map(len, words), np.uint32, len(words))
-    by_bucket = np.argsort(dealt, kind="stable")
-    starts = np.searchsorted(dealt[by_bucket], np.arange(buckets + 1))
-    for bucket in range(buckets):
-        mine = by_bucket[starts[bucket]:starts[bucket + 1]]
-        if not len(mine):
+    bits = low_bits(len(place), counts)
+    dealt: list[list[int]] = [[] for _ in range(buckets)]
+    for i, w in enumerate(words):
+        dealt[zlib.crc32(w) % buckets].append(i)
+    for bucket, mine in enumerate(dealt):
+        if not mine:
             continue
+        # rare words first, then by their bytes
+        mine = np.array(sorted(mine, key=lambda i: (-bits[i], words[i])))
         n = counts[mine]
         # the positions of word i are gaps[firsts[i]:firsts[i] + counts[i]]
         at = np.repeat(firsts[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        head = pack(sizes[mine], n, gaps[at])
-        yield chunk, bucket, len(head).to_bytes(4, "little") + head + b"".join(words[i] for i in mine), []
+        low, rest = pack_gaps(gaps[at], np.repeat(bits[mine], n))
+        own = [words[i] for i in mine]
+        head = pack(np.fromiter(map(len, own), np.uint32, len(own)))
+        numbers = _zip(pack(n, rest))
+        yield (chunk, bucket, _zip(len(head).to_bytes(4, "little") + head + b"".join(own)),
+               len(place).to_bytes(4, "little") + len(numbers).to_bytes(4, "little") + numbers + low, [])
+
+
+def places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(how often each word stands, the gaps between its places) of a row."""
+    total, size = int.from_bytes(raw[:4], "little"), int.from_bytes(raw[4:8], "little")
+    n, rest = unpack(_unzip(raw[8:8 + size]))
+    return n.astype(np.int64), unpack_gaps(raw[8 + size:], rest, np.repeat(low_bits(total, n), n))
 
 
 def _batches(rows, of: int = 64):
@@ -177,12 +229,10 @@ def _batches(rows, of: int = 64):
 
 
 def _rows(held):
-    import zstandard
-
-    z = zstandard.ZstdCompressor(level=1)
-    return record_batch({"chunk": [r[0] for r in held], "bucket": [r[1] for r in held],
-                         "data": [z.compress(r[2]) for r in held], "doc_ids": [r[3] for r in held]},
-                        chunk=pa.int64(), bucket=pa.int32(), data=pa.binary(), doc_ids=pa.list_(pa.int64()))
+    return record_batch({"chunk": [r[0] for r in held], "bucket": [r[1] for r in held], "data": [r[2] for r in held],
+                         "places": [r[3] for r in held], "doc_ids": [r[4] for r in held]},
+                        chunk=pa.int64(), bucket=pa.int32(), data=pa.binary(), places=pa.binary(),
+                        doc_ids=pa.list_(pa.int64()))
 
 
 def explode_kernel(batches, pattern: str, buckets: int):
@@ -198,65 +248,59 @@ def explode_kernel(batches, pattern: str, buckets: int):
 
 
 def encode_kernel(batches, path: str):
-    """Words of a bucket -> their identifiers; positions and documents pass."""
-    import zstandard
-
-    z = zstandard.ZstdDecompressor()
+    """Words of a bucket -> their identifiers; places and documents pass."""
     m = merger(path)
 
     def rows():
         for b in batches:
-            for chunk, bucket, data, docs in zip(*(b.column(c).to_pylist() for c in ("chunk", "bucket", "data", "doc_ids"))):
+            for at in range(b.num_rows):  # a row at a time: rows are large
+                chunk, bucket, data, where, docs = (b.column(c)[at].as_py() for c in ("chunk", "bucket", "data", "places", "doc_ids"))
                 if bucket < 0:
-                    yield chunk, bucket, z.decompress(data), docs
+                    yield chunk, bucket, data, where, docs
                     continue
-                raw = z.decompress(data)
+                raw = _unzip(data)
                 head = int.from_bytes(raw[:4], "little")
-                sizes, n, gaps = unpack(raw[4:4 + head])
-                ends = np.cumsum(sizes.astype(np.int64)) + 4 + head
-                ids = [m[raw[a:e]] for a, e in zip([4 + head, *ends[:-1].tolist()], ends.tolist())]
+                ends = (np.cumsum(unpack(raw[4:4 + head])[0].astype(np.int64)) + 4 + head).tolist()
+                ids = [m[raw[a:e]] for a, e in zip([4 + head, *ends[:-1]], ends)]
                 flat = np.fromiter((i for x in ids for i in x), np.uint32)
-                yield chunk, bucket, pack(np.fromiter(map(len, ids), np.uint32, len(ids)), flat, n, gaps), []
+                yield chunk, bucket, _zip(pack(np.fromiter(map(len, ids), np.uint32, len(ids)), flat)), where, []
 
     yield from _batches(rows())
 
 
-def chunk_ids(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(identifiers of a whole chunk in order, where each word's begin) from the rows of its buckets."""
-    parts = [unpack(d) for d in data]
-    total = sum(int(p[2].sum()) for p in parts)
-    lens = np.zeros(total, np.int64)
+def chunk_ids(rows: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(identifiers of a whole chunk in order, where each word's begin) from the
+    (identifiers, places) of its buckets."""
+    parts = [(*unpack(_unzip(data)), *places(where)) for data, where in rows]
+    lens = np.zeros(sum(int(n.sum()) for _, _, n, _ in parts), np.int64)
     spots = []
     for sizes, _, n, gaps in parts:
-        # positions: running sums of the gaps, anew for each word
-        sums = np.cumsum(gaps.astype(np.int64))
-        firsts = np.cumsum(n.astype(np.int64)) - n
-        base = np.where(firsts > 0, sums[firsts - 1], 0)
-        at = sums - np.repeat(base, n)
-        lens[at] = np.repeat(sizes, n)
+        # places: running sums of the gaps, anew for each word
+        sums = np.cumsum(gaps)
+        firsts = np.cumsum(n) - n
+        at = sums - np.repeat(np.where(firsts > 0, sums[firsts - 1], 0), n)
+        lens[at] = np.repeat(sizes.astype(np.int64), n)
         spots.append(at)
     begins = np.cumsum(lens) - lens
     out = np.zeros(int(lens.sum()), np.uint32)
     for (sizes, flat, n, _), at in zip(parts, spots):
-        size = np.repeat(sizes.astype(np.int64), n)
-        src = np.repeat((np.cumsum(sizes.astype(np.int64)) - sizes), n)
+        own = sizes.astype(np.int64)
+        size = np.repeat(own, n)
         inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        src = np.repeat(np.cumsum(own) - own, n)
         out[np.repeat(begins[at], size) + inner] = flat[np.repeat(src, size) + inner]
     return out, begins
 
 
 def _chunk(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
     """(documents, identifiers, ends of the documents) of the rows of one chunk."""
-    import zstandard
-
-    z = zstandard.ZstdDecompressor()
-    docs, sizes, data = [], np.zeros(0, np.int64), []
-    for bucket, raw, ids in zip(*(table.column(c).to_pylist() for c in ("bucket", "data", "doc_ids"))):
+    docs, sizes, rows = [], np.zeros(0, np.int64), []
+    for bucket, data, where, ids in zip(*(table.column(c).to_pylist() for c in ("bucket", "data", "places", "doc_ids"))):
         if bucket < 0:
-            docs, sizes = ids, unpack(z.decompress(raw))[0].astype(np.int64)
+            docs, sizes = ids, unpack(_unzip(data))[0].astype(np.int64)
         else:
-            data.append(z.decompress(raw))
-    ids, begins = chunk_ids(data)
+            rows.append((data, where))
+    ids, begins = chunk_ids(rows)
     return docs, ids, np.append(begins, len(ids))[np.cumsum(sizes)]
 
 
@@ -292,7 +336,7 @@ def decode_kernel(batches, path: str):
 
 # ------------------------------------------------------------------ the operator
 
-_ROWS = "chunk long, bucket int, data binary, doc_ids array<long>"
+_ROWS = "chunk long, bucket int, data binary, places binary, doc_ids array<long>"
 
 
 def _coded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str) -> DataFrame:
