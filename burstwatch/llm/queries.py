@@ -9,17 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from burstwatch.llm import language_id, toxicity
+from burstwatch.llm.ann_graph import nearest
 from burstwatch.llm.bpe_codec import bpe_digests
 from burstwatch.llm.near_dedup import near_duplicates
 from burstwatch.llm.packing import pack_sequences
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
+from burstwatch.llm.topk_pivots import top_products
 
 
 #: Rank file, pattern and end-of-text string of the byte-level vocabulary.
 VOCAB = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, "<|endoftext|>")
 
+#: Queries of the searches: rows whose vec_id is divisible by this.
+QUERY_STEP = 50
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,6 +54,16 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+def op6_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _table(spark, sf_dir, "embeddings")
+    return nearest(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=5)
+
+
+def op7_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _table(spark, sf_dir, "embeddings")
+    return top_products(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=5)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(_table(spark, sf_dir, "documents"))
 
@@ -68,9 +83,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op5_near_dedup": op5_near_dedup,
+    "op6_ann_graph": op6_ann_graph,
+    "op7_topk_pivots": op7_topk_pivots,
     "op8_secret_scan": op8_secret_scan,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_topk_pivots": f"""
+WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS DOUBLE)) AS w
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.w, x.w) AS BIGINT) AS score
+      FROM x AS q JOIN x ON q.vec_id <> x.vec_id WHERE q.vec_id % {QUERY_STEP} = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
