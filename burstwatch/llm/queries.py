@@ -5,34 +5,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from burstwatch.llm import language_id, toxicity
 from burstwatch.llm.ann_graph import nearest
 from burstwatch.llm.bpe_codec import bpe_digests
 from burstwatch.llm.near_dedup import near_duplicates
 from burstwatch.llm.packing import pack_sequences
+from burstwatch.llm.parameters import FILE_END, PACK_END, PIECES, QUERY_STEP, TOKEN_LIMIT, TOP, VOCAB, WINDOW
 from burstwatch.llm.secret_scan import secret_scan
 from burstwatch.llm.token_count import token_counts
 from burstwatch.llm.token_files import fresh_root, read_token_files, write_token_files
 from burstwatch.llm.topk_pivots import top_products
 
 
-#: Rank file, pattern and end-of-text string of the byte-level vocabulary.
-VOCAB = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, "<|endoftext|>")
-
-#: Queries of the searches: rows whose vec_id is divisible by this.
-QUERY_STEP = 50
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"),
-                        public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+                        PIECES, limit=TOKEN_LIMIT)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,12 +35,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_sequences(_table(spark, sf_dir, "documents"), VOCAB, end_id=1, window=2048)
+    return pack_sequences(_table(spark, sf_dir, "documents"), VOCAB, end_id=PACK_END, window=WINDOW)
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_root(spark, "token-files")
-    write_token_files(_table(spark, sf_dir, "documents"), root, VOCAB, end_id=0)
+    write_token_files(_table(spark, sf_dir, "documents"), root, VOCAB, end_id=FILE_END)
     return read_token_files(spark, root)
 
 
@@ -56,12 +50,12 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ann_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _table(spark, sf_dir, "embeddings")
-    return nearest(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=5)
+    return nearest(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=TOP)
 
 
 def op7_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _table(spark, sf_dir, "embeddings")
-    return top_products(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=5)
+    return top_products(x, x.where(f"vec_id % {QUERY_STEP} = 0"), k=TOP)
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +71,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_language_id": op10_language_id,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,5 +98,8 @@ WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * C
 s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.w, x.w) AS BIGINT) AS score
       FROM x AS q JOIN x ON q.vec_id <> x.vec_id WHERE q.vec_id % {QUERY_STEP} = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= {TOP}""",
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

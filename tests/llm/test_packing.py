@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from burstwatch.llm.packing import Plan, closest_multiset, pack_sequences
-from burstwatch.llm.queries import VOCAB
+from burstwatch.llm.parameters import VOCAB
 
 TOK = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
 
