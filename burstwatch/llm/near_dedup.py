@@ -9,9 +9,11 @@ with the concentration of that many independent samples.
 
 Documents of equal sets are one node. Bands of coordinates give candidates; links
 are confirmed on the full sets. Within a bucket not all pairs are made: all members
-are held against one pivot, linked ones become one component, and only members
-that are still in different components go on, with the next pivot, and after some
-rounds with each other across components. Components are found by alternating
+are held against one pivot, and linked ones become one component. Buckets of one
+component are done. In the others, members that share a rare shingle are held against
+each other; apart from these, a member of too many rare shingles cannot be linked and
+leaves. What stays meets the next pivot (the member of the fewest rare shingles) as
+long as that links something, and in the end each other across components. Components are found by alternating
 large-star and small-star steps on tables; nothing is gathered."""
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from burstwatch.session import cut_lineage
 BANDS = 40
 #: Odds at which a pair of just the threshold may share no band.
 MISS = 1e-5
-#: Rounds of pivots before members of different components meet pairwise.
-PIVOTS = 4
+#: Open members that a shingle may have to be rare: their pairs are made one by one.
+RARE = 32
 #: Rows (two longs each) that may be broadcast.
 BROADCAST_ROWS = 250_000
 #: Hashes of a sketch's rounds made at a time.
@@ -183,6 +185,16 @@ def sets_kernel(batches, k: int):
                            node=pa.int64(), shingles=pa.binary())
 
 
+def shingle_kernel(batches):
+    """(node, shingle) of sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            b = batch.slice(at, 512)
+            sets = [np.frombuffer(x, "<i8") for x in b.column("shingles").to_pylist()]
+            yield record_batch({"node": np.repeat(b.column("node").to_numpy(), [len(x) for x in sets]),
+                                "shingle": np.concatenate(sets)}, node=pa.int64(), shingle=pa.int64())
+
+
 def confirm_kernel(batches, percent: int):
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
@@ -196,27 +208,30 @@ def confirm_kernel(batches, percent: int):
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the edges (a, b): root is the least node of the
-    component. Large-star and small-star steps until neither changes an edge."""
+    component. Large-star and small-star steps until all edges are stars."""
     edges = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # stored, so that the join below can split a node of many edges
         least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m")))
         # large star: larger neighbours go to the least neighbour (an edge (u, v), u > v, goes by v)
         large = edges.join(least, F.col("v") == F.col("x")).select("u", F.col("m").alias("v"))
         large = cut_lineage(large.where("u <> v").distinct())
-        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m"))
+        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), "m")
         # small star: smaller neighbours and the node itself go to the least one
         small = large.join(least, F.col("u") == F.col("x")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut_lineage(small.union(least.select(F.col("x").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct())
-        now = tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first())
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each larger end has one edge and is no smaller end."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("n"), F.lit(0).alias("low")).union(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("n"), F.lit(1).alias("low")))
+    return ends.groupBy("x").agg(F.sum("n").alias("n"), F.max("low").alias("low")).where("n > 1 OR (n = 1 AND low = 1)").isEmpty()
+
+
 # ------------------------------------------------------------------ the operator
 
 def _few(df: DataFrame) -> DataFrame:
@@ -232,44 +247,90 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut_lineage(arrow_map(fit, confirm_kernel, "a long, b long", percent))
 
 
+def _most(n, common, other, percent: int):
+    """Whether a set of ``n`` shingles, of which at most ``common`` are in another set of size
+    ``other``, can be linked with it."""
+    both = F.least(common, other)
+    return 100 * both >= percent * (n + other - both)
+
+
+def _open(left: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, int]:
+    """Members (key, node, n, root, rare) of buckets of several components that may have a
+    link without a rare shingle in common; the pairs of open members of different
+    components that do have one; and the component of most members.
+
+    ``rare`` counts the shingles of a member that at most RARE open members have. Two
+    members that share none of them have at most n - rare shingles in common, too few for
+    some to be linked with any set of a size as in their bucket: these leave it."""
+    known = left.select("key", "node", "n")
+    known = known.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")) if roots is not None \
+        else known.withColumn("root", F.col("node"))
+    known = cut_lineage(_several(known))
+    nodes = cut_lineage(known.select("node", "n", "root").distinct())
+    top = nodes.groupBy("root").count().orderBy(F.desc("count"), "root").first()
+    largest = top["root"] if top else 0
+    each = cut_lineage(arrow_map(sets.join(nodes, "node", "left_semi"), shingle_kernel, "node long, shingle long"))
+    seldom = cut_lineage(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") <= RARE))
+    rows = cut_lineage(each.join(seldom, "shingle"))
+    some = rows.where("c > 1").join(nodes, "node").select("shingle", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "root")])
+    one = some.where(F.col("root2") != largest).toDF("shingle", "node1", "n1", "root1")
+    # of two different components, one is not the largest
+    pairs = one.join(some, "shingle").where("root1 <> root2 AND (root2 = {0} OR node1 < node2)".format(largest)).select(
+        F.col("node1").alias("a"), F.col("node2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb")).distinct()
+    sizes = known.groupBy("key").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    fit = known.join(cut_lineage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("rare"))), "node", "left") \
+        .withColumn("rare", F.coalesce("rare", F.lit(0))).join(cut_lineage(sizes), "key")
+    common = F.col("n") - F.col("rare")
+    best = F.greatest("lo", F.least("hi", common))  # the size that comes closest to what is common
+    fit = fit.where(_most(F.col("n"), common, best, percent)).select("key", "node", "n", "root", "rare")
+    return cut_lineage(_several(fit)), cut_lineage(pairs), largest
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one root."""
+    keys = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    return members.join(cut_lineage(keys), "key", "left_semi")
+
+
 def _links(nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame | None:
     """(node, root) of the nodes that are linked with another one; None if there are none.
     ``nodes``: node, rep, n, bands; ``rows``: doc_id, text."""
     keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
-    open_ = cut_lineage(keyed.join(shared, "key"))  # members of buckets of several
-    members = cut_lineage(open_.select(F.col("node").alias("wanted")).distinct()
+    # a bucket's first pivot is its least node
+    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p"))
+                         .where("c > 1").select("key", F.col("p.node").alias("a"), F.col("p.n").alias("na")))
+    left = cut_lineage(keyed.join(shared, "key"))
+    members = cut_lineage(left.select(F.col("node").alias("wanted")).distinct()
                           .join(nodes.select(F.col("node").alias("wanted"), "rep"), "wanted"))
     texts = rows.join(_few(members), F.col("doc_id").eqNullSafe(F.col("rep"))).select("wanted", "text")
     sets = cut_lineage(arrow_map(texts, sets_kernel, "node long, shingles binary", k).dropDuplicates(["node"]))
-    roots, left = None, open_.withColumn("root", F.col("node"))
-    for turn in range(PIVOTS + 1):
-        if left.isEmpty():
-            break
-        if turn < PIVOTS:
-            pivot = cut_lineage(left.groupBy("key").agg(F.min(F.struct("node", "n", "root")).alias("p"))
-                                .select("key", "p.*").toDF("key", "a", "na", "ra"))
-            pairs = left.join(pivot, "key").where("root <> ra").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
+    roots, last = None, False
+    pairs = left.where("node <> a").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
+    while True:
+        found = _confirmed(pairs.distinct(), sets, percent)
+        new = not found.isEmpty()
+        if new:
+            roots = cut_lineage(components(found if roots is None else found.union(roots.toDF("a", "b"))))
+        if last:
+            return roots
+        # the pivot has met all others of its bucket
+        left, shared_rare, largest = _open(left.where("node <> a"), roots, sets, percent)
+        if left.isEmpty() or not new:
+            last = True  # what is left meets across components
+            one = left.where(F.col("root") != largest).select("key", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "root", "rare")])
+            two = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "root", "rare")])
+            able = _most(F.col("n1"), F.col("n1") - F.col("rare1"), F.col("n2"), percent) \
+                & _most(F.col("n2"), F.col("n2") - F.col("rare2"), F.col("n1"), percent)
+            met = one.join(two, (one["key"] == two["key"]) & (F.col("root1") != F.col("root2"))
+                           & ((F.col("root2") == largest) | (F.col("node1") < F.col("node2"))) & able).select(
+                F.col("node1").alias("a"), F.col("node2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb"))
         else:
-            other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "root")])
-            pairs = left.join(other, "key").where("node < node2 AND root <> root2").select(
-                F.col("node").alias("a"), F.col("node2").alias("b"), F.col("n").alias("na"), F.col("n2").alias("nb"))
-        found = _confirmed(cut_lineage(pairs.distinct()), sets, percent)
-        if not found.isEmpty():
-            edges = found if roots is None else found.union(roots.toDF("a", "b"))
-            roots = cut_lineage(components(edges))
-        if turn < PIVOTS:
-            # the pivot has met all others of its bucket; buckets of one component are done
-            left = left.select("key", "node", "n").join(pivot.select("key", "a"), "key").where("node <> a").drop("a")
-            if roots is not None:
-                left = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            else:
-                left = left.withColumn("root", F.col("node"))
-            left = cut_lineage(left)
-            mixed = cut_lineage(left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                                .where("lo <> hi").select("key"))
-            left = cut_lineage(left.join(mixed, "key").select("key", "node", "n", "root"))
-    return roots
+            # the next pivot is the member of the fewest rare shingles
+            pivot = cut_lineage(left.groupBy("key").agg(F.min(F.struct("rare", "node", "n", "root")).alias("p"))
+                                .select("key", F.col("p.node").alias("a"), F.col("p.n").alias("na"), F.col("p.root").alias("ra")))
+            left = left.join(pivot, "key")
+            met = left.where("root <> ra").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
+        pairs = met.union(shared_rare)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85, bands: int = BANDS,
@@ -291,10 +352,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     roots = _links(nodes, rows, shingle_words, percent)
     of = nodes.select("node", F.col("rep").alias("component_id"))
     if roots is not None:
-        known = cut_lineage(roots.join(of, "node"))
-        least = known.groupBy("root").agg(F.min("component_id").alias("least"))
-        joined = cut_lineage(known.join(cut_lineage(least), "root").select("node", "least"))
-        of = cut_lineage(of.join(joined, "node", "left").select("node", F.coalesce("least", "component_id").alias("component_id")))
+        least = cut_lineage(roots.join(of, "node").groupBy("root").agg(F.min("component_id").alias("least")))
+        linked_nodes = roots.join(least, "root").select("node", "least")
+        of = cut_lineage(of.join(linked_nodes, "node", "left").select("node", F.coalesce("least", "component_id").alias("component_id")))
     return sketches.select("doc_id", "n_shingles", "node").join(of, "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
