@@ -2,7 +2,7 @@
 
 Queries run over the driver's tables through the adapters in
 ``burstwatch.sources.adapters`` (events play the comment stream, 6-hour
-windows). Double columns are rounded identically on both sides.
+windows). Double columns are shown at single precision on both sides.
 """
 
 from __future__ import annotations
@@ -53,41 +53,49 @@ def _prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _round(df: DataFrame, cols, digits: int) -> DataFrame:
+def _shown(df: DataFrame, cols) -> DataFrame:
+    """Doubles at single precision (below 1e-9: 0): the precision at which sums made
+    in different orders agree. The oracle shows its values the same way."""
+    def single(c):
+        return F.when(F.abs(c) < 1e-9, F.lit(0.0)).otherwise(F.col(c).cast("float").cast("double")).alias(c)
+
     cols = set(cols)
-    return df.select(*[F.round(F.col(c) * F.lit(OQ.NUDGE), digits).alias(c) if c in cols
-                       else F.col(c) for c in df.columns])
+    return df.select(*[single(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _q_window_metrics(spark, sf_dir):
     _prepare(spark)
     m = window_metrics(load_comments(spark, sf_dir), P)
-    return _round(m, DOUBLE_MEASURES, OQ.D)
+    return _shown(m, DOUBLE_MEASURES)
 
 
 def _q_window_metrics_live(spark, sf_dir):
     _prepare(spark)
     m = window_metrics(load_comments(spark, sf_dir), P, gap_scope="window")
-    return _round(m, DOUBLE_MEASURES, OQ.D)
+    return _shown(m, DOUBLE_MEASURES)
 
 
 def _q_rolling_baseline(spark, sf_dir):
     _prepare(spark)
     s = scored_windows(load_comments(spark, sf_dir), P)
     s = s.select("video_id", "window_start", *MEASURES, *Z_COLUMNS)
-    return _round(_round(s, DOUBLE_MEASURES, OQ.D), Z_COLUMNS, OQ.Z)
+    return _shown(_shown(s, DOUBLE_MEASURES), Z_COLUMNS)
 
 
 def _q_coordination_score(spark, sf_dir):
     _prepare(spark)
     s = scored_windows(load_comments(spark, sf_dir), P)
     s = s.select("video_id", "window_start", "total_comments", *Z_COLUMNS, "coordination_score")
-    return _round(s, Z_COLUMNS, OQ.Z)
+    return _shown(s, Z_COLUMNS)
 
 
 def _q_replay(spark, sf_dir):
     _prepare(spark)
-    return _round(replay(load_comments(spark, sf_dir), P), DOUBLE_MEASURES, OQ.D)
+    return _shown(replay(load_comments(spark, sf_dir), P), DOUBLE_MEASURES)
 
 
 def _q_detect_patterns(spark, sf_dir):
@@ -101,7 +109,7 @@ def _q_detect_patterns(spark, sf_dir):
 def _q_explode_alerts(spark, sf_dir):
     _prepare(spark)
     a = detect_patterns(scored_windows(load_comments(spark, sf_dir), P), P)
-    return explode_alerts(a)
+    return _shown(explode_alerts(a, P), Z_COLUMNS)
 
 
 def _alerts_and_comments(spark, sf_dir):
@@ -115,7 +123,7 @@ def _q_alert_comments(spark, sf_dir):
     _, ac = _alerts_and_comments(spark, sf_dir)
     ac = ac.select("video_id", "window_start", "comment_id", "author_id", "text",
                    "published_at", "sentiment")
-    return _round(ac, ["sentiment"], OQ.D)
+    return _shown(ac, ["sentiment"])
 
 
 def _q_window_timeline(spark, sf_dir):
@@ -149,10 +157,10 @@ def _q_text_similarity(spark, sf_dir):
 
 
 def _q_top_keywords(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
+    docs = load_table(spark, sf_dir, "documents", _tasks(spark))
     top = top_keywords(docs, ["source"], "doc_id", "text", P.top_keywords,
                        max_df=P.keyword_max_df)
-    return _round(top.select("source", "rank", "term", "score"), ["score"], OQ.D)
+    return _shown(top.select("source", "rank", "term", "score"), ["score"])
 
 
 def _q_templated_windows(spark, sf_dir):
@@ -179,13 +187,13 @@ def _q_alert_table(spark, sf_dir):
     sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
                      ["published_at", "comment_id"], P.similarity_sample).drop("rank")
     table = alert_table(alerts, with_document_text(sample, docs), P)
-    return table.withColumn("keywords", F.array_join("keywords", ","))
+    return _shown(table.withColumn("keywords", F.array_join("keywords", ",")), Z_COLUMNS)
 
 
 def _q_write_alerts(spark, sf_dir):
     """The alerts table written to storage (partitioned by window date) and
     read back."""
-    from burstwatch.sources import write_alerts
+    from burstwatch.sources import read_alerts, write_alerts
 
     _prepare(spark)
     alerts, ac = _alerts_and_comments(spark, sf_dir)
@@ -196,8 +204,9 @@ def _q_write_alerts(spark, sf_dir):
     table = alert_table(alerts, with_document_text(sample, docs), P)
     path = f"{_table_root(spark, 'alerts')}/table"
     write_alerts(table, path)
-    stored = spark.read.parquet(path).drop("window_date")
-    return stored.withColumn("keywords", F.array_join("keywords", ","))
+    write_alerts(read_alerts(spark, path), path)  # a re-run changes nothing
+    stored = read_alerts(spark, path)
+    return _shown(stored.withColumn("keywords", F.array_join("keywords", ",")), Z_COLUMNS)
 
 
 def _q_sentiment_score(spark, sf_dir):
@@ -207,9 +216,9 @@ def _q_sentiment_score(spark, sf_dir):
 
 
 def _q_with_sentiment(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = load_table(spark, sf_dir, "documents", _tasks(spark)).select("doc_id", "text")
     out = with_sentiment(docs, "text", params=P, keep_prediction=True)
-    return _round(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"], OQ.D)
+    return _shown(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"])
 
 
 def _q_with_gaps(spark, sf_dir):
@@ -223,7 +232,7 @@ def _q_window_metrics_between(spark, sf_dir):
     c = load_comments(spark, sf_dir)
     videos = c.select("video_id").union(spark.createDataFrame([(OQ.QUIET_VIDEO,)], "video_id string"))
     m = window_metrics_between(c, OQ.BETWEEN[0], OQ.BETWEEN[1], videos=videos)
-    return _round(m, DOUBLE_MEASURES, OQ.D)
+    return _shown(m, DOUBLE_MEASURES)
 
 
 def _q_parse_comments(spark, sf_dir):
@@ -236,11 +245,14 @@ def _q_parse_comments(spark, sf_dir):
 def _q_normalize_timestamp(spark, sf_dir):
     _prepare(spark)
     ev = load_table(spark, sf_dir, "events")
-    variant = F.pmod(F.col("event_id"), F.lit(4)).cast("int")
+    variant = F.pmod(F.col("event_id"), F.lit(7)).cast("int")
+    later = F.col("ts") + F.expr("INTERVAL 2 HOURS")
     raw = (F.when(variant == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-           .when(variant == 1, F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"),
-                                             "yyyy-MM-dd'T'HH:mm:ss.SSS'+02:00'"))
+           .when(variant == 1, F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss.SSS'+02:00'"))
            .when(variant == 2, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+           .when(variant == 4, F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss'+02'"))
+           .when(variant == 5, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
+           .when(variant == 6, F.date_format("ts", "yyyyMMdd"))
            .otherwise(F.concat(F.lit("not a time "), F.col("props"))))
     return ev.select("event_id", variant.alias("variant"),
                      normalize_timestamp(raw).alias("published_at"))
@@ -255,8 +267,7 @@ def _split(spark, sf_dir):
 
 def _q_high_water_marks(spark, sf_dir):
     _prepare(spark)
-    _, old, _ = _split(spark, sf_dir)
-    return high_water_marks(old)
+    return high_water_marks(load_comments(spark, sf_dir))
 
 
 def _q_delta_since(spark, sf_dir):
@@ -272,36 +283,55 @@ def _q_append_ignore_duplicates(spark, sf_dir):
     refetched = (new.filter(F.col("published_at").between(lo, hi))
                  .withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 DAY")))
     table = insert_ignore_duplicates(old, new.unionByName(refetched))
-    return _round(table, ["sentiment"], OQ.D)
+    return _shown(table, ["sentiment"])
 
 
 def _q_upsert_window_metrics(spark, sf_dir):
     _prepare(spark)
     _, old, new = _split(spark, sf_dir)
     table = upsert_window_metrics(replay(old, P), replay(new, P))
-    return _round(table, DOUBLE_MEASURES, OQ.D)
+    return _shown(table, DOUBLE_MEASURES)
+
+
+WATERMARK = f"{OQ.STREAM_WATERMARK_SECONDS} seconds"
+#: After all events and their windows.
+CLOSING_AT = "2100-01-01 00:00:00"
+
+
+def _event_stream(spark, sf_dir, root):
+    """The events table (a file or a folder of part files) as a comment stream that
+    closes all its windows."""
+    from burstwatch.sources.adapters import comments_from_events
+    from burstwatch.streaming import closing_comments, stream_comments
+
+    schema = load_table(spark, sf_dir, "events").schema
+    events = comments_from_events(stream_comments(spark, f"{sf_dir}/events.parquet", schema))
+    return events.unionByName(closing_comments(spark, f"{root}/closing", CLOSING_AT))
 
 
 def _q_stream_replay(spark, sf_dir):
     """The live path over the whole events table as a file stream: stream
-    windows -> stateful baseline -> upsert sink; returns the sink table.
-    The last window of each video stays open (watermark), as in any stream."""
-    import uuid
+    windows -> stateful baseline -> upsert sink; returns the sink table."""
+    from burstwatch.sources import read_window_metrics
+    from burstwatch.streaming import stream_pipeline, stream_sink
 
-    from burstwatch.session import ensure_checkpoint_dir
-    from burstwatch.sources.adapters import comments_from_events
-    from burstwatch.streaming import stream_comments, stream_pipeline, stream_sink
+    _prepare(spark)
+    root = _table_root(spark, "stream-replay")
+    scored = stream_pipeline(_event_stream(spark, sf_dir, root), P, watermark=WATERMARK)
+    stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return _shown(read_window_metrics(spark, f"{root}/table"), DOUBLE_MEASURES)
+
+
+def _q_stream_alerts(spark, sf_dir):
+    """Alerts that the live path writes for its windows, with their z values."""
+    from burstwatch.sources import read_alerts
+    from burstwatch.streaming import stream_pipeline, stream_sink
 
     _prepare(spark)
-    schema = load_table(spark, sf_dir, "events").schema
-    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
-    scored = stream_pipeline(comments_from_events(src), P,
-                             watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
-    root = f"{ensure_checkpoint_dir(spark)}/stream-replay-{uuid.uuid4().hex}"
-    q = stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    table = spark.read.parquet(f"{root}/table").drop("window_date")
-    return _round(table, DOUBLE_MEASURES, OQ.D)
+    root = _table_root(spark, "stream-alerts")
+    scored = stream_pipeline(_event_stream(spark, sf_dir, root), P, watermark=WATERMARK)
+    stream_sink(scored, f"{root}/table", f"{root}/checkpoint", {"availableNow": True}, f"{root}/alerts", P).awaitTermination()
+    return _shown(read_alerts(spark, f"{root}/alerts").drop("similarity", "keywords"), Z_COLUMNS)
 
 
 def _q_robust_z(spark, sf_dir):
@@ -315,10 +345,10 @@ def _q_robust_z(spark, sf_dir):
     m = window_metrics(load_comments(spark, sf_dir), P)
     frame = Window.partitionBy("video_id").orderBy("window_start").rowsBetween(-P.max_windows, -1)
     h = m.withColumn("_h", F.collect_list(F.col("total_comments").cast("double")).over(frame))
-    z = robust_z(F.col("total_comments"), F.col("_h"), P.mad_floors["count"], P)
+    z = robust_z("total_comments", "_h", P.mad_floors["count"], P)
     out = h.select("video_id", "window_start", "total_comments",
                    F.size("_h").cast("long").alias("history_size"), z.alias("count_z"))
-    return _round(out, ["count_z"], OQ.Z)
+    return _shown(out, ["count_z"])
 
 
 def _table_root(spark, name):
@@ -332,20 +362,16 @@ def _table_root(spark, name):
 def _q_stream_window_metrics(spark, sf_dir):
     """Live window measures from the events table read as a file stream,
     written by a parquet sink in append mode; returns the sink table."""
-    from burstwatch.sources.adapters import comments_from_events
-    from burstwatch.streaming import stream_comments, stream_window_metrics
+    from burstwatch.streaming import stream_window_metrics
 
     _prepare(spark)
-    schema = load_table(spark, sf_dir, "events").schema
-    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
-    m = stream_window_metrics(comments_from_events(src), P,
-                              watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
     root = _table_root(spark, "stream-window-metrics")
+    m = stream_window_metrics(_event_stream(spark, sf_dir, root), P, watermark=WATERMARK)
     q = (m.writeStream.format("parquet").outputMode("append")
          .option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _round(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES, OQ.D)
+    return _shown(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES)
 
 
 def _q_ingest_comments(spark, sf_dir):
@@ -360,8 +386,8 @@ def _q_ingest_comments(spark, sf_dir):
     ingest_comments(spark, pages, path, params=P, fetched_at=OQ.INGEST_FETCHED_AT)
     ingest_comments(spark, pages, path, params=P, fetched_at="2024-02-02 00:00:00")
     table = read_comments(spark, path)
-    return _round(table.select("comment_id", "video_id", "author_id", "text", "sentiment",
-                               "published_at", "fetched_at"), ["sentiment"], OQ.D)
+    return _shown(table.select("comment_id", "video_id", "author_id", "text", "sentiment",
+                               "published_at", "fetched_at"), ["sentiment"])
 
 
 def _q_read_comment_pages(spark, sf_dir):
@@ -386,8 +412,8 @@ def _q_read_comments(spark, sf_dir):
     path = f"{_table_root(spark, 'comments')}/table"
     write_comments(load_comments(spark, sf_dir), path)
     got = read_comments(spark, path, video_id=OQ.SCAN_VIDEO, start=OQ.BETWEEN[0], end=OQ.BETWEEN[1])
-    return _round(got.select("comment_id", "video_id", "author_id", "text", "sentiment",
-                             "published_at"), ["sentiment"], OQ.D)
+    return _shown(got.select("comment_id", "video_id", "author_id", "text", "sentiment",
+                             "published_at"), ["sentiment"])
 
 
 def _q_stream_pages_window_metrics(spark, sf_dir):
@@ -396,41 +422,97 @@ def _q_stream_pages_window_metrics(spark, sf_dir):
     sentiment and cut into closed windows; returns the sink table."""
     from burstwatch.operators.sentiment import with_sentiment
     from burstwatch.sources import land_comment_pages, stream_comment_pages
-    from burstwatch.streaming import stream_window_metrics
+    from burstwatch.streaming import closing_comments, stream_window_metrics
 
     _prepare(spark)
     root = _table_root(spark, "stream-pages")
     land_comment_pages(comment_pages(load_comments(spark, sf_dir)), f"{root}/landed")
     pages = stream_comment_pages(spark, f"{root}/landed", multi_line=False)
     comments = with_sentiment(parse_comments(pages, fetched_at="2024-02-01 00:00:00"), params=P)
-    m = stream_window_metrics(comments, P, watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
+    comments = comments.unionByName(closing_comments(spark, f"{root}/closing", CLOSING_AT))
+    m = stream_window_metrics(comments, P, watermark=WATERMARK)
     q = (m.writeStream.format("parquet").outputMode("append")
          .option("path", f"{root}/table").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _round(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES, OQ.D)
+    return _shown(spark.read.schema(m.schema).parquet(f"{root}/table"), DOUBLE_MEASURES)
+
+
+def _q_stream_ingest(spark, sf_dir):
+    """Landed pages as a stream into the comment store; the pages land twice."""
+    from burstwatch.sources import land_comment_pages, read_comments, stream_comment_pages
+    from burstwatch.streaming import stream_ingest
+
+    _prepare(spark)
+    root = _table_root(spark, "stream-ingest")
+    for _ in range(2):
+        land_comment_pages(comment_pages(load_comments(spark, sf_dir)), f"{root}/landed")
+    pages = stream_comment_pages(spark, f"{root}/landed", multi_line=False)
+    stream_ingest(pages, f"{root}/comments", f"{root}/checkpoint", {"availableNow": True}, params=P,
+                  fetched_at=OQ.INGEST_FETCHED_AT).awaitTermination()
+    table = read_comments(spark, f"{root}/comments")
+    return _shown(table.select("comment_id", "video_id", "author_id", "text", "sentiment",
+                               "published_at", "fetched_at"), ["sentiment"])
+
+
+def _q_live_pipeline(spark, sf_dir):
+    """Backfill and live detection from landed pages as one plan; the live pages
+    overlap the history. Returns the window table."""
+    from burstwatch.plans.live import live_pipeline
+    from burstwatch.sources import (
+        land_comment_pages, read_comment_pages, read_window_metrics, stream_comment_pages,
+    )
+
+    _prepare(spark)
+    root = _table_root(spark, "live")
+    _, old, new = _split(spark, sf_dir)
+    land_comment_pages(comment_pages(old), f"{root}/history")
+    land_comment_pages(comment_pages(new), f"{root}/landed")
+    started = live_pipeline(spark, read_comment_pages(spark, f"{root}/history", multi_line=False),
+                            stream_comment_pages(spark, f"{root}/landed", multi_line=False), f"{root}/tables", P,
+                            WATERMARK, fetched_at=OQ.INGEST_FETCHED_AT, closing_at=CLOSING_AT,
+                            trigger={"availableNow": True})
+    for q in started:
+        q.awaitTermination()
+    return _shown(read_window_metrics(spark, f"{root}/tables/windows"), DOUBLE_MEASURES)
+
+
+def _q_quarantined_items(spark, sf_dir):
+    """Every event as a page of one item, some of them broken, through the ingest;
+    returns the stored quarantine."""
+    from burstwatch.plans.ingest import ingest_comments, quarantine_path
+    from burstwatch.sources import read_quarantine
+
+    _prepare(spark)
+    c = load_comments(spark, sf_dir)
+    kind = F.pmod(F.col("comment_id").cast("long"), F.lit(5))
+    at = F.when(kind == 1, F.lit("soon")).otherwise(F.lit("2024-01-01T00:00:00Z"))
+    item = F.struct(F.when(kind != 2, F.col("comment_id")).alias("id"), F.struct(F.struct(F.struct(
+        F.struct(F.col("author_id").alias("value")).alias("authorChannelId"), F.col("text").alias("textOriginal"),
+        at.alias("publishedAt")).alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    page = F.when(kind == 3, F.concat(F.lit("broken "), F.col("comment_id"))).otherwise(
+        F.to_json(F.struct(F.array(item).alias("items"))))
+    path = f"{_table_root(spark, 'quarantine')}/comments"
+    pages = pages_from_json(c.select("video_id", page.alias("page_json")))
+    for _ in range(2):  # the second fetch adds nothing
+        ingest_comments(spark, pages, path, params=P, fetched_at=OQ.INGEST_FETCHED_AT)
+    return read_quarantine(spark, quarantine_path(path))
 
 
 def _q_stream_handoff(spark, sf_dir):
-    """Backfill, then live: comments before the hand-off time are replayed in
-    batch and seed the per-video stream state (last 20 windows and the last
-    comment second); the file stream takes the comments from then on."""
-    from burstwatch.sources.adapters import comments_from_events
-    from burstwatch.streaming import stream_comments, stream_pipeline, stream_sink
+    """Backfill, then live: comments before the hand-off are replayed in batch and
+    seed the per-video stream state (last 20 windows and the last comment second);
+    the file stream takes the comments from then on. The hand-off is inside a
+    window and moves down to its edge."""
+    from burstwatch.sources import read_window_metrics
+    from burstwatch.streaming import stream_pipeline, stream_sink
 
     _prepare(spark)
-    at = F.lit(OQ.HANDOFF_AT).cast("timestamp")
-    history = load_comments(spark, sf_dir).filter(F.col("published_at") < at)
-    schema = load_table(spark, sf_dir, "events").schema
-    src = stream_comments(spark, sf_dir, schema, pathGlobFilter="events.parquet")
-    live = comments_from_events(src).filter(F.col("published_at") >= at)
-    scored = stream_pipeline(live, P, history_comments=history,
-                             watermark=f"{OQ.STREAM_WATERMARK_SECONDS} seconds")
     root = _table_root(spark, "stream-handoff")
-    q = stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True})
-    q.awaitTermination()
-    table = spark.read.parquet(f"{root}/table").drop("window_date")
-    return _round(table, DOUBLE_MEASURES, OQ.D)
+    scored = stream_pipeline(_event_stream(spark, sf_dir, root), P, history_comments=load_comments(spark, sf_dir),
+                             watermark=WATERMARK, handoff_at=OQ.HANDOFF_AT)
+    stream_sink(scored, f"{root}/table", f"{root}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return _shown(read_window_metrics(spark, f"{root}/table"), DOUBLE_MEASURES)
 
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str] | None]] = {
@@ -470,6 +552,10 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
                                     OQ.q_stream_pages_window_metrics),
     "write_alerts": (_q_write_alerts, OQ.q_alert_table),
     "stream_handoff": (_q_stream_handoff, OQ.q_stream_handoff),
+    "stream_alerts": (_q_stream_alerts, OQ.q_stream_alerts),
+    "stream_ingest": (_q_stream_ingest, OQ.q_ingest_comments),
+    "live_pipeline": (_q_live_pipeline, OQ.q_live_pipeline),
+    "quarantined_items": (_q_quarantined_items, OQ.q_quarantined_items),
 }
 
 

@@ -1,68 +1,15 @@
-"""Robust statistics as column expressions over small arrays.
+"""Robust statistics over small arrays, as SQL expressions.
 
-Intermediate values are bound once with ``let`` (a one-element ``transform``):
-Catalyst inlines projected columns into filters pushed below them, so a
-median referenced several times would otherwise be recomputed per reference."""
+Intermediate values are bound once with a one-element ``transform``: Catalyst
+inlines projected columns into filters pushed below them, so a median referenced
+several times would otherwise be recomputed per reference."""
 
 from __future__ import annotations
 
-from typing import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def median_of_sorted(b: Column) -> Column:
-    """Median of a sorted numeric array: the middle value, or the mean of the
-    two middle values for an even count. Null for an empty array."""
-    k = F.size(b)
-    lo = F.get(b, F.floor((k - 1) / 2).cast("int"))
-    hi = F.get(b, F.floor(k / 2).cast("int"))
-    return (lo.cast("double") + hi.cast("double")) / 2
-
-
-def array_median(arr: Column) -> Column:
-    return let(F.array_sort(arr), median_of_sorted)
-
-
-def robust_z_expr(value: Column, history: Column, floor: float,
-                  mad_constant: float = 1.4826, cap: float = 20.0,
-                  min_history: int = 3) -> Column:
-    """(value - median) / max(c * MAD, floor), capped to +-cap; 0 when the
-    history holds fewer than ``min_history`` values."""
-
-    def with_sorted(b):
-        def with_median(med):
-            def with_mad(mad):
-                scale = F.greatest(mad * F.lit(mad_constant), F.lit(float(floor)))
-                z = (value.cast("double") - med) / scale
-                return F.greatest(F.lit(-cap), F.least(F.lit(cap), z))
-
-            deviations = F.array_sort(F.transform(b, lambda x: F.abs(x - med)))
-            return let(median_of_sorted(deviations), with_mad)
-
-        return F.when(F.size(b) < min_history, F.lit(0.0)).otherwise(
-            let(median_of_sorted(b), with_median))
-
-    return let(F.array_sort(F.transform(history, lambda x: x.cast("double"))), with_sorted)
-
-
-def robust_z(value: Column, history: Column, floor: float, params=None) -> Column:
-    """Robust z of ``value`` against an array of earlier values, with the
-    detector's MAD constant, cap and minimum history (``Params``); ``floor``
-    is the signal's MAD floor. No warm-up gate: 0.0 below the minimum
-    history, as the single-signal rule defines it."""
-    from burstwatch.params import DEFAULT
-
-    p = params or DEFAULT
-    return robust_z_expr(value, history, floor, p.mad_constant, p.z_cap, p.min_history)
-
-
 def dampen(z: Column, noise_floor: float = 1.2, factor: float = 0.1) -> Column:
     """abs(z) when it exceeds the noise floor, else a tenth of it."""
     a = F.abs(z)
@@ -80,9 +27,10 @@ def _median_sql(b: str) -> str:
 
 def robust_z_sql(value: str, history: str, floor: float, mad_constant: float = 1.4826,
                  cap: float = 20.0, min_history: int = 3, tag: str = "") -> str:
-    """``robust_z_expr`` as one SQL expression (parsed once on the JVM side
-    instead of being assembled call by call from Python). ``value`` and
-    ``history`` are SQL expressions; ``tag`` keeps lambda names unique."""
+    """(value - median) / max(c * MAD, floor), capped to +-cap; 0 when the
+    history holds fewer than ``min_history`` values. One SQL expression, parsed
+    once on the JVM side; ``value`` and ``history`` are SQL expressions, ``tag`` keeps
+    lambda names unique."""
     b, m, d, ds, y = (f"{v}_{tag}" for v in ("b", "m", "d", "ds", "y"))
     mad = (f"get(transform(array(array_sort(transform({b}, {y} -> abs({y} - {m})))), "
            f"{ds} -> {_median_sql(ds)}), 0)")
@@ -93,3 +41,19 @@ def robust_z_sql(value: str, history: str, floor: float, mad_constant: float = 1
             f"ELSE get(transform(array({_median_sql(b)}), {m} -> {with_median}), 0) END")
     return (f"get(transform(array(array_sort(transform({history}, x_{tag} -> CAST(x_{tag} AS DOUBLE)))), "
             f"{b} -> {body}), 0)")
+
+
+def robust_z(value: str, history: str, floor: float, params=None) -> Column:
+    """Robust z of the SQL expression ``value`` against an array of earlier values,
+    with the detector's MAD constant, cap and minimum history (``Params``); ``floor``
+    is the signal's MAD floor. No warm-up gate."""
+    from burstwatch.params import DEFAULT
+
+    p = params or DEFAULT
+    return F.expr(robust_z_sql(value, history, floor, p.mad_constant, p.z_cap, p.min_history))
+
+
+def array_median(array: str) -> Column:
+    """Median of an array (SQL expression): the middle value, or the mean of the two
+    middle values for an even count; null for an empty array."""
+    return F.expr(f"get(transform(array(array_sort({array})), b -> {_median_sql('b')}), 0)")

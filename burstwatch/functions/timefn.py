@@ -28,11 +28,30 @@ def window_label(sec: Column, length_seconds: int) -> Column:
     return sec - F.pmod(sec, F.lit(int(length_seconds)))
 
 
+# Steps from the forms of ISO 8601 to ``YYYY-MM-DDTHH:MM:SS`` with a zone of hours and
+# minutes: basic date, basic times, hours alone, date alone, decimal comma, zones.
+_DAY = r"^(\d{4}-\d{2}-\d{2})"
+_END = r"(:\d{2}(?:\.\d+)?)"
+_ISO_STEPS = [
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+    (_DAY + r".(\d{2})(\d{2})(\d{2})(?!\d)", "$1T$2:$3:$4"),
+    (_DAY + r".(\d{2}):?(\d{2})(?=$|[Zz+-])", "$1T$2:$3:00"),
+    (_DAY + r".(\d{2})(?=$|[Zz+-])", "$1T$2:00:00"),
+    (_DAY + "$", "$1T00:00:00"),
+    (r"(\d),(\d)", "$1.$2"),
+    (_END + r"([+-]\d{2})(\d{2})$", "$1$2:$3"),
+    (_END + r"([+-]\d{2})$", "$1$2:00"),
+]
+
+
 def normalize_timestamp(s: Column) -> Column:
-    """ISO-8601 text (``Z``, an offset, or none) or ``YYYY-MM-DD HH:MM:SS`` to a
-    UTC instant cut to the second; null when unparseable (callers quarantine).
-    Text without an offset is read as UTC, whatever the session zone."""
+    """ISO-8601 text (extended or basic; ``Z``, an offset of hours or of hours and
+    minutes, or none) or ``YYYY-MM-DD HH:MM:SS`` to a UTC instant cut to the second;
+    null when unparseable (callers quarantine). Text without an offset is read as
+    UTC, whatever the session zone."""
     txt = F.trim(s)
-    has_zone = txt.rlike(r"(Z|z|[+-]\d{2}:?\d{2})$")
+    for pattern, to in _ISO_STEPS:
+        txt = F.regexp_replace(txt, pattern, to)
+    has_zone = txt.rlike(_END + r"([Zz]|[+-]\d{2}:\d{2})$")
     utc_txt = F.when(has_zone, txt).otherwise(F.concat(txt, F.lit("Z")))
     return F.date_trunc("second", utc_txt.try_cast("timestamp"))

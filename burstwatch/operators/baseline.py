@@ -1,17 +1,18 @@
 """Rolling robust baseline and the coordination score.
 
 Each window is compared with the previous ``max_windows`` non-empty windows of
-its video (the current one excluded). All eight signals travel as one struct,
-so the history is a single window operator over the small window table,
-partitioned by video and ordered by window start."""
+its video (the current one excluded). The measures travel as one struct, so the
+history is a single window operator over the small window table, partitioned by
+video and ordered by window start. The stream keeps the same struct as state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstwatch.functions.stats import dampen, robust_z_sql
 from burstwatch.params import DEFAULT, Params
+from burstwatch.schemas import MEASURES
 
 # (z column, signal name in the history struct, MAD floor key)
 SIGNALS = [
@@ -26,39 +27,39 @@ SIGNALS = [
 ]
 
 
-def _signals() -> F.Column:
-    authors = F.greatest(F.col("unique_authors"), F.lit(1))
-    return F.struct(
-        F.col("total_comments").cast("double").alias("count"),
-        authors.cast("double").alias("author"),
-        F.col("avg_length").alias("length"),
-        F.col("avg_sentiment").alias("sentiment"),
-        (F.col("total_comments") / authors).alias("concentration"),
-        F.col("sentiment_variance").alias("sentiment_var"),
-        F.col("avg_gap").alias("gap"),
-        F.col("gap_variance").alias("gap_var"),
-    )
+# signal name -> SQL over a window's measures (``{m}`` prefixes their names)
+SIGNAL_SQL = {
+    "count": "CAST({m}total_comments AS DOUBLE)",
+    "author": "CAST(greatest({m}unique_authors, 1) AS DOUBLE)",
+    "length": "{m}avg_length",
+    "sentiment": "{m}avg_sentiment",
+    "concentration": "{m}total_comments / greatest({m}unique_authors, 1)",
+    "sentiment_var": "{m}sentiment_variance",
+    "gap": "{m}avg_gap",
+    "gap_var": "{m}gap_variance",
+}
 
 
-def _field_getter(name: str):
-    # F.transform reads a lambda's arity, so bind the field name by closure
-    return lambda s: s.getField(name)
+def z_columns(history: str, params: Params = DEFAULT) -> list[Column]:
+    """The eight z columns of a window's measures against ``history``, a column with
+    an array of the measures of earlier windows; null while it is shorter than
+    ``warmup``."""
+    p, out = params, []
+    for z_name, field, floor_key in SIGNALS:
+        earlier = SIGNAL_SQL[field].format(m=f"s_{field}.")
+        z = robust_z_sql(SIGNAL_SQL[field].format(m=""), f"transform({history}, s_{field} -> {earlier})",
+                         p.mad_floors[floor_key], p.mad_constant, p.z_cap, p.min_history, tag=field)
+        out.append(F.expr(f"CASE WHEN size({history}) >= {int(p.warmup)} THEN {z} END").alias(z_name))
+    return out
 
 
 def rolling_baseline(metrics: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Adds the eight robust z columns; null while a video has fewer than
     ``warmup`` earlier windows."""
-    p = params
     frame = (Window.partitionBy("video_id").orderBy("window_start")
-             .rowsBetween(-p.max_windows, -1))
-    df = (metrics.withColumn("_sig", _signals())
-          .withColumn("_hist", F.collect_list("_sig").over(frame)))
-    zs = []
-    for z_name, field, floor_key in SIGNALS:
-        z = robust_z_sql(f"_sig.`{field}`", f"transform(_hist, s_{field} -> s_{field}.`{field}`)",
-                         p.mad_floors[floor_key], p.mad_constant, p.z_cap, p.min_history, tag=field)
-        zs.append(F.expr(f"CASE WHEN size(_hist) >= {int(p.warmup)} THEN {z} END").alias(z_name))
-    return df.select(*metrics.columns, *zs)
+             .rowsBetween(-params.max_windows, -1))
+    df = metrics.withColumn("_hist", F.collect_list(F.struct(*MEASURES)).over(frame))
+    return df.select(*metrics.columns, *z_columns("_hist", params))
 
 
 def coordination_score(df: DataFrame, params: Params = DEFAULT,

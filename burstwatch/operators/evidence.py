@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstwatch.functions.timefn import window_label
-from burstwatch.operators.joins import MAX_BROADCAST_ROWS, sized_broadcast
+from burstwatch.operators.joins import MAX_BROADCAST_BYTES, sized_broadcast
 from burstwatch.operators.text import first_n
 from burstwatch.params import DEFAULT, Params
 
@@ -25,22 +25,31 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def alert_comments(comments: DataFrame, alerts: DataFrame, params: Params = DEFAULT,
-                   max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int | None = MAX_BROADCAST_BYTES) -> DataFrame:
     """Comments of every alert window [start, start + window_seconds).
 
     Comments are labelled with their window and equi-joined on
-    (video_id, window_start). With ``max_broadcast_rows`` the alert keys are
-    counted and broadcast when under the bound (pass a materialised
+    (video_id, window_start). With ``max_broadcast_bytes`` the alert keys are
+    measured and broadcast when under the bound (pass a materialised
     ``alerts``); ``None`` leaves the strategy to the planner."""
     keys = alerts.select(*KEYS).distinct()
-    if max_broadcast_rows is not None:
-        keys = sized_broadcast(keys, max_broadcast_rows)
+    if max_broadcast_bytes is not None:
+        keys = sized_broadcast(keys, max_broadcast_bytes)
     sec = F.unix_seconds(F.col("published_at"))
     labelled = comments.withColumn(
         "window_start", F.timestamp_seconds(window_label(sec, params.window_seconds)))
     return labelled.join(keys, KEYS)
 
 
+def interval_comments(comments: DataFrame, start, end, videos=None) -> DataFrame:
+    """Comments of any closed interval [start, end], with the interval's start as
+    ``window_start``: evidence operators take them like those of an alert window.
+    ``videos``: a DataFrame with ``video_id``, or None for all."""
+    lo, hi = (F.lit(x).cast("timestamp") for x in (start, end))
+    inside = comments.filter(F.col("published_at").between(lo, hi)).withColumn("window_start", lo)
+    return inside if videos is None else inside.join(videos.select("video_id").distinct(), "video_id", "left_semi")
+
+
 def window_timeline(window_comments: DataFrame, params: Params = DEFAULT,
                     limit: int | None = None) -> DataFrame:
     """First ``limit`` comments (default ``timeline_limit``) of each window by

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a key table we are willing to ship to every executor. Alert keys
-# are (video_id, window_start): about 40-50 bytes a row in a hashed relation,
-# so the bound keeps a broadcast near 25 MB; more alerts than that go to a
-# shuffle join (AQE splits skewed partitions).
-MAX_BROADCAST_ROWS = 500_000
+# Bytes of a key table we are willing to ship to every executor; a larger one
+# goes to a shuffle join (AQE splits skewed partitions).
+MAX_BROADCAST_BYTES = 32 << 20
+# What a row costs in a hashed relation besides its strings.
+ROW_BYTES = 64
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after counting it; above the bound it is left
-    to a shuffle join (AQE may still convert it at run time, and splits skewed
-    partitions). Count a materialised frame: counting runs its plan."""
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+def sized_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``small`` only after measuring it (rows and string bytes); above
+    the bound it is left to a shuffle join. Measure a materialised frame:
+    measuring runs its plan."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in small.schema.fields
+             if isinstance(f.dataType, T.StringType)]
+    row = sum(texts, F.lit(ROW_BYTES)).cast("long")
+    size = small.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+    return F.broadcast(small) if size <= max_bytes else small

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstwatch.params import DEFAULT, Params
+from burstwatch.schemas import Z_COLUMNS
 
 # Pattern codes and the alert text each one prints.
 PATTERN_MESSAGES = {
@@ -43,9 +44,12 @@ def detect_patterns(scored: DataFrame, params: Params = DEFAULT) -> DataFrame:
     return flagged.withColumn("patterns", names).filter(F.size("patterns") > 0)
 
 
-def explode_alerts(alerts: DataFrame) -> DataFrame:
-    """One row per (video, window, pattern) with its message."""
+def explode_alerts(alerts: DataFrame, params: Params = DEFAULT) -> DataFrame:
+    """One row per (video, window, pattern) with its message, the z values behind it
+    and the kind of evidence the window gets."""
     msg = F.create_map(*[x for k, v in PATTERN_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
-    return (alerts.select("video_id", "window_start", "coordination_score",
-                          F.explode("patterns").alias("pattern"))
+    kind = F.when(F.col("concentration_z") > params.spam_concentration_z,
+                  F.lit("repeat_authors")).otherwise(F.lit("timeline"))
+    return (alerts.select("video_id", "window_start", "coordination_score", *Z_COLUMNS,
+                          kind.alias("evidence_kind"), F.explode("patterns").alias("pattern"))
             .withColumn("message", msg[F.col("pattern")]))

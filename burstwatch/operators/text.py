@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from burstwatch.functions.text import english_stop_words, tokens
 from burstwatch.params import DEFAULT, Params
-from burstwatch.operators.parallel import spread
 from burstwatch.session import cut_lineage
 
 
@@ -158,11 +157,10 @@ def templated_windows(window_texts: DataFrame, params: Params = DEFAULT,
     for the comments of the alert windows."""
     p = params
     keys = ["video_id", "window_start"]
-    # The sample (at most similarity_sample rows per window) is materialised
-    # once and spread over the cores (it is small in bytes but CPU-heavy);
-    # its term counts feed both the similarity and the keywords.
-    sample = spread(cut_lineage(first_n(window_texts, keys, ["published_at", "comment_id"],
-                                        p.similarity_sample)))
+    # The term counts of the sample (at most similarity_sample rows per window)
+    # are stored once and feed both the similarity and the keywords.
+    sample = cut_lineage(first_n(window_texts, keys, ["published_at", "comment_id"],
+                                 p.similarity_sample))
     sizes = _group_sizes(sample, keys)
     if embed is None:
         tf = cut_lineage(term_counts(sample, keys, "comment_id", "text"))
@@ -183,8 +181,7 @@ def templated_windows(window_texts: DataFrame, params: Params = DEFAULT,
                     .alias("keywords")))
 
 
-def model_embedder(make_predict_fn, batch_size: int = 32,
-                   max_chars: int | None = None):
+def model_embedder(make_predict_fn, batch_size: int = 32):
     """Wrap a batch sentence-embedding model as a column function for
     ``with_embedding`` / ``text_similarity(embed=...)``. ``make_predict_fn()``
     is called once per Python worker and returns
@@ -202,8 +199,7 @@ def model_embedder(make_predict_fn, batch_size: int = 32,
         from burstwatch.session import ship_package
 
         ship_package(SparkSession.getActiveSession())
-        t = F.coalesce(text, F.lit(""))
-        return udf(t if max_chars is None else F.substring(t, 1, max_chars))
+        return udf(F.coalesce(text, F.lit("")))
 
     return embed
 

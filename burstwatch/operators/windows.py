@@ -1,13 +1,12 @@
 """Per-window measures of a comment stream.
 
-Plan (scale notes): comments are never gathered per video. Additive measures
-and distinct authors are one partial/final aggregation on (video, window);
-Spark's distinct-aggregate plan first combines on (video, window, author), so
-a hot window is spread over many tasks. Gaps need an order, so they are taken
-on a per-second table: comments are first combined map-side to one row per
-(video, second), and only that table is ordered inside (video, window) -- at
-most ``window_seconds`` rows per group whatever the data volume. The gap that
-crosses a window edge is added on the small window table, ordered per video.
+Plan (scale notes): comments are never gathered per video. One partial
+aggregation combines them to a row per (video, window, second, author); its one
+exchange feeds both branches, authors (counted as rows) and seconds, so the
+comments are scanned and shuffled once. Gaps need an order: the seconds are
+ordered inside (video, window), at most ``window_seconds`` rows per group
+whatever the data volume. The gap that crosses a window edge is added on the
+small window table, ordered per video.
 """
 
 from __future__ import annotations
@@ -31,39 +30,53 @@ def _timed(comments: DataFrame, window_seconds: int) -> DataFrame:
     ).withColumn("_w", window_label(F.col("_sec"), window_seconds))
 
 
-def _measures(timed: DataFrame) -> DataFrame:
-    return timed.groupBy("video_id", "_w").agg(
-        F.count(F.lit(1)).alias("total_comments"),
-        F.count_distinct(F.col("author_id")).alias("unique_authors"),
-        F.avg("text_len").alias("_avg_len"),
-        F.avg("sentiment").alias("_avg_sent"),
-        F.avg(F.col("sentiment") * F.col("sentiment")).alias("_avg_sent_sq"),
-    )
+def _combined(timed: DataFrame) -> DataFrame:
+    """Counts and sums per (video, window, second, author)."""
+    return timed.groupBy("video_id", "_w", "_sec", "author_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("text_len").alias("_n_len"), F.sum("text_len").alias("_len"),
+        F.count("sentiment").alias("_n_s"), F.sum("sentiment").alias("_s"),
+        F.sum(F.col("sentiment") * F.col("sentiment")).alias("_s2"))
 
 
-def _per_second(timed: DataFrame) -> DataFrame:
-    """One row per (video, window, second) with the smallest comment id of it."""
-    return timed.groupBy("video_id", "_w", "_sec").agg(
-        F.min("comment_id").alias("_first_id"))
+_SUMS = ("_n", "_n_len", "_len", "_n_s", "_s", "_s2")
 
 
-def _in_window_gaps(per_sec: DataFrame) -> DataFrame:
-    ws = Window.partitionBy("video_id", "_w").orderBy("_sec")
-    return per_sec.withColumn("_d", F.col("_sec") - F.lag("_sec").over(ws))
+def _author_counts(combined: DataFrame) -> DataFrame:
+    # the condition holds for every row; it reads all columns, so that this
+    # branch and the seconds share one aggregation and its exchange
+    any_row = F.when(F.xxhash64(*_SUMS) >= F.lit(-(1 << 63)), 1)
+    each = combined.groupBy("video_id", "_w", "author_id").agg(F.count(any_row).alias("_rows"))
+    return each.groupBy("video_id", "_w").agg(
+        F.count(F.when(F.col("_rows") > 0, F.col("author_id"))).alias("unique_authors"))
 
 
-def _gap_sums(timed: DataFrame) -> DataFrame:
-    """Per (video, window): first and last second and the sums of gaps between
-    consecutive distinct seconds (equal seconds add a zero gap)."""
-    return _in_window_gaps(_per_second(timed)).groupBy("video_id", "_w").agg(
+def _sums(combined: DataFrame) -> DataFrame:
+    """Per (video, window): counts and sums, first and last second, and the sums
+    of gaps between consecutive distinct seconds (equal seconds add a zero gap)."""
+    per_sec = combined.groupBy("video_id", "_w", "_sec").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    ws = Window.partitionBy("video_id", "_w").orderBy("_sec")
+    d = F.col("_d")
+    return per_sec.withColumn("_d", F.col("_sec") - F.lag("_sec").over(ws)).groupBy("video_id", "_w").agg(
+        F.sum("_n").alias("total_comments"),
+        (F.sum("_len") / F.sum("_n_len")).alias("_avg_len"),
+        (F.sum("_s") / F.sum("_n_s")).alias("_avg_sent"),
+        (F.sum("_s2") / F.sum("_n_s")).alias("_avg_sent_sq"),
         F.min("_sec").alias("_first"),
         F.max("_sec").alias("_last"),
         F.coalesce(F.sum("_d"), F.lit(0)).alias("_sg"),
-        F.coalesce(F.sum(F.col("_d") * F.col("_d")), F.lit(0)).alias("_sg2"),
+        F.coalesce(F.sum(d * d), F.lit(0)).alias("_sg2"),
     )
 
 
-def _finish(df: DataFrame, prev_last: Column | None) -> DataFrame:
+def _windows(timed: DataFrame) -> DataFrame:
+    combined = _combined(timed)
+    authors = _author_counts(combined).select(F.col("video_id").alias("_v"), F.col("_w").alias("_aw"), "unique_authors")
+    return _sums(combined).join(authors, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_aw"))) \
+        .drop("_v", "_aw")
+
+
+def finish_measures(df: DataFrame, prev_last: Column | None) -> DataFrame:
     """Turn sums into the seven measures. ``prev_last`` is the last second of
     the previous non-empty window of the video (video scope) or None."""
     total = F.col("total_comments")
@@ -81,6 +94,7 @@ def _finish(df: DataFrame, prev_last: Column | None) -> DataFrame:
     return df.select(
         "video_id",
         "window_start",
+        "_last",
         total.alias("total_comments"),
         F.col("unique_authors").cast("long").alias("unique_authors"),
         F.coalesce(F.col("_avg_len"), zero).alias("avg_length"),
@@ -93,22 +107,27 @@ def _finish(df: DataFrame, prev_last: Column | None) -> DataFrame:
     )
 
 
+def window_table(comments: DataFrame, params: Params = DEFAULT,
+                 gap_scope: str = _VIDEO_SCOPE) -> DataFrame:
+    """``window_metrics`` with ``last_sec``, the last comment second of each window."""
+    if gap_scope not in (_VIDEO_SCOPE, _WINDOW_SCOPE):
+        raise ValueError(f"gap_scope must be 'video' or 'window', not {gap_scope!r}")
+    timed = _timed(comments, params.window_seconds)
+    joined = _windows(timed).withColumn("window_start", F.timestamp_seconds(F.col("_w")))
+    if gap_scope == _WINDOW_SCOPE:
+        return finish_measures(joined, None).withColumnRenamed("_last", "last_sec")
+    wv = Window.partitionBy("video_id").orderBy("window_start")
+    return finish_measures(joined.withColumn("_prev_last", F.lag("_last").over(wv)),
+                   F.col("_prev_last")).withColumnRenamed("_last", "last_sec")
+
+
 def window_metrics(comments: DataFrame, params: Params = DEFAULT,
                    gap_scope: str = _VIDEO_SCOPE) -> DataFrame:
     """(video_id, window_start, 7 measures) per non-empty tumbling window.
 
     ``gap_scope="video"``: the first gap of a window reaches back to the last
     comment before it (replay semantics). ``"window"``: gaps stay inside."""
-    if gap_scope not in (_VIDEO_SCOPE, _WINDOW_SCOPE):
-        raise ValueError(f"gap_scope must be 'video' or 'window', not {gap_scope!r}")
-    timed = _timed(comments, params.window_seconds)
-    joined = (_measures(timed).join(_gap_sums(timed), ["video_id", "_w"])
-              .withColumn("window_start", F.timestamp_seconds(F.col("_w"))))
-    if gap_scope == _WINDOW_SCOPE:
-        return _finish(joined, None)
-    wv = Window.partitionBy("video_id").orderBy("window_start")
-    return _finish(joined.withColumn("_prev_last", F.lag("_last").over(wv)),
-                   F.col("_prev_last"))
+    return window_table(comments, params, gap_scope).drop("last_sec")
 
 
 def with_gaps(comments: DataFrame, gap_scope: str = _VIDEO_SCOPE,
@@ -116,25 +135,24 @@ def with_gaps(comments: DataFrame, gap_scope: str = _VIDEO_SCOPE,
     """Every comment with ``gap``: seconds since the previous comment of the
     same video (or of the same window for ``gap_scope="window"``); null for
     the first. Among comments of one second the smallest ``comment_id`` takes
-    the gap from the previous second and the others get 0."""
-    timed = _timed(comments, params.window_seconds)
-    per_sec = _in_window_gaps(_per_second(timed))
-    if gap_scope == _VIDEO_SCOPE:
-        edges = (per_sec.groupBy("video_id", "_w").agg(F.max("_sec").alias("_last"))
-                 .withColumn("_prev_last", F.lag("_last").over(
-                     Window.partitionBy("video_id").orderBy("_w")))
-                 .select("video_id", "_w", "_prev_last"))
-        per_sec = (per_sec.join(edges, ["video_id", "_w"])
-                   .withColumn("_d", F.coalesce(F.col("_d"), F.col("_sec") - F.col("_prev_last"))))
-    elif gap_scope != _WINDOW_SCOPE:
+    the gap from the previous second and the others get 0.
+
+    Ordered per (video, window); for the video scope the first comment of a
+    window takes its gap from the window table (last seconds only)."""
+    if gap_scope not in (_VIDEO_SCOPE, _WINDOW_SCOPE):
         raise ValueError(f"gap_scope must be 'video' or 'window', not {gap_scope!r}")
-    keyed = per_sec.select("video_id", "_w", "_sec", "_first_id", "_d")
-    return (comments.withColumn("_sec", F.unix_seconds(F.col("published_at")))
-            .withColumn("_w", window_label(F.col("_sec"), params.window_seconds))
-            .join(keyed, ["video_id", "_w", "_sec"])
-            .withColumn("gap", F.when(F.col("comment_id") == F.col("_first_id"), F.col("_d"))
-                        .otherwise(F.lit(0).cast("long")))
-            .drop("_w", "_sec", "_first_id", "_d"))
+    sec = F.unix_seconds(F.col("published_at"))
+    timed = comments.withColumn("_sec", sec).withColumn("_w", window_label(F.col("_sec"), params.window_seconds))
+    order = Window.partitionBy("video_id", "_w").orderBy("_sec", "comment_id")
+    out = timed.withColumn("gap", F.col("_sec") - F.lag("_sec").over(order))
+    if gap_scope == _VIDEO_SCOPE:
+        edges = timed.groupBy("video_id", "_w").agg(F.max("_sec").alias("_last")).select(
+            F.col("video_id").alias("_v"), F.col("_w").alias("_ew"),
+            F.lag("_last").over(Window.partitionBy("video_id").orderBy("_w")).alias("_prev_last"))
+        out = (out.join(edges, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_ew")))
+               .withColumn("gap", F.coalesce("gap", F.col("_sec") - F.col("_prev_last")))
+               .drop("_v", "_ew", "_prev_last"))
+    return out.drop("_w", "_sec")
 
 
 def window_metrics_between(comments: DataFrame, start, end, videos=None) -> DataFrame:
@@ -153,9 +171,8 @@ def window_metrics_between(comments: DataFrame, start, end, videos=None) -> Data
         F.length(F.col("text")).alias("text_len"),
         F.unix_seconds(F.col("published_at")).alias("_sec"),
     ).withColumn("_w", F.unix_seconds(lo))
-    found = (_measures(timed).join(_gap_sums(timed), ["video_id", "_w"])
-             .withColumn("window_start", F.timestamp_seconds(F.col("_w"))))
-    metrics = _finish(found, None)
+    found = _windows(timed).withColumn("window_start", F.timestamp_seconds(F.col("_w")))
+    metrics = finish_measures(found, None).drop("_last")
     if videos is None:
         wanted = comments.select("video_id").distinct()
     elif isinstance(videos, DataFrame):

@@ -7,7 +7,7 @@ without touching code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 
 # Fixed values (must equal the specified detector for identical results).
@@ -74,8 +74,9 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
-    def __hash__(self):  # dict fields are not hashable; identity is enough
-        return id(self)
+    def __hash__(self):  # by value, as equality is (dict fields as sorted pairs)
+        return hash(tuple(tuple(sorted(v.items())) if isinstance(v, dict) else v
+                          for v in (getattr(self, f.name) for f in fields(self))))
 
 
 DEFAULT = Params()

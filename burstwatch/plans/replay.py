@@ -12,7 +12,7 @@ from burstwatch.operators.baseline import coordination_score, rolling_baseline
 from burstwatch.operators.patterns import detect_patterns
 from burstwatch.operators.windows import window_metrics
 from burstwatch.params import DEFAULT, Params
-from burstwatch.schemas import MEASURES, Z_COLUMNS
+from burstwatch.schemas import ALERTS, MEASURES, Z_COLUMNS
 
 WINDOW_TABLE_COLUMNS = ["video_id", "window_start", *MEASURES, "coordination_score"]
 
@@ -37,17 +37,17 @@ def replay_alerts(comments: DataFrame, params: Params = DEFAULT) -> DataFrame:
 
 
 def alert_context(comments: DataFrame, params: Params = DEFAULT,
-                  max_broadcast_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  max_broadcast_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Alert windows and the comments of those windows, both materialised in
     the shared checkpoint folder: evidence, timeline and text checks all
     start from these files instead of re-reading the comment table per
-    branch. The alert keys are counted and broadcast under the row bound."""
+    branch. The alert keys are measured and broadcast under the byte bound."""
     from burstwatch.operators.evidence import alert_comments
-    from burstwatch.operators.joins import MAX_BROADCAST_ROWS
+    from burstwatch.operators.joins import MAX_BROADCAST_BYTES
     from burstwatch.session import cut_lineage
 
     alerts = cut_lineage(replay_alerts(comments, params))
-    bound = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    bound = MAX_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
     window_comments = cut_lineage(alert_comments(comments, alerts, params, bound))
     return alerts, window_comments
 
@@ -55,24 +55,18 @@ def alert_context(comments: DataFrame, params: Params = DEFAULT,
 def alert_table(alerts: DataFrame, window_texts: DataFrame, params: Params = DEFAULT,
                 embed=None) -> DataFrame:
     """The alerts table (``schemas.ALERTS``): one row per (window, pattern)
-    with the true score, the templated-text similarity of the window's first
+    with the true score and z values, the templated-text similarity of the window's first
     comments, keywords when templated, and which evidence the window gets.
 
     ``alerts``: output of ``detect_patterns``; ``window_texts``: (video_id,
     window_start, comment_id, published_at, text) of the alert windows."""
-    from pyspark.sql import functions as F
-
     from burstwatch.operators.patterns import explode_alerts
     from burstwatch.operators.text import templated_windows
 
     keys = ["video_id", "window_start"]
-    kind = F.when(F.col("concentration_z") > params.spam_concentration_z,
-                  F.lit("repeat_authors")).otherwise(F.lit("timeline"))
-    kinds = alerts.select(*keys, kind.alias("evidence_kind"))
     tw = templated_windows(window_texts, params, embed=embed).select(*keys, "similarity", "keywords")
-    return (explode_alerts(alerts).join(kinds, keys).join(tw, keys, "left")
-            .select(*keys, "pattern", "coordination_score", "similarity", "keywords",
-                    "evidence_kind"))
+    return (explode_alerts(alerts, params).join(tw, keys, "left")
+            .select(*[f.name for f in ALERTS.fields]))
 
 
 __all__ = ["alert_table", "alert_context", "replay", "replay_alerts", "scored_windows", "WINDOW_TABLE_COLUMNS", "Z_COLUMNS"]

@@ -56,7 +56,13 @@ ALERTS = T.StructType([
     T.StructField("window_start", T.TimestampType(), False),
     T.StructField("pattern", T.StringType(), False),
     T.StructField("coordination_score", T.DoubleType(), True),
+    *[T.StructField(z, T.DoubleType(), True) for z in Z_COLUMNS],
     T.StructField("similarity", T.DoubleType(), True),
     T.StructField("keywords", T.ArrayType(T.StringType()), True),
     T.StructField("evidence_kind", T.StringType(), True),
 ])
+
+# Items and pages that cannot become comments, with the reason and the raw time
+# (or the raw page).
+QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in (
+    "video_id", "comment_id", "author_id", "text", "published_raw", "reason")])

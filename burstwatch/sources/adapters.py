@@ -9,17 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstwatch.functions.timefn import epoch_seconds
-from burstwatch.operators.parallel import spread
+from burstwatch.operators.joins import sized_broadcast
+from burstwatch.session import cut_lineage
 
 
-# Tables whose rows carry whole texts: per-row work on them (tokenising) is
-# heavy, so a scan that arrives in too few splits is spread over the cores.
-TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
+    """A table; with ``partitions``, dealt anew to so many tasks (for heavy work per
+    row on a table of few files)."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def comments_from_events(events: DataFrame) -> DataFrame:
@@ -62,3 +60,37 @@ def labels_as_predictions(labels: DataFrame) -> DataFrame:
         F.when(F.col("quality") == 1, F.lit("POSITIVE")).otherwise(F.lit("NEGATIVE")).alias("label"),
         (F.lit(0.5) + F.pmod(F.col("doc_id"), F.lit(50)) / 100.0).alias("score"),
     )
+
+
+def comment_pages(comments: DataFrame, page_size: int = 100) -> DataFrame:
+    """Comments of the driver's events laid out as API pages, newest first within
+    a page: one JSON string per (video_id, page). The pages of a (video, hour) are
+    hash buckets of about ``page_size`` items."""
+    sec = F.unix_seconds(F.col("published_at"))
+    c = comments.withColumn("_hour", sec - F.pmod(sec, F.lit(3600)))
+    counts = cut_lineage(c.groupBy("video_id", "_hour").agg(F.count(F.lit(1)).alias("_n")))
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))
+    bucketed = c.join(sized_broadcast(counts), ["video_id", "_hour"]).withColumn(
+        "_page", F.pmod(F.xxhash64("comment_id"), buckets.cast("long")))
+    item = F.struct(
+        F.col("comment_id").alias("id"),
+        F.struct(F.struct(F.struct(
+            F.struct(F.col("author_id").alias("value")).alias("authorChannelId"),
+            F.col("text").alias("textOriginal"),
+            F.date_format(F.col("published_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+        ).alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    pages = bucketed.groupBy("video_id", "_hour", "_page").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("published_at"), F.col("comment_id"),
+                                             item.alias("it"))), asc=False).alias("_items"))
+    return pages.select(
+        "video_id",
+        F.concat_ws("-", F.col("_hour").cast("string"), F.col("_page").cast("string")).alias("page_id"),
+        F.to_json(F.struct(F.lit(None).cast("string").alias("nextPageToken"),
+                           F.transform("_items", lambda s: s.getField("it")).alias("items")))
+        .alias("page_json"))
+
+
+def land_comment_pages(pages: DataFrame, root: str) -> None:
+    """Write pages (``comment_pages`` output) as JSON Lines under
+    ``<root>/video_id=<id>/``, the layout ``read_comment_pages`` reads."""
+    pages.select("video_id", "page_json").write.mode("append").partitionBy("video_id").text(root)

@@ -11,57 +11,54 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from burstwatch.schemas import COMMENTS, WINDOW_METRICS
+from burstwatch.operators.joins import sized_broadcast
+from burstwatch.operators.text import first_n
+from burstwatch.schemas import ALERTS, COMMENTS, QUARANTINE, WINDOW_METRICS
 from burstwatch.session import cut_lineage
 
 COMMENT_COLUMNS = [f.name for f in COMMENTS.fields]
 WINDOW_COLUMNS = [f.name for f in WINDOW_METRICS.fields]
 WINDOW_KEYS = ["video_id", "window_start"]
+QUARANTINE_COLUMNS = [f.name for f in QUARANTINE.fields]
 
 
 def high_water_marks(comments: DataFrame) -> DataFrame:
     """Newest comment per video: (video_id, mark_id, mark_at). Ties on time go
-    to the larger comment id. One partial aggregation."""
-    newest = F.max_by(F.col("comment_id"), F.struct("published_at", "comment_id"))
-    return comments.groupBy("video_id").agg(newest.alias("mark_id"),
-                                            F.max("published_at").alias("mark_at"))
+    to the larger comment id. The newest time is one hash aggregation; ids are
+    compared only among the comments of that time."""
+    newest = cut_lineage(comments.groupBy("video_id").agg(F.max("published_at").alias("mark_at")))
+    m = sized_broadcast(newest.withColumnRenamed("video_id", "_v"))
+    ties = comments.join(m, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("published_at") == F.col("mark_at")))
+    return ties.groupBy("video_id", "mark_at").agg(F.max("comment_id").alias("mark_id")) \
+        .select("video_id", "mark_id", "mark_at")
 
 
 def delta_since(items: DataFrame, marks: DataFrame) -> DataFrame:
     """Items newer than their video's mark, ordered by (published_at,
-    comment_id); all items of videos without a mark. The marks table has one
-    row per video; AQE broadcasts it at run time when its shuffle is small."""
-    m = marks.select("video_id", "mark_id", "mark_at")
+    comment_id); all items of videos without a mark. ``items`` may be a stream.
+    The marks (one row per video) are broadcast when small; beyond that both
+    sides are shuffled from storage, where AQE splits a hot video."""
+    m = sized_broadcast(cut_lineage(marks.select(F.col("video_id").alias("_v"), "mark_id", "mark_at")))
     newer = ((F.col("published_at") > F.col("mark_at"))
              | ((F.col("published_at") == F.col("mark_at")) & (F.col("comment_id") > F.col("mark_id"))))
-    return (items.join(m, "video_id", "left")
+    return (items.join(m, F.col("video_id") == F.col("_v"), "left")
             .filter(F.col("mark_at").isNull() | newer)
-            .drop("mark_id", "mark_at"))
+            .drop("_v", "mark_id", "mark_at"))
 
 
 def dedupe_batch(batch: DataFrame) -> DataFrame:
     """One row per comment_id: the earliest fetch wins (then the earliest
-    publication, then text). A partial aggregation, so a comment repeated
-    many times never lands in one task as a whole."""
-    cols = [c for c in batch.columns if c != "comment_id"]
-    order = F.struct("fetched_at", "published_at", "text")
-    first = F.min_by(F.struct(*cols), order)
-    return batch.groupBy("comment_id").agg(first.alias("_r")).select("comment_id", "_r.*")
+    publication, then text). The limit of one row per id applies before the
+    shuffle, so a comment repeated many times never lands in one task."""
+    order = [c for c in ("fetched_at", "published_at", "text") if c in batch.columns]
+    return first_n(batch, ["comment_id"], order, 1).drop("rank")
 
 
-def append_ignore_duplicates(existing: DataFrame, batch: DataFrame,
-                             prune_by_time: bool = True) -> DataFrame:
+def append_ignore_duplicates(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of ``batch`` to append: first of each comment_id in the batch and
-    absent from ``existing``. A comment's publication time never changes, so
-    by default ``existing`` is first pruned to the batch's time range (reads
-    only those date partitions)."""
-    fresh = dedupe_batch(batch)
-    ids = existing
-    if prune_by_time:
-        lo = batch.select(F.min("published_at")).scalar()
-        hi = batch.select(F.max("published_at")).scalar()
-        ids = existing.filter(F.col("published_at").between(lo, hi))
-    return fresh.join(ids.select("comment_id"), "comment_id", "left_anti").select(*batch.columns)
+    absent from all of ``existing`` (of which only the ids are read)."""
+    return dedupe_batch(batch).join(existing.select("comment_id"), "comment_id", "left_anti") \
+        .select(*batch.columns)
 
 
 def insert_ignore_duplicates(existing: DataFrame, batch: DataFrame) -> DataFrame:
@@ -69,12 +66,15 @@ def insert_ignore_duplicates(existing: DataFrame, batch: DataFrame) -> DataFrame
     return existing.unionByName(append_ignore_duplicates(existing, batch).select(*existing.columns))
 
 
-def upsert_window_metrics(existing: DataFrame, updates: DataFrame) -> DataFrame:
+def upsert_window_metrics(existing: DataFrame, updates: DataFrame, order_by: str | None = None) -> DataFrame:
     """Window table after an upsert on (video_id, window_start): updates
     replace all measures and the score; missing measures become 0, a missing
-    score stays null."""
+    score stays null. Of several updates of one key the last by ``order_by``
+    wins (without it, the one of the most comments, then of the largest
+    values)."""
     zero = F.lit(0.0)
-    upd = updates.select(
+    last = [F.desc(order_by)] if order_by else [F.desc_nulls_last(c) for c in WINDOW_COLUMNS[2:]]
+    upd = first_n(updates, WINDOW_KEYS, last, 1).select(
         "video_id", "window_start",
         *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in ("total_comments", "unique_authors")],
         *[F.coalesce(F.col(c), zero).alias(c) for c in
@@ -110,40 +110,80 @@ def write_comments(comments: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("published_date").parquet(path))
 
 
-def store_comments(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
-    """Insert-or-ignore ``batch`` into the stored table; returns rows added."""
-    try:
-        existing = read_comments(spark, path)
-        existing.limit(0).collect()
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
-    new = dedupe_batch(batch) if existing is None else append_ignore_duplicates(existing, batch)
-    new = cut_lineage(new.select(*COMMENT_COLUMNS))
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, asked of the file system itself, so
+    that an unreadable table is an error and never taken for a missing one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def store_comments(spark: SparkSession, path: str, batch: DataFrame, prepare=None) -> DataFrame:
+    """Insert-or-ignore ``batch`` into the stored table; returns rows added.
+    ``prepare`` (rows -> rows) runs on the new rows only, e.g. to score them."""
+    new = append_ignore_duplicates(read_comments(spark, path), batch) if table_exists(spark, path) \
+        else dedupe_batch(batch)
+    new = cut_lineage((new if prepare is None else prepare(new)).select(*COMMENT_COLUMNS))
     write_comments(new, path)
     return new
 
 
+def _replace_rows(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, merge) -> None:
+    """Rewrite the dates of a table that ``rows`` (stored, with ``window_date``) touch
+    as ``merge(existing rows of those dates, rows)``."""
+    if rows.isEmpty():
+        return
+    plain = rows.drop("window_date")
+    if table_exists(spark, path):
+        dates = [r[0] for r in rows.select("window_date").distinct().collect()]  # bounded by days
+        full = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
+        existing = spark.read.schema(full).parquet(path).filter(F.col("window_date").isin(dates)).drop("window_date")
+        # stored first: the files that are replaced must not be in its lineage
+        plain = cut_lineage(merge(existing, plain))
+    (plain.withColumn("window_date", F.to_date("window_start")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(path))
+
+
 def write_window_metrics(spark: SparkSession, path: str, updates: DataFrame) -> None:
     """Upsert window metrics into a date-partitioned parquet table. Only the
-    dates the updates touch are read and rewritten (dynamic partition
-    overwrite); the merged result is checkpointed first, so the files being
-    replaced are no longer in its lineage."""
-    updates = cut_lineage(updates.select(*WINDOW_COLUMNS)
-                          .withColumn("window_date", F.to_date("window_start")))
-    dates = [r[0] for r in updates.select("window_date").distinct().collect()]  # bounded by days
-    try:
-        existing = (spark.read.parquet(path).filter(F.col("window_date").isin(dates))
-                    .select(*WINDOW_COLUMNS))
-        existing.limit(0).collect()
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
-    merged = updates.drop("window_date") if existing is None else upsert_window_metrics(existing, updates)
-    merged = cut_lineage(merged.withColumn("window_date", F.to_date("window_start")))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("window_date").parquet(path))
+    dates the updates touch are read and rewritten."""
+    empty = spark.createDataFrame([], WINDOW_METRICS)
+    rows = cut_lineage(upsert_window_metrics(empty, updates).withColumn("window_date", F.to_date("window_start")))
+    _replace_rows(spark, path, rows, WINDOW_METRICS, upsert_window_metrics)
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Append alerts, partitioned by window date."""
-    (alerts.withColumn("window_date", F.to_date("window_start"))
-     .write.mode("append").partitionBy("window_date").parquet(path))
+    """Write alerts (``schemas.ALERTS``; missing columns are null) into a table
+    partitioned by window date. The alerts of a window replace those stored for
+    it, so a re-run changes nothing."""
+    spark = alerts.sparkSession
+    rows = cut_lineage(alerts.select(
+        *[(F.col(f.name) if f.name in alerts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in ALERTS.fields]).withColumn("window_date", F.to_date("window_start")))
+    _replace_rows(spark, path, rows, ALERTS, lambda old, new: old.join(
+        new.select(*WINDOW_KEYS).distinct(), WINDOW_KEYS, "left_anti").unionByName(new))
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored alerts; none if nothing was ever written."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], ALERTS)
+    return spark.read.schema(ALERTS).parquet(path).select(*[f.name for f in ALERTS.fields])
+
+
+def read_window_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The stored window table."""
+    return spark.read.schema(WINDOW_METRICS).parquet(path).select(*WINDOW_COLUMNS)
+
+
+def store_quarantine(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    """Append quarantined rows that are not stored yet."""
+    key = F.xxhash64(*[F.coalesce(F.col(c), F.lit("")) for c in QUARANTINE_COLUMNS])
+    new = rows.select(*QUARANTINE_COLUMNS).distinct().withColumn("_key", key)
+    if table_exists(spark, path):
+        old = spark.read.schema(QUARANTINE).parquet(path).select(key.alias("_key"))
+        new = new.join(old, "_key", "left_anti")
+    cut_lineage(new.drop("_key")).write.mode("append").parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE).parquet(path)

@@ -6,7 +6,7 @@ window sums (append mode) -> per-video stateful baseline
 (the same code as batch) -> sink.
 
 The stateful step holds, per video, only the last comment second and the
-signals of the last ``max_windows`` windows: state is bounded by design.
+measures of the last ``max_windows`` windows: state is bounded by design.
 History is replayed in batch and handed over as ``initialState``; the stream
 then takes newer data only (pages land newest first, so a stream that
 replayed history would drop older pages as late)."""
@@ -17,19 +17,20 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from burstwatch.operators.baseline import SIGNALS, coordination_score
-from burstwatch.functions.stats import robust_z_sql
-from burstwatch.operators.windows import window_metrics
+from burstwatch.functions.timefn import window_label
+from burstwatch.operators.baseline import coordination_score, z_columns
+from burstwatch.operators.patterns import detect_patterns, explode_alerts
+from burstwatch.operators.windows import finish_measures, window_table
 from burstwatch.params import DEFAULT, Params
-from burstwatch.schemas import MEASURES
-from burstwatch.session import ensure_checkpoint_dir, ship_package
-
-_SIG_NAMES = [f for _, f, _ in SIGNALS]
+from burstwatch.plans.ingest import ingest_comments
+from burstwatch.schemas import COMMENTS, MEASURES, WINDOW_METRICS
+from burstwatch.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from burstwatch.sources.tables import write_alerts, write_window_metrics
 
 WINDOW_SUMS = T.StructType([
     T.StructField("video_id", T.StringType()),
@@ -45,15 +46,14 @@ WINDOW_SUMS = T.StructType([
     T.StructField("sum_gap2", T.LongType()),
 ])
 
-_HISTORY_ROW = T.StructType([T.StructField("w_sec", T.LongType())]
-                            + [T.StructField(n, T.DoubleType()) for n in _SIG_NAMES])
+_MEASURES = T.StructType([T.StructField(f.name, f.dataType) for f in WINDOW_METRICS.fields if f.name in MEASURES])
+COUNTS = [f.name for f in _MEASURES.fields if isinstance(f.dataType, T.LongType)]
+_HISTORY_ROW = T.StructType([T.StructField("w_sec", T.LongType()), *_MEASURES.fields])
 _LAST = T.StructType([T.StructField("last_sec", T.LongType())])
 
 BASELINE_OUT = T.StructType(
     [T.StructField("video_id", T.StringType()), T.StructField("w_sec", T.LongType()),
-     T.StructField("total_comments", T.LongType()), T.StructField("unique_authors", T.LongType())]
-    + [T.StructField(m, T.DoubleType()) for m in MEASURES[2:]]
-    + [T.StructField(f"hist_{n}", T.ArrayType(T.DoubleType())) for n in _SIG_NAMES])
+     *_MEASURES.fields, T.StructField("hist", T.ArrayType(_MEASURES))])
 
 
 # ------------------------------------------------------------- window sums
@@ -132,15 +132,8 @@ def _measures(row, prev_last):
     }
 
 
-def _signals(m) -> tuple:
-    authors = max(m["unique_authors"], 1)
-    return (float(m["total_comments"]), float(authors), m["avg_length"], m["avg_sentiment"],
-            m["total_comments"] / authors, m["sentiment_variance"], m["avg_gap"],
-            m["gap_variance"])
-
-
 class BaselineProcessor(StatefulProcessor):
-    """Per video: last comment second and the last ``max_windows`` signal rows."""
+    """Per video: last comment second and the measures of the last ``max_windows`` windows."""
 
     def __init__(self, max_windows: int = DEFAULT.max_windows):
         self.max_windows = max_windows
@@ -166,11 +159,9 @@ class BaselineProcessor(StatefulProcessor):
         out = []
         for row in batch.to_dict("records"):
             m = _measures(row, last)
-            rec = {"video_id": key[0], "w_sec": int(row["w_sec"]), **m}
-            for i, name in enumerate(_SIG_NAMES):
-                rec[f"hist_{name}"] = [float(h[i + 1]) for h in hist]
-            out.append(rec)
-            hist = (hist + [(int(row["w_sec"]), *_signals(m))])[-self.max_windows:]
+            earlier = [dict(zip(MEASURES, h[1:])) for h in hist]
+            out.append({"video_id": key[0], "w_sec": int(row["w_sec"]), **m, "hist": earlier})
+            hist = (hist + [(int(row["w_sec"]), *(m[x] for x in MEASURES))])[-self.max_windows:]
             last = int(row["last_sec_w"])
         self.history.put([tuple(h) for h in hist])
         self.last.update((last,))
@@ -179,7 +170,8 @@ class BaselineProcessor(StatefulProcessor):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         hist, last = self._load()
         rows = initialState.sort_values("w_sec").to_dict("records")
-        hist = (hist + [(int(r["w_sec"]), *[float(r[n]) for n in _SIG_NAMES]) for r in rows])
+        hist = (hist + [(int(r["w_sec"]), *(int(r[m]) if m in COUNTS else float(r[m]) for m in MEASURES))
+                        for r in rows])
         hist = sorted(hist, key=lambda h: h[0])[-self.max_windows:]
         last = max([int(r["last_sec"]) for r in rows] + ([last] if last is not None else []))
         self.history.put([tuple(h) for h in hist])
@@ -190,25 +182,12 @@ class BaselineProcessor(StatefulProcessor):
 
 
 def initial_state(history_comments: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Last ``max_windows`` windows per video from a batch replay, with the
-    signals the stream needs and the last comment second."""
-    m = window_metrics(history_comments, params)
-    authors = F.greatest(F.col("unique_authors"), F.lit(1))
-    sig = {
-        "count": F.col("total_comments").cast("double"), "author": authors.cast("double"),
-        "length": F.col("avg_length"), "sentiment": F.col("avg_sentiment"),
-        "concentration": F.col("total_comments") / authors,
-        "sentiment_var": F.col("sentiment_variance"), "gap": F.col("avg_gap"),
-        "gap_var": F.col("gap_variance"),
-    }
-    last_sec = (history_comments.groupBy("video_id")
-                .agg(F.max(F.unix_seconds("published_at")).alias("last_sec")))
-    recent = m.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("video_id").orderBy(F.desc("window_start"))))
-    recent = recent.filter(F.col("_rn") <= params.max_windows)
-    return (recent.select("video_id", F.unix_seconds("window_start").alias("w_sec"),
-                          *[v.alias(k) for k, v in sig.items()])
-            .join(last_sec, "video_id"))
+    """Last ``max_windows`` windows per video from a batch replay, with their
+    measures and last comment seconds."""
+    newest = Window.partitionBy("video_id").orderBy(F.desc("window_start"))
+    return (window_table(history_comments, params).withColumn("_rn", F.row_number().over(newest))
+            .filter(F.col("_rn") <= params.max_windows)
+            .select("video_id", F.unix_seconds("window_start").alias("w_sec"), *MEASURES, "last_sec"))
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -228,61 +207,102 @@ def stream_baseline(window_sums: DataFrame, params: Params = DEFAULT,
                     init: DataFrame | None = None) -> DataFrame:
     """Scored windows from a stream of window sums: measures, eight z
     columns and the coordination score (null during warm-up)."""
-    p = params
     use_rocksdb_state(window_sums.sparkSession)
     ship_package(window_sums.sparkSession)
     based = window_sums.groupBy("video_id").transformWithStateInPandas(
-        statefulProcessor=BaselineProcessor(p.max_windows),
+        statefulProcessor=BaselineProcessor(params.max_windows),
         outputStructType=BASELINE_OUT, outputMode="Append", timeMode="None",
         initialState=None if init is None else init.groupBy("video_id"))
-    authors = "greatest(unique_authors, 1)"
-    current = {
-        "count": "CAST(total_comments AS DOUBLE)", "author": f"CAST({authors} AS DOUBLE)",
-        "length": "avg_length", "sentiment": "avg_sentiment",
-        "concentration": f"total_comments / {authors}",
-        "sentiment_var": "sentiment_variance", "gap": "avg_gap", "gap_var": "gap_variance",
-    }
-    zs = [F.expr(f"CASE WHEN size(hist_count) >= {int(p.warmup)} THEN "
-                 + robust_z_sql(current[f], f"hist_{f}", p.mad_floors[fk], p.mad_constant,
-                                p.z_cap, p.min_history, tag=f) + " END").alias(z)
-          for z, f, fk in SIGNALS]
     scored = based.select("video_id", F.timestamp_seconds("w_sec").alias("window_start"),
-                          *MEASURES, *zs)
-    return coordination_score(scored, p)
+                          *MEASURES, *z_columns("hist", params))
+    return coordination_score(scored, params)
 
 
-def stream_comments(spark: SparkSession, root: str, schema: T.StructType,
+def stream_comments(spark: SparkSession, path: str, schema: T.StructType,
                     fmt: str = "parquet", **options) -> DataFrame:
+    """A file stream of the table at ``path``: a file, or a folder of part files. The
+    path is given as a pattern that only it matches: the file source takes a plain
+    path for a folder."""
+    path = path.rstrip("/")
+    path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema).format(fmt)
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(root)
+    return reader.load(path)
 
 
-def stream_sink(scored: DataFrame, table_path: str, checkpoint: str | None = None,
-                trigger: dict | None = None):
-    """Upsert every micro-batch into the window table (idempotent: a replayed
-    batch rewrites the same rows). Returns the started query."""
-    from burstwatch.sources.tables import write_window_metrics
+#: Video of closing rows; they never leave an open window.
+CLOSING = "__closing__"
+
+
+def closing_comments(spark: SparkSession, root: str, at) -> DataFrame:
+    """A stream of one comment at time ``at`` of a video of its own, landed under
+    ``root``. In union with a finite stream that is read in one micro-batch
+    (``availableNow``) it moves the watermark past every window that ends a watermark
+    delay before ``at``, so that the last windows are closed as well."""
+    row = spark.range(1).select(
+        F.lit(CLOSING).alias("comment_id"), F.lit(CLOSING).alias("video_id"),
+        F.lit(None).cast("string").alias("author_id"), F.lit("").alias("text"), F.lit(0.0).alias("sentiment"),
+        F.lit(at).cast("timestamp").alias("published_at"), F.lit(at).cast("timestamp").alias("fetched_at"))
+    row.write.mode("append").parquet(root)
+    return stream_comments(spark, root, COMMENTS)
+
 
-    spark = scored.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+def _start(frame: DataFrame, each, checkpoint: str | None, trigger: dict | None):
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(frame.sparkSession)}/stream-{uuid.uuid4().hex}"
+    w = frame.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
+    return w.trigger(**(trigger or {"processingTime": "10 minutes"})).start()
+
+
+def stream_sink(scored: DataFrame, table_path: str, checkpoint: str | None = None,
+                trigger: dict | None = None, alerts_path: str | None = None, params: Params = DEFAULT):
+    """Upsert every micro-batch of scored windows into the window table and, with
+    ``alerts_path``, write the alerts of its windows with their z values (all
+    idempotent: a replayed batch rewrites the same rows). Returns the started query."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write_window_metrics(batch.sparkSession, table_path, batch)
+        rows = cut_lineage(batch)
+        if not rows.isEmpty():
+            write_window_metrics(rows.sparkSession, table_path, rows)
+            if alerts_path:
+                write_alerts(explode_alerts(detect_patterns(rows, params), params), alerts_path)
+
+    return _start(scored, upsert, checkpoint, trigger)
+
+
+def stream_ingest(pages: DataFrame, table_path: str, checkpoint: str | None = None,
+                  trigger: dict | None = None, scorer=None, params: Params = DEFAULT, fetched_at=None):
+    """The live comment store: every micro-batch of landed pages is parsed, scored and
+    inserted or ignored, what cannot be parsed is quarantined. Late comments are
+    stored like others. Returns the started query."""
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        ingest_comments(batch.sparkSession, cut_lineage(batch), table_path, scorer, params, fetched_at)
+
+    return _start(pages, ingest, checkpoint, trigger)
+
 
-    w = scored.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
-    w = w.trigger(**(trigger or {"processingTime": "10 minutes"}))
-    return w.start()
+def window_edge(at, params: Params = DEFAULT) -> Column:
+    """The start of the window that holds the time ``at`` (a value or a column)."""
+    return F.timestamp_seconds(window_label(F.unix_seconds(F.lit(at).cast("timestamp")), params.window_seconds))
 
 
 def stream_pipeline(comments_stream: DataFrame, params: Params = DEFAULT,
                     history_comments: DataFrame | None = None,
-                    watermark: str = "10 minutes") -> DataFrame:
-    """Comments stream -> scored windows, seeded with the batch history."""
-    init = None if history_comments is None else initial_state(history_comments, params)
-    return stream_baseline(stream_window_sums(comments_stream, params, watermark), params, init)
+                    watermark: str = "10 minutes", handoff_at=None) -> DataFrame:
+    """Comments stream -> scored windows, seeded with the batch history.
+
+    With a history, ``handoff_at`` (a time) says where it ends. It is moved down to a
+    window edge: the history counts before it, the stream from it on, so the open
+    window comes from the stream alone and the stream must hold all its comments."""
+    if history_comments is None:
+        return stream_baseline(stream_window_sums(comments_stream, params, watermark), params)
+    if handoff_at is None:
+        raise ValueError("a history needs handoff_at, the time from which the stream has all comments")
+    edge = window_edge(handoff_at, params)
+    init = initial_state(history_comments.filter(F.col("published_at") < edge), params)
+    live = comments_stream.filter(F.col("published_at") >= edge)
+    return stream_baseline(stream_window_sums(live, params, watermark), params, init)
 
 
 def stream_window_metrics(comments_stream: DataFrame, params: Params = DEFAULT,
@@ -291,18 +311,10 @@ def stream_window_metrics(comments_stream: DataFrame, params: Params = DEFAULT,
     (append mode), with gaps inside the window only, as the live path
     measures them; equal to ``window_metrics(gap_scope="window")`` on the
     windows the watermark has closed."""
-    s = stream_window_sums(comments_stream, params, watermark)
     n = F.col("total_comments")
-    k = n - 1
-    zero = F.lit(0.0)
-    avg_s = F.col("sum_s") / n
-    avg_gap = F.col("sum_gap").cast("double") / k
-    return s.select(
-        "video_id", F.timestamp_seconds("w_sec").alias("window_start"), "total_comments",
-        "unique_authors",
-        (F.col("sum_len") / n).alias("avg_length"),
-        avg_s.alias("avg_sentiment"),
-        F.greatest(zero, F.col("sum_s2") / n - avg_s * avg_s).alias("sentiment_variance"),
-        F.when(k > 0, avg_gap).otherwise(zero).alias("avg_gap"),
-        F.when(k > 0, F.greatest(zero, F.col("sum_gap2").cast("double") / k - avg_gap * avg_gap))
-        .otherwise(zero).alias("gap_variance"))
+    s = stream_window_sums(comments_stream, params, watermark).select(
+        "video_id", F.timestamp_seconds("w_sec").alias("window_start"), "total_comments", "unique_authors",
+        F.col("last_sec_w").alias("_last"), (F.col("sum_len") / n).alias("_avg_len"),
+        (F.col("sum_s") / n).alias("_avg_sent"), (F.col("sum_s2") / n).alias("_avg_sent_sq"),
+        F.col("sum_gap").alias("_sg"), F.col("sum_gap2").alias("_sg2"))
+    return finish_measures(s, None).drop("_last")

@@ -8,16 +8,91 @@ uses a closed form. Doubles are rounded the same way on both sides.
 
 from __future__ import annotations
 
-from burstwatch.params import SIX_HOURS, Params
-from burstwatch.operators.patterns import PATTERN_MESSAGES
+from dataclasses import dataclass, field, replace
+
+
+# Fixed values, written out here on their own: a wrong constant in the library must
+# not pass by being wrong on both sides.
+@dataclass(frozen=True)
+class Params:
+    window_seconds: int = 21600
+    max_windows: int = 20
+    warmup: int = 10
+    min_history: int = 3
+    noise_floor: float = 1.2
+    dampen_factor: float = 0.1
+    robotic_multiplier: float = 1.5
+    robotic_threshold: float = -2.0
+    mad_constant: float = 1.4826
+    z_cap: float = 20.0
+    score_decimals: int = 4
+    mad_floors: dict = field(default_factory=lambda: {
+        "count": 2.0, "author": 2.0, "length": 10.0, "sentiment": 0.1, "concentration": 0.15,
+        "sentiment_var": 0.05, "gap": 5.0, "gap_var": 10.0})
+    weights: dict = field(default_factory=lambda: {
+        "concentration": 0.40, "gap_variance": 0.30, "sentiment_var": 0.20, "count": 0.10})
+    volume_guard: int = 5
+    timing_gap_var_z: float = -1.5
+    sentiment_abs_z: float = 2.0
+    sentiment_var_z: float = -1.0
+    volume_count_z: float = 2.0
+    volume_author_z: float = 1.0
+    spam_concentration_z: float = 2.5
+    similarity_sample: int = 50
+    similarity_threshold: float = 0.40
+    timeline_limit: int = 10
+    spammer_limit: int = 5
+    spammer_samples: int = 3
+    top_keywords: int = 3
+    keyword_max_df: float = 0.95
+    author_display: int = 8
+    sample_display: int = 70
+    timeline_display: int = 80
+    positive_label: str = "POSITIVE"
+
+    def with_(self, **kw) -> "Params":
+        return replace(self, **kw)
+
+
+SIX_HOURS = Params()
+
+PATTERN_MESSAGES = {
+    "automated_timing": "Automated Timing: Inter-comment gaps show unnatural statistical consistency.",
+    "coordinated_sentiment": "Coordinated Sentiment: A sudden, uniform shift in tone with unusually low variance.",
+    "volume_anomaly": "Volume Anomaly: A massive comment spike generated by a disproportionately small number of authors.",
+    "high_frequency_spam": "High-Frequency Spam: Individual accounts are posting multiple times within this window.",
+}
+
+# Default English stop words of Apache Spark (Apache License 2.0), in Spark's order.
+STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself
+she her hers herself it its itself they them their theirs themselves what which who whom
+this that these those am is are was were be been being have has had having do does did doing
+a an the and but if or because as until while of at by for with about against between into
+through during before after above below to from up down in out on off over under again
+further then once here there when where why how all any both each few more most other some
+such no nor not only own same so than too very s t can will just don should now i'll you'll
+he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't
+doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's
+how's let's ought that's there's what's when's where's who's why's would
+"""
+
+POSITIVE_WORDS = """good great love excellent amazing awesome best nice happy wonderful thanks
+fantastic perfect beautiful like"""
+NEGATIVE_WORDS = """bad terrible hate awful worst poor sad horrible boring angry wrong
+disappointing ugly stupid fake"""
 
-D = 6  # decimals for measures
-Z = 4  # decimals for z scores
-# Values that are equal as real numbers can differ in the last bits between
-# engines (summation order). When the exact value sits on a rounding tie the
-# two sides would round apart, so both round x * (1 + 2**-33) instead: the
-# same deterministic presentation on both sides.
-NUDGE = 1 + 2 ** -33
+# White space of Unicode and the separators 0x1C to 0x1F.
+BLANKS = (r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+          r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+
+
+def _single(x: str) -> str:
+    """The double ``x`` at single precision, as a double; below 1e-9 it is 0. Two
+    engines add doubles in different orders, so their last bits differ; both sides
+    of the check are shown at the precision that they share."""
+    return f"(CASE WHEN abs({x}) < 1e-9 THEN CAST(0 AS DOUBLE) ELSE CAST(CAST({x} AS FLOAT) AS DOUBLE) END)"
 
 
 def _dbl(x: float) -> str:
@@ -129,8 +204,8 @@ def scored_ctes(p: Params = SIX_HOURS, scope: str = "video", prefix: str = "",
         f"{n['s']} AS (SELECT *, {score_expr(p)} AS coordination_score FROM {n['b']})"])
 
 
-def _round(cols, d):
-    return ", ".join(f"round({c} * CAST({NUDGE!r} AS DOUBLE), {d}) AS {c}" for c in cols)
+def _shown(cols):
+    return ", ".join(f"{_single(c)} AS {c}" for c in cols)
 
 
 DOUBLE_MEASURES = ["avg_length", "avg_sentiment", "sentiment_variance", "avg_gap", "gap_variance"]
@@ -157,7 +232,7 @@ def q_window_metrics(p: Params = SIX_HOURS) -> str:
     return f"""WITH {comments_cte()},
 {gaps_cte('video', p.window_seconds)},
 {metrics_cte()}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)}
 FROM m"""
 
 
@@ -165,26 +240,26 @@ def q_window_metrics_live(p: Params = SIX_HOURS) -> str:
     return f"""WITH {comments_cte()},
 {gaps_cte('window', p.window_seconds)},
 {metrics_cte()}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)}
 FROM m"""
 
 
 def q_rolling_baseline(p: Params = SIX_HOURS) -> str:
     return f"""WITH {scored_ctes(p)}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
-       {_round(Z_COLS, Z)}
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
+       {_shown(Z_COLS)}
 FROM s"""
 
 
 def q_coordination_score(p: Params = SIX_HOURS) -> str:
     return f"""WITH {scored_ctes(p)}
-SELECT video_id, window_start, total_comments, {_round(Z_COLS, Z)}, coordination_score
+SELECT video_id, window_start, total_comments, {_shown(Z_COLS)}, coordination_score
 FROM s"""
 
 
 def q_replay(p: Params = SIX_HOURS) -> str:
     return f"""WITH {scored_ctes(p)}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
        coalesce(coordination_score, CAST(0 AS DOUBLE)) AS coordination_score
 FROM s"""
 
@@ -198,11 +273,17 @@ FROM a"""
 
 
 def q_explode_alerts(p: Params = SIX_HOURS) -> str:
-    parts = [f"SELECT video_id, window_start, coordination_score, '{k}' AS pattern, "
-             f"'{v}' AS message FROM a WHERE {k}" for k, v in PATTERN_MESSAGES.items()]
     return f"""WITH {scored_ctes(p)},
 {alerts_cte(p)}
-""" + "\nUNION ALL\n".join(parts)
+{_alert_rows(p)}"""
+
+
+def _alert_rows(p: Params, message: bool = True) -> str:
+    kind = f"CASE WHEN concentration_z > {_dbl(p.spam_concentration_z)} THEN 'repeat_authors' ELSE 'timeline' END"
+    parts = [f"SELECT video_id, window_start, coordination_score, {_shown(Z_COLS)}, {kind} AS evidence_kind, "
+             f"'{k}' AS pattern" + (f", '{v}' AS message" if message else "") + f" FROM a WHERE {k}"
+             for k, v in PATTERN_MESSAGES.items()]
+    return "\nUNION ALL\n".join(parts)
 
 
 # ---------------------------------------------------------------- evidence
@@ -219,7 +300,7 @@ ac AS (SELECT c.*, c.sec - (c.sec % {L}) AS w, make_timestamp(c.sec * 1000000) A
 def q_alert_comments(p: Params = SIX_HOURS) -> str:
     return f"""WITH {_alert_comments_ctes(p)}
 SELECT video_id, make_timestamp(w * 1000000) AS window_start, comment_id, author_id, text,
-       published_at, round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment
+       published_at, {_single('sentiment')} AS sentiment
 FROM ac"""
 
 
@@ -332,8 +413,7 @@ def q_text_similarity() -> str:
 
 
 def _stop_list() -> str:
-    from burstwatch.functions.text import english_stop_words
-    return ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words())
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS.split())
 
 
 def _keyword_ctes(src: str, key: str, doc: str, text: str, p: Params = SIX_HOURS) -> str:
@@ -354,7 +434,7 @@ ktop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY
 
 def q_top_keywords(p: Params = SIX_HOURS) -> str:
     return f"""WITH {_keyword_ctes('documents', 'source', 'doc_id', 'text', p)}
-SELECT source, rank, term, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score FROM ktop"""
+SELECT source, rank, term, {_single('score')} AS score FROM ktop"""
 
 
 def q_templated_windows(p: Params = SIX_HOURS) -> str:
@@ -385,17 +465,12 @@ def q_alert_table(p: Params = SIX_HOURS) -> str:
     # reuse the templated-window CTEs, then add pattern rows and evidence kinds
     select_at = tw_body.rindex("\nSELECT gkeys.video_id")
     ctes, final = tw_body[:select_at], tw_body[select_at + 1:]
-    pats = "\nUNION ALL\n".join(
-        f"SELECT video_id, w, coordination_score, concentration_z, '{k}' AS pattern FROM a WHERE {k}"
-        for k in PATTERN_MESSAGES)
     return f"""WITH {ctes},
 tw AS ({final}),
-pat AS ({pats})
-SELECT pat.video_id, make_timestamp(pat.w * 1000000) AS window_start, pat.pattern, pat.coordination_score,
-       tw.similarity, tw.keywords,
-       CASE WHEN pat.concentration_z > {_dbl(p.spam_concentration_z)} THEN 'repeat_authors'
-            ELSE 'timeline' END AS evidence_kind
-FROM pat LEFT JOIN tw ON tw.video_id = pat.video_id AND tw.window_start = make_timestamp(pat.w * 1000000)"""
+pat AS ({_alert_rows(p, message=False)})
+SELECT pat.video_id, pat.window_start, pat.pattern, pat.coordination_score, {", ".join(f"pat.{z}" for z in Z_COLS)},
+       tw.similarity, tw.keywords, pat.evidence_kind
+FROM pat LEFT JOIN tw ON tw.video_id = pat.video_id AND tw.window_start = pat.window_start"""
 
 
 # ---------------------------------------------------------------- sentiment
@@ -409,13 +484,12 @@ FROM (SELECT doc_id, CASE WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEGATIVE' END A
 
 def _lexicon_ctes(src: str, cols: str, p: Params = SIX_HOURS) -> str:
     """CTEs lt, ll over ``src``: lexicon label/score and the blank flag of ``text``."""
-    from burstwatch.operators.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS
-    pos = ", ".join(f"'{w}'" for w in POSITIVE_WORDS)
-    neg = ", ".join(f"'{w}'" for w in NEGATIVE_WORDS)
+    pos = ", ".join(f"'{w}'" for w in POSITIVE_WORDS.split())
+    neg = ", ".join(f"'{w}'" for w in NEGATIVE_WORDS.split())
     toks = _tokens_sql("text")
     return f"""lt AS (
   SELECT {cols},
-         regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') = '' AS blank,
+         regexp_replace(coalesce(text, ''), '{BLANKS}+', '', 'g') = '' AS blank,
          len(list_filter({toks}, lambda x: x IN ({pos}))) AS pos,
          len(list_filter({toks}, lambda x: x IN ({neg}))) AS neg
   FROM {src}),
@@ -427,15 +501,18 @@ ll AS (SELECT {cols}, blank,
       FROM lt)"""
 
 
+def _lexicon_value(p: Params = SIX_HOURS) -> str:
+    return ("(CASE WHEN blank THEN CAST(0 AS DOUBLE) "
+            f"ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END)")
+
+
 def _lexicon_sentiment(p: Params = SIX_HOURS) -> str:
-    return (f"round(CASE WHEN blank THEN CAST(0 AS DOUBLE) "
-            f"ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END "
-            f"* CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment")
+    return f"{_single(_lexicon_value(p))} AS sentiment"
 
 
 def q_with_sentiment(p: Params = SIX_HOURS) -> str:
     return f"""WITH {_lexicon_ctes('documents', 'doc_id, text', p)}
-SELECT doc_id, label, round(score * CAST({NUDGE!r} AS DOUBLE), {D}) AS score,
+SELECT doc_id, label, {_single('score')} AS score,
        {_lexicon_sentiment(p)}
 FROM ll"""
 
@@ -466,7 +543,7 @@ gi AS (SELECT *, sec - lag(sec) OVER (PARTITION BY video_id ORDER BY sec, commen
 vids AS (SELECT DISTINCT video_id FROM c UNION SELECT '{QUIET_VIDEO}')
 SELECT vids.video_id, TIMESTAMP '{lo}' AS window_start,
        coalesce(total_comments, 0) AS total_comments, coalesce(unique_authors, 0) AS unique_authors,
-       {", ".join(f"round(coalesce({x}, 0) * CAST({NUDGE!r} AS DOUBLE), {D}) AS {x}" for x in DOUBLE_MEASURES)}
+       {", ".join(f"{_single(f'coalesce({x}, 0)')} AS {x}" for x in DOUBLE_MEASURES)}
 FROM vids LEFT JOIN mi USING (video_id)"""
 
 
@@ -476,13 +553,14 @@ SELECT comment_id, video_id, author_id, text, make_timestamp(sec * 1000000) AS p
 
 
 def q_normalize_timestamp() -> str:
-    return """SELECT event_id, CAST(event_id % 4 AS INTEGER) AS variant,
-       CASE WHEN event_id % 4 = 3 THEN NULL ELSE date_trunc('second', ts) END AS published_at
+    return """SELECT event_id, CAST(event_id % 7 AS INTEGER) AS variant,
+       CASE WHEN event_id % 7 = 3 THEN NULL WHEN event_id % 7 = 6 THEN date_trunc('day', ts)
+            ELSE date_trunc('second', ts) END AS published_at
 FROM events"""
 
 
 def q_high_water_marks() -> str:
-    return f"""WITH {comments_cte(where=f"ts < TIMESTAMP '{SPLIT_OLD_BEFORE}'")}
+    return f"""WITH {comments_cte()}
 SELECT video_id, comment_id AS mark_id, make_timestamp(sec * 1000000) AS mark_at FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec DESC, comment_id DESC) AS rn FROM c)
 WHERE rn = 1"""
@@ -502,7 +580,7 @@ WHERE mk.mark_sec IS NULL OR c.sec > mk.mark_sec OR (c.sec = mk.mark_sec AND c.c
 def q_append_ignore_duplicates() -> str:
     return f"""WITH {comments_cte()}
 SELECT comment_id, video_id, author_id, text,
-       round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment,
+       {_single('sentiment')} AS sentiment,
        make_timestamp(sec * 1000000) AS published_at, make_timestamp(sec * 1000000) AS fetched_at
 FROM c"""
 
@@ -510,7 +588,7 @@ FROM c"""
 def q_upsert_window_metrics(p: Params = SIX_HOURS) -> str:
     old = scored_ctes(p, prefix="o", where=f"ts < TIMESTAMP '{SPLIT_OLD_BEFORE}'")
     new = scored_ctes(p, prefix="n", where=f"ts >= TIMESTAMP '{SPLIT_NEW_FROM}'")
-    cols = (f"video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}, "
+    cols = (f"video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)}, "
             f"coalesce(coordination_score, CAST(0 AS DOUBLE)) AS coordination_score")
     return f"""WITH {old},
 {new}
@@ -524,21 +602,22 @@ STREAM_WATERMARK_SECONDS = 3600
 
 
 def q_stream_replay(p: Params = SIX_HOURS) -> str:
-    """Batch scored windows the stream has closed: window end at or before the
-    global watermark (newest event second minus the delay)."""
+    """Batch scored windows: a closed stream has emitted every one of them."""
     return f"""WITH {scored_ctes(p)}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
        coordination_score
-FROM s WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+FROM s"""
+
+
+def q_stream_alerts(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {scored_ctes(p)},
+{alerts_cte(p)}
+{_alert_rows(p, message=False)}"""
 
 
 def q_stream_window_metrics(p: Params = SIX_HOURS) -> str:
-    """Live (window-scope gap) measures of the windows the stream has closed."""
-    return f"""WITH {comments_cte()},
-{gaps_cte('window', p.window_seconds)},
-{metrics_cte()}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
-FROM m WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+    """Live (window-scope gap) measures."""
+    return q_window_metrics_live(p)
 
 
 def q_robust_z(p: Params = SIX_HOURS) -> str:
@@ -554,7 +633,7 @@ hz AS (SELECT *, coalesce(list(CAST(total_comments AS DOUBLE)) OVER (
                     ROWS BETWEEN {p.max_windows} PRECEDING AND 1 PRECEDING), []::DOUBLE[]) AS hc
        FROM m)
 SELECT video_id, window_start, total_comments, CAST(len(hc) AS BIGINT) AS history_size,
-       round(({z}) * CAST({NUDGE!r} AS DOUBLE), {Z}) AS count_z
+       {_single(f'({z})')} AS count_z
 FROM hz"""
 
 
@@ -578,33 +657,59 @@ def q_read_comments() -> str:
     lo, hi = BETWEEN
     return f"""WITH {comments_cte(where=f"event_type = '{SCAN_VIDEO}'")}
 SELECT comment_id, video_id, author_id, text,
-       round(sentiment * CAST({NUDGE!r} AS DOUBLE), {D}) AS sentiment,
+       {_single('sentiment')} AS sentiment,
        make_timestamp(sec * 1000000) AS published_at
 FROM c WHERE sec BETWEEN epoch(TIMESTAMP '{lo}') AND epoch(TIMESTAMP '{hi}')"""
 
 
-def q_stream_pages_window_metrics(p: Params = SIX_HOURS) -> str:
-    """Closed live windows of comments parsed from pages: the text is the
-    event's, the sentiment the lexicon's (not the event value)."""
-    value = ("CASE WHEN blank THEN CAST(0 AS DOUBLE) "
-             f"ELSE ((CASE WHEN label = '{p.positive_label}' THEN score ELSE 1 - score END) - 0.5) * 2 END")
-    return f"""WITH {comments_cte('c0')},
+def _lexicon_comments(p: Params = SIX_HOURS) -> str:
+    """CTEs up to c: comments parsed from pages, whose sentiment is the lexicon's."""
+    return f"""{comments_cte('c0')},
 {_lexicon_ctes('c0', 'comment_id, video_id, author_id, text, sec', p)},
-c AS (SELECT comment_id, video_id, author_id, text, {value} AS sentiment, sec FROM ll),
+c AS (SELECT comment_id, video_id, author_id, text, {_lexicon_value(p)} AS sentiment, sec FROM ll)"""
+
+
+def q_stream_pages_window_metrics(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {_lexicon_comments(p)},
 {gaps_cte('window', p.window_seconds)},
 {metrics_cte()}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)}
-FROM m WHERE w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)}
+FROM m"""
+
+
+def q_live_pipeline(p: Params = SIX_HOURS) -> str:
+    """The full replay of comments parsed from pages."""
+    return f"""WITH {_lexicon_comments(p)},
+{gaps_cte('video', p.window_seconds)},
+{metrics_cte()},
+{baseline_cte(p)},
+s AS (SELECT *, {score_expr(p)} AS coordination_score FROM b)
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
+       coalesce(coordination_score, CAST(0 AS DOUBLE)) AS coordination_score
+FROM s"""
+
+
+def q_quarantined_items() -> str:
+    """Every event as a dirty item: by event_id % 5, a bad time, no id, a page that
+    does not parse (one per event), or a good item. Equal rows are
+    stored once."""
+    return """SELECT event_type AS video_id, CAST(event_id AS VARCHAR) AS comment_id, CAST(user_id AS VARCHAR) AS author_id,
+       coalesce(props, '') AS text, 'soon' AS published_raw, 'bad_published_at' AS reason
+FROM events WHERE event_id % 5 = 1
+UNION
+SELECT event_type, NULL, CAST(user_id AS VARCHAR), coalesce(props, ''), '2024-01-01T00:00:00Z', 'missing_id'
+FROM events WHERE event_id % 5 = 2
+UNION
+SELECT event_type, NULL, NULL, 'broken ' || event_id, NULL, 'bad_page' FROM events WHERE event_id % 5 = 3"""
 
 
-HANDOFF_AT = "2024-01-15 00:00:00"   # on a window edge (epoch-aligned 6-hour windows)
+HANDOFF_AT = "2024-01-15 03:00:00"   # inside a window: it is moved down to the edge
+HANDOFF_EDGE = "2024-01-15 00:00:00"
 
 
 def q_stream_handoff(p: Params = SIX_HOURS) -> str:
-    """Batch scored windows over the whole history, from the hand-off on, that
-    the stream has closed (as in ``q_stream_replay``)."""
+    """Batch scored windows over the whole history, from the edge of the hand-off on."""
     return f"""WITH {scored_ctes(p)}
-SELECT video_id, window_start, total_comments, unique_authors, {_round(DOUBLE_MEASURES, D)},
+SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
        coordination_score
-FROM s WHERE w >= CAST(epoch(TIMESTAMP '{HANDOFF_AT}') AS BIGINT)
-  AND w + {p.window_seconds} <= (SELECT max(sec) FROM c) - {STREAM_WATERMARK_SECONDS}"""
+FROM s WHERE w >= CAST(epoch(TIMESTAMP '{HANDOFF_EDGE}') AS BIGINT)"""

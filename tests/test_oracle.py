@@ -58,6 +58,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(got) == _canon(want)
 
 
+@pytest.mark.parametrize("name", ["detect_patterns", "explode_alerts", "alert_evidence", "alert_table", "live_pipeline"])
+def test_alert_queries_where_patterns_fire(spark, name):
+    """The smallest tables raise few alerts: these run on the next size as well."""
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    sdf = E.queries()[name](spark, sf)
+    got = pd.DataFrame([r.asDict(recursive=True) for r in sdf.collect()], columns=sdf.columns)
+    assert len(got) > 0
+    assert _canon(got) == _canon(con.execute(E.oracle_sql()[name]).fetchdf())
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

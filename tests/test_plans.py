@@ -38,10 +38,10 @@ def test_alert_keys_are_broadcast_after_a_size_check(spark):
     alerts, _ = alert_context(load_comments(spark, SF), SIX_HOURS)
     from burstwatch.operators.evidence import alert_comments
 
-    joined = alert_comments(load_comments(spark, SF), alerts, SIX_HOURS, max_broadcast_rows=10)
+    joined = alert_comments(load_comments(spark, SF), alerts, SIX_HOURS, max_broadcast_bytes=10_000)
     assert "BroadcastHashJoin" in _plan(joined)
     # above the bound the planner is left to choose (no forced broadcast hint)
-    big = alert_comments(load_comments(spark, SF), alerts, SIX_HOURS, max_broadcast_rows=-1)
+    big = alert_comments(load_comments(spark, SF), alerts, SIX_HOURS, max_broadcast_bytes=-1)
     assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
 
 
@@ -68,3 +68,28 @@ def test_read_comments_prunes_dates_and_pushes_video(spark, tmp_path):
     assert parts and "published_date" in parts[0]
     assert pushed and "EqualTo(video_id,click)" in pushed[0]
     assert df.count() > 0
+
+
+def test_window_metrics_scan_the_comments_once(spark):
+    from burstwatch.operators import window_metrics, with_gaps
+
+    plan = _formatted(window_metrics(load_comments(spark, SF), SIX_HOURS))
+    tree = plan.split("\n\n")[0]
+    assert "SortAggregate" not in tree
+    out = window_metrics(load_comments(spark, SF), SIX_HOURS)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final.split("== Initial Plan ==")[0]
+    gaps = _formatted(with_gaps(load_comments(spark, SF), params=SIX_HOURS)).split("\n\n")[0]
+    assert "SortAggregate" not in gaps and gaps.count("Scan parquet") <= 2
+
+
+def test_marks_are_one_hash_aggregation_of_the_comments(spark):
+    from burstwatch.sources import delta_since, high_water_marks
+
+    c = load_comments(spark, SF)
+    marks = high_water_marks(c)
+    tree = _formatted(marks).split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree
+    delta = _formatted(delta_since(c, marks)).split("\n\n")[0]
+    assert "BroadcastHashJoin" in delta and "SortMergeJoin" not in delta

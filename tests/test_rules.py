@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from burstwatch.functions.stats import dampen, robust_z_expr
+from burstwatch.functions.stats import dampen, robust_z
 from burstwatch.operators import detect_patterns, rolling_baseline, window_metrics
 from burstwatch.params import DEFAULT
 from burstwatch.plans import scored_windows
@@ -32,7 +32,7 @@ def _ref_z(value, series, floor):
 ])
 def test_robust_z_matches_definition(spark, value, series, floor):
     df = spark.createDataFrame([(value, series)], "v double, h array<double>")
-    got = df.select(robust_z_expr(F.col("v"), F.col("h"), floor).alias("z")).first().z
+    got = df.select(robust_z("v", "h", floor).alias("z")).first().z
     assert got == pytest.approx(_ref_z(value, series, floor), abs=1e-12)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from burstwatch.plans import scored_windows
 from burstwatch.schemas import COMMENTS
-from burstwatch.streaming import stream_comments, stream_pipeline, stream_sink
+from burstwatch.streaming import closing_comments, stream_comments, stream_pipeline, stream_sink
 from conftest import comments_df
 
 L = 600
@@ -90,7 +90,7 @@ def test_history_handoff_equals_full_batch(spark):
     _land(spark, src, sorted(live_rows, key=lambda r: r[5]), 3)
     stream = stream_comments(spark, src, COMMENTS, maxFilesPerTrigger=1)
     got = _run(spark, stream_pipeline(stream, history_comments=comments_df(spark, hist_rows),
-                                      watermark="0 seconds"))
+                                      watermark="0 seconds", handoff_at="2024-01-01 04:10:00"))
     full = scored_windows(comments_df(spark, hist_rows + live_rows)).select(*got.columns)
     full = full.filter(F.col("window_start") >= F.lit("2024-01-01 04:10:00").cast("timestamp"))
     assert _canon(got.collect()) == _canon(_closed(full, live_rows).collect())
@@ -110,7 +110,7 @@ def test_stream_window_metrics_equal_live_batch_on_closed_windows(spark, tmp_pat
 
     sf = "/root/testdata/sf0.001"
     schema = load_table(spark, sf, "events").schema
-    src = stream_comments(spark, sf, schema, pathGlobFilter="events.parquet")
+    src = stream_comments(spark, f"{sf}/events.parquet", schema)
     m = stream_window_metrics(comments_from_events(src), SIX_HOURS, watermark="0 seconds")
     q = (m.writeStream.format("parquet").outputMode("append")
          .option("path", str(tmp_path / "t")).option("checkpointLocation", str(tmp_path / "c"))
@@ -129,3 +129,52 @@ def test_stream_window_metrics_equal_live_batch_on_closed_windows(spark, tmp_pat
     g, w = rows(got), rows(want)
     assert len(g) > 0 and set(g) <= set(w)
     assert len(w) - len(g) <= 5   # only each video's last, still-open window may be missing
+
+
+def test_handoff_inside_a_window_equals_the_replay(spark):
+    """The open window comes from the stream alone; a history without a hand-off raises."""
+    rows = _rows(40)
+    c = comments_df(spark, rows)
+    src = tempfile.mkdtemp(prefix="land-", dir="/tmp")
+    _land(spark, src, sorted(rows, key=lambda r: r[5]), 2)
+    stream = stream_comments(spark, src, COMMENTS).unionByName(
+        closing_comments(spark, tempfile.mkdtemp(prefix="close-", dir="/tmp"), "2030-01-01 00:00:00"))
+    got = _run(spark, stream_pipeline(stream, history_comments=c, watermark="0 seconds",
+                                      handoff_at="2024-01-01 04:13:20"))
+    full = scored_windows(c).select(*got.columns).filter(
+        F.col("window_start") >= F.lit("2024-01-01 04:10:00").cast("timestamp"))
+    assert got.count() == 15 and _canon(got.collect()) == _canon(full.collect())
+    with pytest.raises(ValueError):
+        stream_pipeline(stream, history_comments=c)
+
+
+def test_a_file_and_a_folder_of_part_files_stream_the_same_rows(spark, tmp_path):
+    rows = _rows(12)
+    comments_df(spark, rows).repartition(5).write.parquet(str(tmp_path / "folder.parquet"))
+    one = str(next((tmp_path / "folder.parquet").glob("part-*.parquet")))
+    n_one = spark.read.parquet(one).count()
+    for path, want in ((str(tmp_path / "folder.parquet"), len(rows)), (one, n_one)):
+        out = str(tmp_path / f"out-{want}")
+        q = (stream_comments(spark, path, COMMENTS).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", out + "-c").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert spark.read.schema(COMMENTS).parquet(out).count() == want
+
+
+def test_live_alerts_equal_batch_alerts(spark, tmp_path):
+    from burstwatch.operators import detect_patterns, explode_alerts
+    from burstwatch.params import SIX_HOURS
+    from burstwatch.sources import load_comments, load_table, read_alerts
+    from burstwatch.sources.adapters import comments_from_events
+
+    sf = "/root/testdata/sf0.01"
+    src = comments_from_events(stream_comments(spark, f"{sf}/events.parquet", load_table(spark, sf, "events").schema))
+    src = src.unionByName(closing_comments(spark, str(tmp_path / "close"), "2030-01-01 00:00:00"))
+    q = stream_sink(stream_pipeline(src, SIX_HOURS, watermark="0 seconds"), str(tmp_path / "w"), str(tmp_path / "c"),
+                    {"availableNow": True}, str(tmp_path / "a"), SIX_HOURS)
+    q.awaitTermination()
+    cols = ["video_id", "window_start", "pattern", "coordination_score", "evidence_kind"]
+    batch = explode_alerts(detect_patterns(scored_windows(load_comments(spark, sf), SIX_HOURS), SIX_HOURS), SIX_HOURS)
+    live = read_alerts(spark, str(tmp_path / "a"))
+    assert sorted(live.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+    assert live.where("gap_var_z IS NULL").count() == 0 < live.count()
