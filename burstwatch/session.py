@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,13 +89,39 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+_SCOPE = threading.local()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of a file system that Spark can reach, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Tables that ``cut_lineage`` stores inside the block are removed when it ends
+    (but for those stored with ``keep``). Everything that is computed from them
+    must have been written by then."""
+    outer = getattr(_SCOPE, "root", None)
+    _SCOPE.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        root, _SCOPE.root = _SCOPE.root, outer
+        remove_path(spark, root)
+
+
+def cut_lineage(df: DataFrame, keep: bool = False) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and read it back: later jobs start from the files, which survive the
     loss of executors. (An eager ``checkpoint()`` of an unpersisted frame
-    computes it twice: once to count, once to write.)"""
+    computes it twice: once to count, once to write.) Inside ``scratch_tables``
+    the table goes when the block ends, unless ``keep``."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    scope = None if keep else getattr(_SCOPE, "root", None)
+    root = scope or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+    path = f"{root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     # the schema is known: no footer-reading job to infer it
     return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from burstwatch.operators.joins import sized_broadcast
 from burstwatch.operators.text import first_n
 from burstwatch.schemas import ALERTS, COMMENTS, QUARANTINE, WINDOW_METRICS
-from burstwatch.session import cut_lineage
+from burstwatch.session import cut_lineage, scratch_tables
 
 COMMENT_COLUMNS = [f.name for f in COMMENTS.fields]
 WINDOW_COLUMNS = [f.name for f in WINDOW_METRICS.fields]
@@ -147,8 +147,9 @@ def write_window_metrics(spark: SparkSession, path: str, updates: DataFrame) ->
     """Upsert window metrics into a date-partitioned parquet table. Only the
     dates the updates touch are read and rewritten."""
     empty = spark.createDataFrame([], WINDOW_METRICS)
-    rows = cut_lineage(upsert_window_metrics(empty, updates).withColumn("window_date", F.to_date("window_start")))
-    _replace_rows(spark, path, rows, WINDOW_METRICS, upsert_window_metrics)
+    with scratch_tables(spark):
+        rows = cut_lineage(upsert_window_metrics(empty, updates).withColumn("window_date", F.to_date("window_start")))
+        _replace_rows(spark, path, rows, WINDOW_METRICS, upsert_window_metrics)
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
@@ -156,11 +157,12 @@ def write_alerts(alerts: DataFrame, path: str) -> None:
     partitioned by window date. The alerts of a window replace those stored for
     it, so a re-run changes nothing."""
     spark = alerts.sparkSession
-    rows = cut_lineage(alerts.select(
-        *[(F.col(f.name) if f.name in alerts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-          for f in ALERTS.fields]).withColumn("window_date", F.to_date("window_start")))
-    _replace_rows(spark, path, rows, ALERTS, lambda old, new: old.join(
-        new.select(*WINDOW_KEYS).distinct(), WINDOW_KEYS, "left_anti").unionByName(new))
+    with scratch_tables(spark):
+        rows = cut_lineage(alerts.select(
+            *[(F.col(f.name) if f.name in alerts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+              for f in ALERTS.fields]).withColumn("window_date", F.to_date("window_start")))
+        _replace_rows(spark, path, rows, ALERTS, lambda old, new: old.join(
+            new.select(*WINDOW_KEYS).distinct(), WINDOW_KEYS, "left_anti").unionByName(new))
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -182,7 +184,8 @@ def store_quarantine(spark: SparkSession, path: str, rows: DataFrame) -> None:
     if table_exists(spark, path):
         old = spark.read.schema(QUARANTINE).parquet(path).select(key.alias("_key"))
         new = new.join(old, "_key", "left_anti")
-    cut_lineage(new.drop("_key")).write.mode("append").parquet(path)
+    with scratch_tables(spark):
+        cut_lineage(new.drop("_key")).write.mode("append").parquet(path)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

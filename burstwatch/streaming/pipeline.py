@@ -29,7 +29,7 @@ from burstwatch.operators.windows import finish_measures, window_table
 from burstwatch.params import DEFAULT, Params
 from burstwatch.plans.ingest import ingest_comments
 from burstwatch.schemas import COMMENTS, MEASURES, WINDOW_METRICS
-from burstwatch.session import cut_lineage, ensure_checkpoint_dir, ship_package
+from burstwatch.session import cut_lineage, ensure_checkpoint_dir, scratch_tables, ship_package
 from burstwatch.sources.tables import write_alerts, write_window_metrics
 
 WINDOW_SUMS = T.StructType([
@@ -261,11 +261,12 @@ def stream_sink(scored: DataFrame, table_path: str, checkpoint: str | None = Non
     idempotent: a replayed batch rewrites the same rows). Returns the started query."""
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = cut_lineage(batch)
-        if not rows.isEmpty():
-            write_window_metrics(rows.sparkSession, table_path, rows)
-            if alerts_path:
-                write_alerts(explode_alerts(detect_patterns(rows, params), params), alerts_path)
+        with scratch_tables(batch.sparkSession):
+            rows = cut_lineage(batch)
+            if not rows.isEmpty():
+                write_window_metrics(rows.sparkSession, table_path, rows)
+                if alerts_path:
+                    write_alerts(explode_alerts(detect_patterns(rows, params), params), alerts_path)
 
     return _start(scored, upsert, checkpoint, trigger)
 
@@ -277,7 +278,8 @@ def stream_ingest(pages: DataFrame, table_path: str, checkpoint: str | None = No
     stored like others. Returns the started query."""
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_comments(batch.sparkSession, cut_lineage(batch), table_path, scorer, params, fetched_at)
+        with scratch_tables(batch.sparkSession):
+            ingest_comments(batch.sparkSession, cut_lineage(batch), table_path, scorer, params, fetched_at)
 
     return _start(pages, ingest, checkpoint, trigger)
 
