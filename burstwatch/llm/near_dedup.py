@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstwatch.llm.tasks import arrow_map, record_batch, slices
-from burstwatch.session import cut_lineage
+from burstwatch.session import cut_lineage, scratch_tables
 
 BANDS = 40
 #: Odds at which a pair of just the threshold may share no band.
@@ -293,8 +293,14 @@ def _several(members: DataFrame) -> DataFrame:
 
 
 def _links(nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """(node, root) of the nodes that are linked with another one; None if there are none.
-    ``nodes``: node, rep, n, bands; ``rows``: doc_id, text."""
+    """(node, root) of the nodes that are linked with another one, stored; None if there
+    are none. ``nodes``: node, rep, n, bands; ``rows``: doc_id, text."""
+    with scratch_tables(rows.sparkSession):  # buckets, sets and pairs go when the links are known
+        roots = _linked(nodes, rows, k, percent)
+        return None if roots is None else cut_lineage(roots, keep=True)
+
+
+def _linked(nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame | None:
     keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
     # a bucket's first pivot is its least node
     shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("p"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from burstwatch.llm.tasks import arrow_map, input_partitions, record_batch, slices, task_id
 from burstwatch.llm.vocab import encoder
-from burstwatch.session import ensure_checkpoint_dir
+from burstwatch.session import ensure_checkpoint_dir, remove_path
 
 LANE_TOKENS = 512
 BLOCK_TOKENS = 32_768
@@ -288,6 +288,7 @@ def write_token_files(docs: DataFrame, root: str, vocab: tuple, end_id: int = 0,
                       "n_tokens long, checkpoints binary, words binary, crc32 long", table)
     (coded.sortWithinPartitions("part", "block").write.partitionBy("part")
      .option("compression", "uncompressed").parquet(f"{root}/blocks"))
+    remove_path(spark, f"{root}/plain")
 
 
 _BLOCKS = ("block long, first_token long, doc_ids array<long>, doc_tokens array<long>, n_tokens long, "
