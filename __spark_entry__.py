@@ -172,7 +172,7 @@ def _q_templated_windows(spark, sf_dir):
     # before fetching their texts
     sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
                      ["published_at", "comment_id"], P.similarity_sample).drop("rank")
-    tw = templated_windows(with_document_text(sample, docs), P)
+    tw = templated_windows(with_document_text(sample, docs), P, sampled=True)
     return tw.select("video_id", "window_start", "n_items", "similarity", "templated",
                      F.array_join("keywords", ",").alias("keywords"))
 
@@ -186,7 +186,7 @@ def _q_alert_table(spark, sf_dir):
     keys = ["video_id", "window_start"]
     sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
                      ["published_at", "comment_id"], P.similarity_sample).drop("rank")
-    table = alert_table(alerts, with_document_text(sample, docs), P)
+    table = alert_table(alerts, with_document_text(sample, docs), P, sampled=True)
     return _shown(table.withColumn("keywords", F.array_join("keywords", ",")), Z_COLUMNS)
 
 
@@ -201,7 +201,7 @@ def _q_write_alerts(spark, sf_dir):
     keys = ["video_id", "window_start"]
     sample = first_n(ac.select(*keys, "comment_id", "published_at", "text"), keys,
                      ["published_at", "comment_id"], P.similarity_sample).drop("rank")
-    table = alert_table(alerts, with_document_text(sample, docs), P)
+    table = alert_table(alerts, with_document_text(sample, docs), P, sampled=True)
     path = f"{_table_root(spark, 'alerts')}/table"
     write_alerts(table, path)
     write_alerts(read_alerts(spark, path), path)  # a re-run changes nothing

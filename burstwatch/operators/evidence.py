@@ -8,22 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstwatch.functions.timefn import window_label
-from burstwatch.operators.joins import MAX_BROADCAST_BYTES, sized_broadcast
+from burstwatch.operators.joins import MAX_BROADCAST_BYTES, null_safe_join, sized_broadcast
 from burstwatch.operators.text import first_n
 from burstwatch.params import DEFAULT, Params
 
 KEYS = ["video_id", "window_start"]
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on ``keys`` where null keys match each other (null author)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    out = left.join(r, cond, how)
-    return out.drop(*[f"_r_{k}" for k in keys]) if how not in ("left_semi", "left_anti") else out
-
-
 def alert_comments(comments: DataFrame, alerts: DataFrame, params: Params = DEFAULT,
                    max_broadcast_bytes: int | None = MAX_BROADCAST_BYTES) -> DataFrame:
     """Comments of every alert window [start, start + window_seconds).
@@ -76,12 +67,12 @@ def repeat_authors(window_comments: DataFrame, params: Params = DEFAULT) -> Data
     top = first_n(counts, KEYS, [F.desc("comment_count"), F.asc_nulls_last("author_id")],
                   p.spammer_limit)
     top_keys = top.select(*by_author)
-    samples = (first_n(_null_safe_join(window_comments, top_keys, by_author, "left_semi"),
+    samples = (first_n(null_safe_join(window_comments, top_keys, by_author, "left_semi"),
                        by_author, ["published_at", "comment_id"], p.spammer_samples)
                .groupBy(*by_author)
                .agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))),
                                 lambda s: s.getField("text")).alias("samples")))
-    return (_null_safe_join(top, samples, by_author, "left")
+    return (null_safe_join(top, samples, by_author, "left")
             .select(*KEYS, "rank", "author_id", "comment_count", "samples",
                     F.substring(F.col("author_id"), 1, p.author_display).alias("author_short"),
                     F.transform("samples", lambda t: F.substring(t, 1, p.sample_display))

@@ -22,3 +22,12 @@ def sized_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     row = sum(texts, F.lit(ROW_BYTES)).cast("long")
     size = small.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
     return F.broadcast(small) if size <= max_bytes else small
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where null keys match each other."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    out = left.join(r, cond, how)
+    return out.drop(*[f"_r_{k}" for k in keys]) if how not in ("left_semi", "left_anti") else out

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstwatch.functions.text import english_stop_words, tokens
+from burstwatch.operators.joins import null_safe_join, sized_broadcast
 from burstwatch.params import DEFAULT, Params
 from burstwatch.session import cut_lineage
 
@@ -25,7 +26,7 @@ def _group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
 def _mean_from_sums(sums: DataFrame, sizes: DataFrame, keys: list[str],
                     decimals: int | None) -> DataFrame:
     """sums: keys, _ss (||sum u||^2), _q (sum ||u||^2). sizes: keys, _n."""
-    out = sizes.join(sums, keys, "left")
+    out = null_safe_join(sizes, sums, keys, "left")
     n = F.col("_n")
     mean = (F.coalesce(F.col("_ss"), F.lit(0.0)) - F.coalesce(F.col("_q"), F.lit(0.0))) / (n * (n - 1))
     sim = F.when(n < 2, F.lit(0.0)).otherwise(mean)
@@ -51,11 +52,24 @@ def mean_pairwise_cosine(df: DataFrame, group_cols: Sequence[str], vector_col: s
     return _mean_from_sums(sums, _group_sizes(df, keys), keys, decimals)
 
 
+# Of the sorted tokens ``sorted_tokens``: (term, occurrences) by the places where a term
+# begins and the distance to the next one, and the length of the vector of counts.
+# Each step is bound to a lambda variable, so nothing is computed per reference.
+_COUNTS = """get(transform(array(sorted_tokens), t ->
+  get(transform(array(filter(sequence(0, size(t)), i -> i < size(t) AND (i = 0 OR t[i] <> t[i - 1]))), b ->
+    transform(b, (s, k) -> struct(t[s] AS term, CAST(coalesce(get(b, k + 1), size(t)) - s AS BIGINT) AS tf))), 0)), 0)"""
+_WITH_NORM = f"""get(transform(array({_COUNTS}), c ->
+  struct(c AS counts, sqrt(aggregate(c, CAST(0 AS DOUBLE), (n, x) -> n + CAST(x.tf * x.tf AS DOUBLE))) AS norm)), 0)"""
+
+
 def term_counts(df: DataFrame, keys: Sequence[str], doc_col: str, text_col: str) -> DataFrame:
-    """(keys, doc, term, tf) over whole texts."""
-    keys = list(keys)
-    return (df.select(*keys, F.col(doc_col).alias("_doc"), F.explode(tokens(F.col(text_col))).alias("term"))
-            .groupBy(*keys, "_doc", "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(keys, _doc, term, tf, _norm) over whole texts: a row is a document, so its
+    terms are counted inside it, without a shuffle; _norm is the length of its
+    count vector."""
+    per_doc = (df.select(*keys, F.col(doc_col).alias("_doc"), F.array_sort(tokens(F.col(text_col))).alias("sorted_tokens"))
+               .select(*keys, "_doc", F.expr(_WITH_NORM).alias("_c")))
+    return per_doc.select(*keys, "_doc", F.col("_c.norm").alias("_norm"), F.explode("_c.counts").alias("_x")) \
+        .select(*keys, "_doc", F.col("_x.term").alias("term"), F.col("_x.tf").alias("tf"), "_norm")
 
 
 def text_similarity(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_col: str,
@@ -75,9 +89,7 @@ def text_similarity(df: DataFrame, group_cols: Sequence[str], doc_col: str, text
 
 def _similarity_from_tf(tf: DataFrame, sizes: DataFrame, keys: list[str],
                         decimals: int | None) -> DataFrame:
-    per_doc = Window.partitionBy(*keys, "_doc")
-    units = tf.select(*keys, "term", (F.col("tf") / F.sqrt(
-        F.sum(F.col("tf") * F.col("tf")).over(per_doc))).alias("_u"))
+    units = tf.select(*keys, "term", (F.col("tf") / F.col("_norm")).alias("_u"))
     per_term = units.groupBy(*keys, "term").agg(F.sum("_u").alias("_s"),
                                                 F.sum(F.col("_u") * F.col("_u")).alias("_uu"))
     sums = per_term.groupBy(*keys).agg(F.sum(F.col("_s") * F.col("_s")).alias("_ss"),
@@ -99,18 +111,17 @@ def keyword_scores(df: DataFrame, group_cols: Sequence[str], doc_col: str, text_
 def _keyword_scores_from_tf(tf: DataFrame, sizes: DataFrame, keys: list[str],
                             stop_words: Sequence[str] | None, max_df: float) -> DataFrame:
     stops = list(english_stop_words() if stop_words is None else stop_words)
-    sizes = sizes.filter(F.col("_n") >= 2)
+    sizes = sized_broadcast(cut_lineage(sizes.filter(F.col("_n") >= 2)))
     if stops:
         tf = tf.filter(~F.col("term").isin(stops))
-    # counting rows with tf > 0 (all of them) keeps this branch's input
-    # identical to the others, so the tokenised term counts are computed once
-    # and their exchange reused
-    dfreq = tf.groupBy(*keys, "term").agg(F.count(F.when(F.col("tf") > 0, True)).alias("_df"))
-    vocab = (dfreq.join(sizes, keys)
+    tf = cut_lineage(tf.drop("_norm"))  # read for the frequencies and for the weights
+    dfreq = tf.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("_df"))
+    vocab = (null_safe_join(dfreq, sizes, keys)
              .filter(F.col("_df") <= F.lit(max_df) * F.col("_n"))
              .select(*keys, "term",
                      (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf")))
-    w = tf.join(vocab, [*keys, "term"]).select(
+    # both sides come from storage, so a frequent term of a large group is split
+    w = null_safe_join(tf, cut_lineage(vocab), [*keys, "term"]).select(
         *keys, "_doc", "term", (F.col("tf") * F.col("_idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*keys, "_doc")))
     return (w.withColumn("_norm", norm)
@@ -149,31 +160,28 @@ def first_n(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[C
 
 
 def templated_windows(window_texts: DataFrame, params: Params = DEFAULT,
-                      embed=None) -> DataFrame:
+                      embed=None, sampled: bool = False) -> DataFrame:
     """Per alert window: similarity of its first ``similarity_sample`` comments;
     when above ``similarity_threshold``, the top keywords of those texts.
 
     ``window_texts``: (video_id, window_start, comment_id, published_at, text)
-    for the comments of the alert windows."""
+    for the comments of the alert windows; with ``sampled`` only the first ones."""
     p = params
     keys = ["video_id", "window_start"]
-    # The term counts of the sample (at most similarity_sample rows per window)
-    # are stored once and feed both the similarity and the keywords.
-    sample = cut_lineage(first_n(window_texts, keys, ["published_at", "comment_id"],
-                                 p.similarity_sample))
+    # at most similarity_sample rows per window, stored once
+    first = window_texts if sampled else first_n(window_texts, keys, ["published_at", "comment_id"],
+                                                 p.similarity_sample)
+    sample = cut_lineage(first)
     sizes = _group_sizes(sample, keys)
-    if embed is None:
-        tf = cut_lineage(term_counts(sample, keys, "comment_id", "text"))
-        sim = _similarity_from_tf(tf, sizes, keys, 4)
-    else:
-        sim = text_similarity(sample, keys, "comment_id", "text", decimals=4, embed=embed)
-        tf = term_counts(sample, keys, "comment_id", "text")
+    tf = term_counts(sample, keys, "comment_id", "text")
+    sim = _similarity_from_tf(tf, sizes, keys, 4) if embed is None else \
+        text_similarity(sample, keys, "comment_id", "text", decimals=4, embed=embed)
     hot = sim.filter(F.col("similarity") > p.similarity_threshold).select(*keys)
-    scores = _keyword_scores_from_tf(tf.join(hot, keys, "left_semi"),
-                                     sizes.join(hot, keys, "left_semi"), keys, None,
+    scores = _keyword_scores_from_tf(null_safe_join(tf, hot, keys, "left_semi"),
+                                     null_safe_join(sizes, hot, keys, "left_semi"), keys, None,
                                      p.keyword_max_df)
     kw = keyword_lists(_top(scores, keys, p.top_keywords), keys)
-    return (sim.join(kw, keys, "left")
+    return (null_safe_join(sim, kw, keys, "left")
             .select(*keys, "n_items", "similarity",
                     (F.col("similarity") > p.similarity_threshold).alias("templated"),
                     F.when(F.col("similarity") > p.similarity_threshold,

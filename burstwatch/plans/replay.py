@@ -53,18 +53,19 @@ def alert_context(comments: DataFrame, params: Params = DEFAULT,
 
 
 def alert_table(alerts: DataFrame, window_texts: DataFrame, params: Params = DEFAULT,
-                embed=None) -> DataFrame:
+                embed=None, sampled: bool = False) -> DataFrame:
     """The alerts table (``schemas.ALERTS``): one row per (window, pattern)
     with the true score and z values, the templated-text similarity of the window's first
     comments, keywords when templated, and which evidence the window gets.
 
     ``alerts``: output of ``detect_patterns``; ``window_texts``: (video_id,
-    window_start, comment_id, published_at, text) of the alert windows."""
+    window_start, comment_id, published_at, text) of the alert windows (with
+    ``sampled`` only their first comments)."""
     from burstwatch.operators.patterns import explode_alerts
     from burstwatch.operators.text import templated_windows
 
     keys = ["video_id", "window_start"]
-    tw = templated_windows(window_texts, params, embed=embed).select(*keys, "similarity", "keywords")
+    tw = templated_windows(window_texts, params, embed=embed, sampled=sampled).select(*keys, "similarity", "keywords")
     return (explode_alerts(alerts, params).join(tw, keys, "left")
             .select(*[f.name for f in ALERTS.fields]))
 

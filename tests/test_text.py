@@ -97,3 +97,21 @@ def test_with_embedding_feeds_dense_similarity(spark):
                                                       embed=embed).collect()}
     assert sim["g"] == pytest.approx((0 + 2 / math.sqrt(2)) / 3)
     assert sim["h"] == 0.0
+
+
+def test_null_group_and_one_term_in_every_document(spark):
+    """A null group is a group like others, and a term of every document is cut by
+    max_df, alone or in a hot group."""
+    from burstwatch.operators.text import text_similarity, top_keywords
+
+    rows = [(None, 1, "red apple"), (None, 2, "red apple"), ("g", 3, "red apple"), ("g", 4, "red apple")]
+    rows += [("hot", 10 + i, f"common word{i % 7} word{i % 7}") for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, doc int, text string")
+    sim = {r.k: r.similarity for r in text_similarity(df, ["k"], "doc", "text").collect()}
+    assert sim[None] == sim["g"] == 1.0
+    top = {}
+    for r in top_keywords(df, ["k"], "doc", "text", 3, max_df=1.0).collect():
+        top.setdefault(r.k, {})[r["rank"]] = (r.term, round(r.score, 9))
+    assert top[None] == top["g"] and len(top[None]) == 2
+    cut = [r.term for r in top_keywords(df, ["k"], "doc", "text", 9, max_df=0.95).where("k = 'hot'").collect()]
+    assert sorted(cut) == [f"word{i}" for i in range(7)]
