@@ -15,6 +15,18 @@ from burstwatch.session import ship_package
 SLICE_BYTES = 2_000_000
 
 
+def give_back() -> None:
+    """Return memory that the worker has freed to the system: workers live on, and an
+    executor has to hold all of them."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def _lazy(module: str, name: str, args: tuple):
     def run(*data):
         import importlib
@@ -24,10 +36,22 @@ def _lazy(module: str, name: str, args: tuple):
     return run
 
 
+def _lazy_batches(module: str, name: str, args: tuple):
+    def run(batches):
+        import importlib
+
+        from burstwatch.llm.tasks import give_back
+
+        yield from getattr(importlib.import_module(module), name)(batches, *args)
+        give_back()
+
+    return run
+
+
 def arrow_map(df: DataFrame, kernel, schema, *args) -> DataFrame:
     """``df.mapInArrow`` of a module-level kernel."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(_lazy(kernel.__module__, kernel.__name__, args), schema)
+    return df.mapInArrow(_lazy_batches(kernel.__module__, kernel.__name__, args), schema)
 
 
 def arrow_groups(df: DataFrame, keys: list[str], kernel, schema, *args) -> DataFrame:

@@ -37,11 +37,13 @@ PENALTY = 0.00005
 #: share of the sample's documents without the label stays below.
 CLEAN_SHARE = 0.9995
 LEAST_CUT = 0.12
-CHARS = 2_000_000
+CHARS = 1_000_000
 #: Letters of the word beginnings that are features beside whole words.
 BEGINNINGS = (3, 4, 5)
 #: Words whose features a worker keeps.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
+#: Words that a task counts before it passes the counts on.
+HELD_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -143,7 +145,7 @@ def vocabulary_kernel(batches):
         for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
             for w in {p for w in set(words(text)) for p in parts(w)}:
                 seen.setdefault(w, [0, 0])[0 if toxic else 1] += 1
-        if len(seen) > 500_000:
+        if len(seen) > HELD_WORDS:
             yield _vocabulary(seen)
             seen = {}
     if seen:
