@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstwatch.llm.tasks import arrow_map, record_batch, slices
+from burstwatch.llm.tasks import arrow_map, free_name, record_batch, slices
 from burstwatch.session import cut_lineage, scratch_tables
 
 BANDS = 40
@@ -369,6 +369,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """``docs`` without the rows of documents that are not kept; all columns as they are."""
+    name = free_name(docs.columns, "_gone")
     gone = cut_lineage(near_duplicates(docs, shingle_words, percent, id_col=id_col, text_col=text_col)
-                       .where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(_few(gone), docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+                       .where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(_few(gone), docs[id_col].cast("long") == F.col(name), "left_anti")

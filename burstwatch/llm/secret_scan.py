@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstwatch.llm.tasks import arrow_map, record_batch, slices
+from burstwatch.llm.tasks import arrow_map, as_before, record_batch, slices, text_last
 
 #: Kinds in the order of ties: the base ones, then those of the method.
 BASE = ("assign", "access", "hex")
@@ -199,11 +199,10 @@ def redacted(text: str, mark: str = "[SECRET]") -> str:
 
 
 def redact_kernel(batches, mark: str):
-    for b in slices(batches, "_text"):
-        yield pa.record_batch([*(b.column(c) for c in b.schema.names if c != "_text"),
-                               pa.array([None if t is None else redacted(t, mark)
-                                         for t in b.column("_text").to_pylist()], pa.string())],
-                              names=[*(c for c in b.schema.names if c != "_text"), "_text"])
+    for b in slices(batches, -1):
+        last = b.num_columns - 1
+        texts = pa.array([None if t is None else redacted(t, mark) for t in b.column(last).to_pylist()], pa.string())
+        yield pa.record_batch([*(b.column(i) for i in range(last)), texts], names=b.schema.names)
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,7 +218,5 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with the spans of ``text_col`` replaced by ``mark``; all other columns as they are."""
-    moved = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col],
-                        F.col(text_col).cast("string").alias("_text"))
-    out = arrow_map(moved, redact_kernel, moved.schema, mark)
-    return out.withColumnRenamed("_text", text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
+    moved, name = text_last(docs, text_col)
+    return as_before(arrow_map(moved, redact_kernel, moved.schema, mark), name, docs, text_col)

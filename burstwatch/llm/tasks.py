@@ -67,9 +67,9 @@ def task_id() -> int:
     return TaskContext.get().partitionId()
 
 
-def slices(batches, column: str, limit: int = SLICE_BYTES):
-    """Rows of the batches in runs of at most ``limit`` bytes of ``column``
-    (at least one row each)."""
+def slices(batches, column: str | int, limit: int = SLICE_BYTES):
+    """Rows of the batches in runs of at most ``limit`` bytes of ``column`` (-1: the
+    last one), at least one row each."""
     import numpy as np
     import pyarrow.compute as pc
 
@@ -77,7 +77,8 @@ def slices(batches, column: str, limit: int = SLICE_BYTES):
         n = batch.num_rows
         if not n:
             continue
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        texts = batch.column(batch.num_columns - 1 if column == -1 else column)
+        size = pc.fill_null(pc.binary_length(texts), 0)
         ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < n:
@@ -103,16 +104,37 @@ def keep_kernel(batches, module: str, name: str, args: tuple):
     import importlib
 
     keep = getattr(importlib.import_module(module), name)
-    for b in slices(batches, "_text"):
-        yield b.filter(pa.array(keep(b.column("_text").to_pylist(), *args), pa.bool_()))
+    for b in slices(batches, -1):
+        yield b.filter(pa.array(keep(b.column(b.num_columns - 1).to_pylist(), *args), pa.bool_()))
+
+
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
+def text_last(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with its text as the last column, under a name that no other has."""
+    from pyspark.sql import functions as F
+
+    name = free_name(docs.columns, "_text")
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text_col],
+                       F.col(f"`{text_col}`").cast("string").alias(name)), name
+
+
+def as_before(moved: DataFrame, name: str, docs: DataFrame, text_col: str) -> DataFrame:
+    """The columns of ``docs`` in their order, the text from ``name``."""
+    from pyspark.sql import functions as F
+
+    return moved.select(*[F.col(f"`{name}`").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_rows(docs: DataFrame, text_col: str, keep, *args) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that the module function
     ``keep(texts, *args)`` marks True."""
-    from pyspark.sql import functions as F
-
-    names = [c for c in docs.columns if c != text_col]
-    moved = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    moved, name = text_last(docs, text_col)
     kept = arrow_map(moved, keep_kernel, moved.schema, keep.__module__, keep.__name__, args)
-    return kept.withColumnRenamed("_text", text_col).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return as_before(kept, name, docs, text_col)

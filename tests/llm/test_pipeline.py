@@ -61,3 +61,19 @@ def test_empty(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in C.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    from burstwatch.llm.near_dedup import keep_one
+    from burstwatch.llm.secret_scan import redact_secrets
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = docs.withColumns({c: F.col("doc_id") for c in ("_text", "_TEXT_", "_gone", "node", "shingles", "kept", "toxic", "rejected")})
+    models, model = language_id.learn(docs), toxicity.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for out in (language_id.keep_accepted(odd, models), toxicity.keep_clean(odd, model), keep_one(odd), redact_secrets(odd)):
+        assert out.columns == odd.columns
+        got = out.collect()
+        assert got and all(r._text == r.doc_id == r._gone for r in got)
+    assert toxicity.severity(odd, model).count() == language_id.identify(odd, models).count() == 40
