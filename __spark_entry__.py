@@ -137,7 +137,8 @@ def _q_repeat_authors(spark, sf_dir):
     _, ac = _alerts_and_comments(spark, sf_dir)
     ra = repeat_authors(ac, P)
     return ra.select("video_id", "window_start", "rank", "author_id", "comment_count",
-                     F.array_join("samples", "\x1e").alias("samples"), "author_short")
+                     F.array_join("samples", "\x1e").alias("samples"), "author_short",
+                     F.array_join("samples_short", "\x1e").alias("samples_short"))
 
 
 def _q_alert_evidence(spark, sf_dir):

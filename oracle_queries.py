@@ -345,7 +345,8 @@ def q_repeat_authors(p: Params = SIX_HOURS) -> str:
 {_repeat_ctes(p)}
 SELECT video_id, make_timestamp(w * 1000000) AS window_start, rank, author_id, comment_count,
        string_agg(text, chr(30) ORDER BY sn) AS samples,
-       substr(author_id, 1, {p.author_display}) AS author_short
+       substr(author_id, 1, {p.author_display}) AS author_short,
+       string_agg(substr(text, 1, {p.sample_display}), chr(30) ORDER BY sn) AS samples_short
 FROM ra GROUP BY video_id, w, rank, author_id, comment_count"""
 
 
