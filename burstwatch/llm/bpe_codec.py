@@ -240,9 +240,17 @@ def explode_kernel(batches, pattern: str, buckets: int):
 
     def rows():
         nonlocal chunk
+        docs, texts, size = [], [], 0
         for b in slices(batches, "text", CHUNK_BYTES):
-            yield from _chunk_rows(chunk, b.column("doc_id").to_pylist(), b.column("text").to_pylist(), findall, buckets)
-            chunk += 1
+            n = b.column("text").nbytes
+            if texts and size + n > CHUNK_BYTES:
+                yield from _chunk_rows(chunk, docs, texts, findall, buckets)
+                chunk, docs, texts, size = chunk + 1, [], [], 0
+            docs += b.column("doc_id").to_pylist()
+            texts += b.column("text").to_pylist()
+            size += n
+        if docs:
+            yield from _chunk_rows(chunk, docs, texts, findall, buckets)
 
     yield from _batches(rows())
 

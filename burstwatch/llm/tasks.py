@@ -48,15 +48,27 @@ def _lazy_batches(module: str, name: str, args: tuple):
     return run
 
 
+#: Rows of an Arrow batch, where the session has Spark's default (10,000): batches are
+#: counted in rows, and so many whole texts are more than a worker should hold.
+BATCH_ROWS = 1_000
+
+
+def _ready(spark: SparkSession) -> None:
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def arrow_map(df: DataFrame, kernel, schema, *args) -> DataFrame:
     """``df.mapInArrow`` of a module-level kernel."""
-    ship_package(df.sparkSession)
+    _ready(df.sparkSession)
     return df.mapInArrow(_lazy_batches(kernel.__module__, kernel.__name__, args), schema)
 
 
 def arrow_groups(df: DataFrame, keys: list[str], kernel, schema, *args) -> DataFrame:
     """``applyInArrow`` of a module-level kernel(table) per group of ``keys``."""
-    ship_package(df.sparkSession)
+    _ready(df.sparkSession)
     run = _lazy(kernel.__module__, kernel.__name__, args)
     return df.groupBy(*keys).applyInArrow(lambda table: run(table), schema)
 
