@@ -22,7 +22,7 @@ from burstwatch.llm.tasks import arrow_groups, arrow_map, input_partitions, reco
 from burstwatch.llm.vocab import ranks
 
 #: Text bytes of a chunk (one longer text is a chunk by itself).
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 28_000_000
 #: Entries of the words that a worker keeps (their merges are made once a bucket).
 MEMO_WORDS = 400_000
 
