@@ -238,7 +238,9 @@ def build_index(table: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     x = vectors(table, id_col, vector_col)
     shards = max(1, -(-table.count() // shard_rows))
     dealt = x.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"))
-    return cut_lineage(arrow_groups(dealt, ["shard", "dim"], build_kernel, _SHARD, k + 1))
+    # building is heavy for its bytes: a shard a task, not as many as fit by size
+    spread = dealt.repartition(max(shards, input_partitions(table.sparkSession)), "shard", "dim")
+    return cut_lineage(arrow_groups(spread, ["shard", "dim"], build_kernel, _SHARD, k + 1))
 
 
 def nearest(table: DataFrame, queries: DataFrame, k: int = 5, beam: int = SEARCH_BEAM,
