@@ -222,6 +222,21 @@ def _q_with_sentiment(spark, sf_dir):
     return _shown(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"])
 
 
+def _q_with_embedding(spark, sf_dir):
+    """Embeddings by a native column function (letter counts; a model takes its place
+    through ``model_embedder``), one column per component."""
+    from burstwatch.operators.text import with_embedding
+
+    def letter_counts(text):
+        t = F.lower(F.coalesce(text, F.lit("")))
+        return F.array(*[(F.length(t) - F.length(F.replace(t, F.lit(c), F.lit("")))).cast("float")
+                         for c in OQ.EMBEDDED_LETTERS])
+
+    rows = with_embedding(load_table(spark, sf_dir, "conversations"), letter_counts)
+    return rows.select("conv_id", "turn", *[F.col("embedding")[i].cast("double").alias(f"e{i}")
+                                            for i in range(len(OQ.EMBEDDED_LETTERS))])
+
+
 def _q_with_gaps(spark, sf_dir):
     _prepare(spark)
     g = with_gaps(load_comments(spark, sf_dir), params=P)
@@ -535,6 +550,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
     "alert_table": (_q_alert_table, OQ.q_alert_table),
     "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score),
     "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment),
+    "with_embedding": (_q_with_embedding, OQ.q_with_embedding),
     "with_gaps": (_q_with_gaps, OQ.q_with_gaps),
     "window_metrics_between": (_q_window_metrics_between, OQ.q_window_metrics_between),
     "parse_comments": (_q_parse_comments, OQ.q_parse_comments),

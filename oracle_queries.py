@@ -518,6 +518,15 @@ SELECT doc_id, label, {_single('score')} AS score,
 FROM ll"""
 
 
+EMBEDDED_LETTERS = "aeinst"
+
+
+def q_with_embedding() -> str:
+    cols = ", ".join(f"CAST(length(t) - length(replace(t, '{c}', '')) AS DOUBLE) AS e{i}"
+                     for i, c in enumerate(EMBEDDED_LETTERS))
+    return f"SELECT conv_id, turn, {cols} FROM (SELECT conv_id, turn, lower(coalesce(text, '')) AS t FROM conversations)"
+
+
 # ---------------------------------------------------------------- sources / tables
 
 BETWEEN = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
