@@ -36,11 +36,18 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 B64 = r"[A-Za-z0-9+/_-]"
+#: Between base64 lines: a newline, or one written as an escape, and blanks around it.
+LINE = r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*"
+BREAK = re.compile(LINE)
+RUN = re.compile(rf"{B64}+(?:{LINE}{B64}+)*={{0,2}}")
+#: No base64 character stands before a run, but for the n of an escaped newline.
+FIRST = rf"(?:(?<!{B64})|(?<=\\n))"
 #: Starts of a DER sequence: 0x30 and a length byte, in base64 and in hex.
-DER_BASE64 = re.compile(rf"(?<!{B64})M[A-I]{B64}{{14,}}(?:\r?\n{B64}+)*={{0,2}}")
+DER_BASE64 = re.compile(rf"{FIRST}M[A-I]{B64}{{14}}")
 DER_HEX = re.compile(r"(?<![0-9A-Fa-f])30(?:8[1-4]|[0-7][0-9A-Fa-f])[0-9A-Fa-f]{28,}")
 SSH_MAGIC = b"openssh-key-v1\0"
-SSH_BASE64 = re.compile(rf"(?<!{B64}){base64.b64encode(SSH_MAGIC).decode()}{B64}+(?:\r?\n{B64}+)*={{0,2}}")
+SSH_BASE64 = re.compile(rf"{FIRST}{base64.b64encode(SSH_MAGIC).decode()}")
+SSH_HEX = re.compile(rf"(?<![0-9A-Fa-f])(?i:{SSH_MAGIC.hex()})[0-9A-Fa-f]+")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])(e[yw][A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
 
 
@@ -83,21 +90,42 @@ def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+#: Object identifiers of PKCS#5 and of PKCS#12's password-based encryption begin so.
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+
+
+def key_may_start(data: bytes) -> bool:
+    """Whether a sequence starts that holds a small integer or a sequence first."""
+    at = 2 + (data[1] - 0x80 if data[1] > 0x80 else 0) if len(data) > 1 else 0
+    return data[at:at + 2] == b"\2\1" or data[at:at + 1] == b"\x30"
 
 
 def private_key_size(data: bytes) -> int:
     """Bytes of the DER private key at the start of ``data``; 0 if there is none.
-    PKCS#1: version and eight integers; PKCS#8: version, algorithm, octets; SEC 1:
-    version 1 and octets."""
+    PKCS#1: version and eight integers, of more than two primes version 1 and a
+    sequence of three integers each too; DSA: version and five integers; PKCS#8:
+    version, algorithm, octets; encrypted PKCS#8: password-based algorithm with its
+    parameters, octets; SEC 1: version 1 and octets."""
     top = der_item(data, 0, len(data))
     if top is None or top[0] != SEQUENCE:
         return 0
     items = der_items(data, top[1], top[2])
-    if not items or len(items) < 2 or items[0][0] != INTEGER or items[0][2] - items[0][1] != 1:
+    if not items or len(items) < 2:
+        return 0
+    if [t for t, _, _ in items] == [SEQUENCE, OCTETS]:
+        inner = der_items(data, items[0][1], items[0][2])
+        ok = inner and [t for t, _, _ in inner] == [OID, SEQUENCE] and items[1][2] - items[1][1] >= 16 \
+            and data[inner[0][1]:inner[0][2]].startswith(PASSWORD_BASED)
+        return top[2] if ok else 0
+    if items[0][0] != INTEGER or items[0][2] - items[0][1] != 1:
         return 0
     tags, version = [t for t, _, _ in items], data[items[0][1]]
-    if tags == [INTEGER] * 9 and version == 0:
+    if tags in ([INTEGER] * 9, [INTEGER] * 6) and version == 0:
         ok = items[1][2] - items[1][1] >= 32
+    elif tags == [INTEGER] * 9 + [SEQUENCE] and version == 1:
+        more = der_items(data, items[9][1], items[9][2])
+        ok = items[1][2] - items[1][1] >= 32 and bool(more) and all(
+            t == SEQUENCE and [x for x, _, _ in der_items(data, a, b) or ()] == [INTEGER] * 3 for t, a, b in more)
     elif tags[1:3] == [SEQUENCE, OCTETS] and version <= 1:
         inner = der_items(data, items[1][1], items[1][2])
         ok = bool(inner) and inner[0][0] == OID and items[2][2] - items[2][1] >= 16
@@ -144,17 +172,23 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
-def _base64_spans(text, pattern, size_of, kind):
-    for m in pattern.finditer(text):
-        chars = re.sub(r"[\r\n]", "", m.group())
-        n = size_of(_decoded(chars))
+def _base64_spans(text, pattern, may_start, size_of, kind):
+    at = 0
+    while m := pattern.search(text, at):
+        at = m.end()
+        if not may_start(_decoded(m.group())):
+            continue
+        run = RUN.match(text, m.start())
+        n = size_of(_decoded(BREAK.sub("", run.group())))
         if not n:
             continue
         need, at = -(-n * 8 // 6), m.start()  # characters that hold n bytes
-        while need:
-            need -= text[at] not in "\r\n"
-            at += 1
-        while at < m.end() and text[at] == "=":
+        for gap in BREAK.finditer(text, m.start(), run.end()):
+            if need <= gap.start() - at:
+                break
+            need, at = need - (gap.start() - at), gap.end()
+        at += need
+        while at < run.end() and text[at] == "=":
             at += 1
         yield m.start(), at, kind
 
@@ -169,10 +203,12 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
         spans += [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text)
                   if len(m.group(2)) >= ASSIGN_VALUE]
     spans += [(m.start(), m.end(), "token") for m in SIGNED.finditer(text) if is_signed_token(m[1], m[2])]
-    spans += _base64_spans(text, DER_BASE64, private_key_size, "key")
+    spans += _base64_spans(text, DER_BASE64, key_may_start, private_key_size, "key")
     spans += [(m.start(), m.start() + 2 * n, "key") for m in DER_HEX.finditer(text)
               if (n := private_key_size(bytes.fromhex(m.group()[:len(m.group()) // 2 * 2])))]
-    spans += _base64_spans(text, SSH_BASE64, ssh_key_size, "ssh")
+    spans += _base64_spans(text, SSH_BASE64, bool, ssh_key_size, "ssh")
+    spans += [(m.start(), m.start() + 2 * n, "ssh") for m in SSH_HEX.finditer(text)
+              if (n := ssh_key_size(bytes.fromhex(m.group()[:len(m.group()) // 2 * 2])))]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -85,3 +85,31 @@ def test_rows(spark):
     clean = redact_secrets(docs)
     assert clean.columns == docs.columns
     assert sorted(r.text for r in clean.where("doc_id = 3").collect()) == ["é [SECRET] x"] * 2
+
+
+ENCRYPTED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, der(4, b"s" * 8))) + der(4, b"c" * 64))
+DSA = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * 64) for i in range(5)))
+PRIME = der(0x30, b"".join(der(2, b"p" * 32) for _ in range(3)))
+MULTI = der(0x30, der(2, b"\1") + b"".join(der(2, bytes([i + 1]) * 64) for i in range(8)) + der(0x30, PRIME))
+
+
+def test_indented_and_escaped_lines():
+    for raw, kind in ((RSA, "key"), (PKCS8, "key"), (SSH, "ssh")):
+        lines = re.findall(".{1,64}", B64(raw))
+        for gap in ("\n    ", " \r\n\t", "\\n", "\\r\\n", "\\\\n"):
+            held = gap.join(lines)
+            assert kinds(f"-----BEGIN X-----{gap}{held}{gap}-----END X-----") == [(kind, held)], gap
+
+
+def test_further_shapes():
+    for raw in (ENCRYPTED, DSA, MULTI):
+        assert kinds(f"x {B64(raw)} y") == [("key", B64(raw))]
+        assert ("key", raw.hex()) in kinds(raw.hex())
+        assert kinds(B64(raw[:-1])) == []
+    assert ("ssh", SSH.hex().upper()) in kinds(SSH.hex().upper())
+    digest = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")) + der(5, b"")) + der(4, b"h" * 32))
+    assert kinds(B64(digest)) == []
+
+
+def test_a_false_start_does_not_hide_a_key():
+    assert kinds(f"MIIBOgIBAAJBAKj34GkxFhD90vcN\n{B64(RSA)}") == [("key", B64(RSA))]
