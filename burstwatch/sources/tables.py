@@ -15,6 +15,7 @@ from burstwatch.operators.joins import sized_broadcast
 from burstwatch.operators.text import first_n
 from burstwatch.schemas import ALERTS, COMMENTS, QUARANTINE, WINDOW_METRICS
 from burstwatch.session import cut_lineage, scratch_tables
+from burstwatch.sources.key_index import InsertLog, KeyIndex
 
 COMMENT_COLUMNS = [f.name for f in COMMENTS.fields]
 WINDOW_COLUMNS = [f.name for f in WINDOW_METRICS.fields]
@@ -117,14 +118,37 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def store_comments(spark: SparkSession, path: str, batch: DataFrame, prepare=None) -> DataFrame:
-    """Insert-or-ignore ``batch`` into the stored table; returns rows added.
-    ``prepare`` (rows -> rows) runs on the new rows only, e.g. to score them."""
-    new = append_ignore_duplicates(read_comments(spark, path), batch) if table_exists(spark, path) \
-        else dedupe_batch(batch)
-    new = cut_lineage((new if prepare is None else prepare(new)).select(*COMMENT_COLUMNS))
-    write_comments(new, path)
-    return new
+def index_root(path: str) -> str:
+    """Where the key index of the table at ``path`` lies."""
+    return f"{path.rstrip('/')}-keys"
+
+
+def comment_log(spark: SparkSession, path: str, **sizes) -> InsertLog:
+    """Inserts into the comments table at ``path`` by its id index. A table that has rows
+    and no index yet is indexed once. From then on rows are to be added through it."""
+    index = KeyIndex(spark, index_root(path), **sizes)
+    if not index.exists() and table_exists(spark, path):
+        index.build(read_comments(spark, path).select("comment_id"))
+
+    def same_dates(rows: DataFrame) -> DataFrame:
+        dates = [r[0] for r in rows.select(F.to_date("published_at")).distinct().collect()]  # bounded by days
+        if not table_exists(spark, path):
+            return rows.limit(0).select("comment_id")
+        schema = T.StructType([*COMMENTS.fields, T.StructField("published_date", T.DateType())])
+        return spark.read.schema(schema).parquet(path).where(F.col("published_date").isin(dates)) \
+            .select(F.col("comment_id").alias("_stored"))
+
+    return InsertLog(index, COMMENTS, "comment_id", lambda rows, token: write_comments(rows, path), same_dates)
+
+
+def store_comments(spark: SparkSession, path: str, batch: DataFrame, prepare=None,
+                   keep_rows: bool = True) -> DataFrame | None:
+    """Insert-or-ignore ``batch`` into the stored table; returns the rows added (None
+    without ``keep_rows``). ``prepare`` (rows -> rows) runs on the new rows only, e.g. to
+    score them. The ids that are read are those of the batch's own index buckets."""
+    log = comment_log(spark, path)
+    log.recover()
+    return log.insert(cut_lineage(dedupe_batch(batch)), prepare, keep_rows)
 
 
 def _replace_rows(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, merge) -> None:
@@ -178,15 +202,29 @@ def read_window_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_quarantine(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """Append quarantined rows that are not stored yet."""
-    key = F.xxhash64(*[F.coalesce(F.col(c), F.lit("")) for c in QUARANTINE_COLUMNS])
-    new = rows.select(*QUARANTINE_COLUMNS).distinct().withColumn("_key", key)
-    if table_exists(spark, path):
-        old = spark.read.schema(QUARANTINE).parquet(path).select(key.alias("_key"))
-        new = new.join(old, "_key", "left_anti")
+    """Append quarantined rows that are not stored yet, by an index of the whole rows."""
+    def keyed(df: DataFrame) -> DataFrame:
+        # absent and empty fields differ; lengths keep fields apart
+        each = [F.concat(F.coalesce(F.length(c).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(c), F.lit("")))
+                for c in QUARANTINE_COLUMNS]
+        return df.withColumn("row_key", F.sha2(F.concat(*each), 256))
+
+    index = KeyIndex(spark, index_root(path))
+    if not index.exists() and table_exists(spark, path):
+        index.build(keyed(read_quarantine(spark, path)).select("row_key"))
+    schema = T.StructType([*QUARANTINE.fields, T.StructField("row_key", T.StringType())])
+
+    def append(new: DataFrame, token: str) -> None:
+        new.drop("row_key").write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={token}")
+
     with scratch_tables(spark):
-        cut_lineage(new.drop("_key")).write.mode("append").parquet(path)
+        log = InsertLog(index, schema, "row_key", append, None)
+        log.recover()
+        log.insert(cut_lineage(keyed(rows.select(*QUARANTINE_COLUMNS).distinct())), keep_rows=False)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).parquet(path)
+    """What is quarantined; nothing if nothing ever was."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], QUARANTINE)
+    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE_COLUMNS)

@@ -278,8 +278,7 @@ def stream_ingest(pages: DataFrame, table_path: str, checkpoint: str | None = No
     stored like others. Returns the started query."""
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        with scratch_tables(batch.sparkSession):
-            ingest_comments(batch.sparkSession, cut_lineage(batch), table_path, scorer, params, fetched_at)
+        ingest_comments(batch.sparkSession, batch, table_path, scorer, params, fetched_at, keep_rows=False)
 
     return _start(pages, ingest, checkpoint, trigger)
 
