@@ -581,31 +581,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return _q_replay(spark, SMOKE_DIR)
 
 
-def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Queries of the training-data operators; none when that subpackage is absent."""
-    try:
-        from burstwatch.llm import queries as llm
-    except ModuleNotFoundError as e:
-        if not (e.name or "").startswith(("burstwatch.llm", "corpus_pipeline")):
-            raise
-        return {}
-    return llm.QUERIES
-
+def _llm():
+    """The queries of the training-data operators, or None where that subpackage, or a
+    module that it needs, cannot be imported: the other queries do not depend on it."""
+    import warnings
 
-def _llm_oracles() -> dict[str, str]:
     try:
         from burstwatch.llm import queries as llm
-    except ModuleNotFoundError as e:
+    except ImportError as e:
         if not (e.name or "").startswith(("burstwatch.llm", "corpus_pipeline")):
-            raise
-        return {}
-    return llm.ORACLES
+            warnings.warn(f"the training-data operators are left out: {e}", stacklevel=2)
+        return None
+    return llm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: fn for k, (fn, _) in _QUERIES.items()} | _llm_queries()
+    llm = _llm()
+    return {k: fn for k, (fn, _) in _QUERIES.items()} | (llm.QUERIES if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """Oracle texts, built only when asked for: queries() never depends on them."""
-    return {k: sql() for k, (_, sql) in _QUERIES.items() if sql is not None} | _llm_oracles()
+    llm = _llm()
+    return {k: sql() for k, (_, sql) in _QUERIES.items() if sql is not None} | (llm.ORACLES if llm else {})

@@ -39,10 +39,10 @@ def delta_since(items: DataFrame, marks: DataFrame) -> DataFrame:
     comment_id); all items of videos without a mark. ``items`` may be a stream.
     The marks (one row per video) are broadcast when small; beyond that both
     sides are shuffled from storage, where AQE splits a hot video."""
-    m = sized_broadcast(cut_lineage(marks.select(F.col("video_id").alias("_v"), "mark_id", "mark_at")))
+    m = sized_broadcast(cut_lineage(marks.select(F.col("video_id").alias("_v"), "mark_id", "mark_at")))  # null is a video too
     newer = ((F.col("published_at") > F.col("mark_at"))
              | ((F.col("published_at") == F.col("mark_at")) & (F.col("comment_id") > F.col("mark_id"))))
-    return (items.join(m, F.col("video_id") == F.col("_v"), "left")
+    return (items.join(m, F.col("video_id").eqNullSafe(F.col("_v")), "left")
             .filter(F.col("mark_at").isNull() | newer)
             .drop("_v", "mark_id", "mark_at"))
 
@@ -142,11 +142,12 @@ def comment_log(spark: SparkSession, path: str, **sizes) -> InsertLog:
 
 
 def store_comments(spark: SparkSession, path: str, batch: DataFrame, prepare=None,
-                   keep_rows: bool = True) -> DataFrame | None:
+                   keep_rows: bool = True, follow=None) -> DataFrame | None:
     """Insert-or-ignore ``batch`` into the stored table; returns the rows added (None
     without ``keep_rows``). ``prepare`` (rows -> rows) runs on the new rows only, e.g. to
-    score them. The ids that are read are those of the batch's own index buckets."""
+    score them; ``follow``: see ``InsertLog``. The ids that are read are those of the batch's own index buckets."""
     log = comment_log(spark, path)
+    log.follow = follow
     log.recover()
     return log.insert(cut_lineage(dedupe_batch(batch)), prepare, keep_rows)
 

@@ -181,6 +181,10 @@ class BaselineProcessor(StatefulProcessor):
         pass
 
 
+#: Windows that seed a baseline.
+SEED = T.StructType([T.StructField("video_id", T.StringType()), *_HISTORY_ROW.fields, *_LAST.fields])
+
+
 def initial_state(history_comments: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Last ``max_windows`` windows per video from a batch replay, with their
     measures and last comment seconds."""
@@ -245,6 +249,11 @@ def closing_comments(spark: SparkSession, root: str, at) -> DataFrame:
         F.lit(None).cast("string").alias("author_id"), F.lit("").alias("text"), F.lit(0.0).alias("sentiment"),
         F.lit(at).cast("timestamp").alias("published_at"), F.lit(at).cast("timestamp").alias("fetched_at"))
     row.write.mode("append").parquet(root)
+    return closing_stream(spark, root)
+
+
+def closing_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The stream of the closing rows that have been landed under ``root``."""
     return stream_comments(spark, root, COMMENTS)
 
 
@@ -272,13 +281,16 @@ def stream_sink(scored: DataFrame, table_path: str, checkpoint: str | None = Non
 
 
 def stream_ingest(pages: DataFrame, table_path: str, checkpoint: str | None = None,
-                  trigger: dict | None = None, scorer=None, params: Params = DEFAULT, fetched_at=None):
+                  trigger: dict | None = None, scorer=None, params: Params = DEFAULT, fetched_at=None,
+                  follow=None):
     """The live comment store: every micro-batch of landed pages is parsed, scored and
     inserted or ignored, what cannot be parsed is quarantined. Late comments are
-    stored like others. Returns the started query."""
+    stored like others. ``follow`` (rows, token) gets the new rows of each insert, before
+    it counts as done. Returns the started query."""
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        ingest_comments(batch.sparkSession, batch, table_path, scorer, params, fetched_at, keep_rows=False)
+        ingest_comments(batch.sparkSession, batch, table_path, scorer, params, fetched_at,
+                        keep_rows=False, follow=follow)
 
     return _start(pages, ingest, checkpoint, trigger)
 
