@@ -9,9 +9,16 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 
 import numpy as np
 
+# The characters that \\s stands for in the pattern of the vocabulary.
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of blanks from here on are taken out of the pattern's hands, which backs up over
+#: a run character by character. Its result does not depend on the number.
+LONG_BLANKS = 50_000
+
 
 def ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -27,12 +34,36 @@ def encoder(path: str, pattern: str, end_text: str | None = None):
     table = ranks(path)
     special = {end_text: max(table.values()) + 1} if end_text else {}
     enc = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=table, special_tokens=special)
+    one_piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
     allowed = set(special)
     empty = np.zeros(0, np.uint32)
 
+    long_blanks = re.compile(f"[{_SPACE}]{{{LONG_BLANKS},}}")
+
+    def plain(text: str) -> np.ndarray:
+        return enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+
+    def parts(text: str):
+        """A text without special ones, cut where the pattern ends a match for certain:
+        before a run of blanks, and in it before the last one, which goes with what
+        follows (at the end of the text the run is whole)."""
+        at = 0
+        for run in long_blanks.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            yield plain(text[at:run.start()])
+            yield one_piece.encode_to_numpy(text[run.start():end])
+            at = end
+        yield plain(text[at:])
+
     def ids(text: str | None) -> np.ndarray:
         if not text:
             return empty
-        return enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+        if not long_blanks.search(text):
+            return plain(text)
+        out = []
+        for k, part in enumerate(text.split(end_text) if end_text else [text]):
+            out += [np.array([special[end_text]], np.uint32)] if k else []
+            out += parts(part)
+        return np.concatenate(out)
 
     return ids
