@@ -207,15 +207,22 @@ def search_kernel(batches, k: int, beam: int):
             q = np.frombuffer(r["queries"], "<f8").reshape(len(qids), -1)
             out: list[tuple] = []
             for qid, v, u in zip(qids.tolist(), q, _unit(q)):
-                found = np.array(g.search(u, max(beam, k + 1)))
-                scores = cosine(v, x[found])
-                hits = []
-                for j in np.argsort(-scores, kind="stable"):
-                    if len(hits) > 2 * k and scores[j] < hits[k][0]:
+                width = max(beam, k + 1)
+                while True:
+                    found = np.array(g.search(u, width))
+                    scores = cosine(v, x[found])
+                    best: dict[int, float] = {}
+                    for j in np.argsort(-scores, kind="stable"):
+                        if len(best) >= k and scores[j] < kth:
+                            break
+                        for y in ids[offsets[found[j]]:offsets[found[j] + 1]].tolist():
+                            if y != qid and y not in best:
+                                best[y] = kth = scores[j]
+                    if len(best) >= k or width >= len(x):
                         break
-                    hits += [(scores[j], y) for y in ids[offsets[found[j]]:offsets[found[j] + 1]].tolist() if y != qid]
-                hits.sort(key=lambda h: (-h[0], h[1]))
-                out += [(qid, y, s) for s, y in hits[:k]]
+                    width *= 4  # vectors of few ids fill the beam
+                hits = sorted(best.items(), key=lambda h: (-h[1], h[0]))
+                out += [(qid, y, s) for y, s in hits[:k]]
             yield record_batch({"query_id": [o[0] for o in out], "vec_id": [o[1] for o in out], "score": [o[2] for o in out]},
                                query_id=pa.int64(), vec_id=pa.int64(), score=pa.float64())
 
@@ -264,5 +271,6 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 5, beam: int = SEARCH
     spread = met.repartition(input_partitions(table.sparkSession), "shard", "block", "dim")
     hits = arrow_map(spread.drop("qdim", "qblock", "block", "shard"), search_kernel, "query_id long, vec_id long, score double", k, beam)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
+    best = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

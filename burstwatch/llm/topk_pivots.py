@@ -46,7 +46,7 @@ def products(q: np.ndarray, w: np.ndarray):
     if most < 2 ** 53:
         return (q @ w.T).astype(np.int64)
     exact = np.array([[int(x) for x in r] for r in q], object) @ np.array([[int(x) for x in r] for r in w], object).T
-    return exact.astype(np.int64)
+    return np.clip(exact, 1 - 2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
 # ------------------------------------------------------------------ kernels
@@ -125,6 +125,7 @@ def score_group(queries: pa.Table, annuli: pa.Table, k: int) -> pa.Table:
     if queries.num_rows and annuli.num_rows:
         ids = np.frombuffer(annuli.column("ids")[0].as_py(), "<i8")
         w = np.frombuffer(annuli.column("ws")[0].as_py(), "<f8").reshape(len(ids), -1)
+        repeats = len(np.unique(ids)) < len(ids)
         qids = queries.column("query_id").to_pylist()
         floors = queries.column("floor").to_pylist()
         for at in range(0, len(qids), 512):
@@ -134,6 +135,9 @@ def score_group(queries: pa.Table, annuli: pa.Table, k: int) -> pa.Table:
                 if floor is not None:
                     ok &= scores >= floor
                 mine = np.flatnonzero(ok)
+                if repeats:  # the best row of each id
+                    mine = mine[np.lexsort((-scores[mine], ids[mine]))]
+                    mine = mine[np.flatnonzero(np.diff(ids[mine], prepend=ids[mine][:1] - 1))]
                 if len(mine) > 4 * k:
                     top = scores[mine]
                     mine = mine[top >= np.partition(top, -2 * k)[-2 * k]]
@@ -158,7 +162,10 @@ def vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _model(x: DataFrame, pivots: int) -> dict:
     """Per dimension: the largest squared length, and pivots (rows of the smallest hashes)."""
-    squares = F.aggregate("v", F.lit(0.0), lambda a, c: a + F.floor(c * SCALE) * F.floor(c * SCALE))
+    def scaled(c):  # as a double: from 2^53 on it is whole as it is
+        return F.when(F.abs(c) < 2.0 ** 44, F.floor(c * SCALE).cast("double")).otherwise(c * SCALE)
+
+    squares = F.aggregate("v", F.lit(0.0), lambda a, c: a + scaled(c) * scaled(c))
     longest = {r["dim"]: r["r2"] for r in x.groupBy(F.size("v").alias("dim")).agg(F.max(squares).alias("r2")).collect()}
     first = Window.partitionBy("dim").orderBy(F.xxhash64("v"))
     picked = x.select("v", F.size("v").alias("dim")).withColumn("n", F.row_number().over(first)).where(F.col("n") <= pivots)
@@ -184,7 +191,8 @@ def top_products(table: DataFrame, queries: DataFrame, k: int = 5, pivots: int =
     Ties go to the smaller id. Vectors that are null, empty or hold null or non-finite
     components take no part, nor do rows without an id; vectors of another dimension
     than the query's are no candidates; rows of one id are one candidate with its best
-    score. The pivots (bounded by ``pivots``) are broadcast."""
+    score. Components count up to 1e100 in size; a score beyond 2^63 - 1 either way is that number.
+    An empty table or no queries give no rows. The pivots (bounded by ``pivots``) are broadcast."""
     spark = table.sparkSession
     ship_package(spark)
     x = vectors(table, id_col, vector_col)

@@ -110,3 +110,30 @@ def test_flat_arrays_round_trip():
     g = G.Graph.build(u)
     h = G.Graph.from_flat(*[g.flat()[i] for i in (0, 1, 2, 3)])
     assert all(g.search(q, 20) == h.search(q, 20) for q in u[:20])
+
+
+def test_repeated_ids_do_not_hide_others(spark):
+    r = np.random.default_rng(3)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + [(5, [1.0, 1e-3 * i, 0.0, 0.0]) for i in range(400)]
+    rows += [(10 + i, r.normal(size=4).tolist()) for i in range(20)]
+    x = table(spark, rows)
+
+    def cos(q, v):
+        return float(G.cosine(np.array(q, float), np.array([v], float))[0])
+
+    stored = [(i, np.array(v, np.float32).astype(float).tolist()) for i, v in rows]
+    found = got(nearest(x, x.where("vec_id = 0"), 5))
+    assert [i for i, _ in found[0]] == [i for i, _ in brute(stored, {0}, 5, cos, False)[0]]
+
+    def dot(q, v):
+        return sum(int(np.floor(256 * a)) * int(np.floor(256 * b)) for a, b in zip(q, v))
+
+    assert got(top_products(x, x.where("vec_id = 0"), 5)) == brute(stored, {0}, 5, dot, True)
+
+
+def test_huge_components_do_not_overflow(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e100, 1.0]), (2, [-1e100, 3.0]), (3, [5e7, 5e7]), (4, [1.0, 1.0]), (5, [2e4, -2e4])]
+    x = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = got(top_products(x, x.where("vec_id = 0"), 5))
+    assert [i for i, _ in found[0]] == [1, 3, 4, 5, 2]
+    assert found[0][0][1] == 2 ** 63 - 1 and found[0][4][1] == 1 - 2 ** 63 and found[0][1][1] == 256 * 256 * 150_000_000
