@@ -39,6 +39,7 @@ B64 = r"[A-Za-z0-9+/_-]"
 #: Between base64 lines: a newline, or one written as an escape, and blanks around it.
 LINE = r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*"
 BREAK = re.compile(LINE)
+SIGNS = re.compile("={0,2}")
 RUN = re.compile(rf"{B64}+(?:{LINE}{B64}+)*={{0,2}}")
 #: No base64 character stands before a run, but for the n of an escaped newline.
 FIRST = rf"(?:(?<!{B64})|(?<=\\n))"
@@ -100,6 +101,37 @@ def key_may_start(data: bytes) -> bool:
     return data[at:at + 2] == b"\2\1" or data[at:at + 1] == b"\x30"
 
 
+#: Tags of what a key's sequence holds: integers, octets, sequences, marked fields.
+KEY_TAGS = (0x02, 0x04, 0x30, 0xA0, 0xA1)
+
+
+def key_reach(data: bytes) -> int:
+    """Bytes that it takes to see more of the key that starts here: up to the next item of
+    the outer sequence, or the next field of an OpenSSH key; all of it, if the items that
+    are here reach its end. 0: what is here starts no key."""
+    if data.startswith(SSH_MAGIC):
+        at, fields = len(SSH_MAGIC), 0
+        while at + 4 <= len(data) and fields < 24:
+            at += 4 if fields == 3 else 4 + int.from_bytes(data[at:at + 4], "big")
+            fields += 1
+        return at + 4
+    if len(data) < 6:
+        return 6
+    at = 2 + max(0, data[1] - 0x80)
+    end = at + (int.from_bytes(data[2:at], "big") if data[1] > 0x80 else data[1])
+    while at < end:
+        if at + 6 > len(data):
+            return min(at + 6, end)
+        if data[at] not in KEY_TAGS:
+            return 0
+        n = max(0, data[at + 1] - 0x80)
+        size = int.from_bytes(data[at + 2:at + 2 + n], "big") if n else data[at + 1]
+        if n > 4 or at + 2 + n + size > end:
+            return 0
+        at += 2 + n + size
+    return end
+
+
 def private_key_size(data: bytes) -> int:
     """Bytes of the DER private key at the start of ``data``; 0 if there is none.
     PKCS#1: version and eight integers, of more than two primes version 1 and a
@@ -178,8 +210,17 @@ def _base64_spans(text, pattern, may_start, size_of, kind):
         at = m.end()
         if not may_start(_decoded(m.group())):
             continue
-        run = RUN.match(text, m.start())
-        n = size_of(_decoded(BREAK.sub("", run.group())))
+        # no more of the run than it takes to see that there is no key, or all of one
+        reach = 160
+        while True:
+            run = RUN.match(text, m.start(), m.start() + reach)
+            data = _decoded(BREAK.sub("", run.group()))
+            n = size_of(data)
+            over = m.start() + reach >= len(text) or (run.end() < m.start() + reach and text[run.end()] not in " \t\r\n\\")
+            more = key_reach(data)
+            if n or over or more <= len(data):
+                break
+            reach = max(reach * 5 // 4, more * 3 // 2 + 64)
         if not n:
             continue
         need, at = -(-n * 8 // 6), m.start()  # characters that hold n bytes
@@ -188,9 +229,7 @@ def _base64_spans(text, pattern, may_start, size_of, kind):
                 break
             need, at = need - (gap.start() - at), gap.end()
         at += need
-        while at < run.end() and text[at] == "=":
-            at += 1
-        yield m.start(), at, kind
+        yield m.start(), at + len(SIGNS.match(text, at).group()), kind
 
 
 def find_spans(text: str) -> list[tuple[int, int, str]]:

@@ -113,3 +113,20 @@ def test_further_shapes():
 
 def test_a_false_start_does_not_hide_a_key():
     assert kinds(f"MIIBOgIBAAJBAKj34GkxFhD90vcN\n{B64(RSA)}") == [("key", B64(RSA))]
+
+
+def test_many_false_starts_take_linear_time():
+    import time
+
+    rsa = B64(RSA)
+    line = "MIIEpAIBAAKCAQEA" + "b" * 49  # starts like a key whose numbers do not fit
+    texts = {n: "\n".join([line] * n) for n in (4_000, 40_000)}
+    texts[1] = "\n".join(["MP" + "A" * 63] * 40_000)
+    began = time.time()
+    assert not any(k in ("key", "ssh") for t in texts.values() for _, _, k in find_spans(t))
+    assert time.time() - began < 30
+    for gap in ("\n", "\n" + " " * 90, "\\n", "\r\n\t"):
+        lines = gap.join(re.findall(".{1,64}", rsa))
+        assert ("key", lines) in kinds("MIIEpAIBAAKCAQEAxx.\n" + lines + "\nafter")
+    large = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * 4_000) for i in range(8)))
+    assert kinds("k:" + B64(large) + " .") == [("key", B64(large))]
