@@ -171,7 +171,7 @@ def sketch_kernel(batches, k: int, bands: int, rows: int):
             made = band_keys(np.stack([sketch(sets[i], bands * rows) for i in full]), bands)
             for i, key in zip(full, made):
                 keys[i] = key
-        yield record_batch({"doc_id": b.column("doc_id"), "n_shingles": [len(s) for s in sets],
+        yield record_batch({"doc_id": b.column("doc_id"), "text_key": b.column("text_key"), "n_shingles": [len(s) for s in sets],
                             "node": [_node(s) if len(s) else None for s in sets], "bands": keys},
                            n_shingles=pa.int64(), node=pa.int64(), bands=pa.list_(pa.int64()))
 
@@ -307,8 +307,11 @@ def _linked(nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFram
                          .where("c > 1").select("key", F.col("p.node").alias("a"), F.col("p.n").alias("na")))
     left = cut_lineage(keyed.join(shared, "key"))
     members = cut_lineage(left.select(F.col("node").alias("wanted")).distinct()
-                          .join(nodes.select(F.col("node").alias("wanted"), "rep"), "wanted"))
-    texts = rows.join(_few(members), F.col("doc_id").eqNullSafe(F.col("rep"))).select("wanted", "text")
+                          .join(nodes.select(F.col("node").alias("wanted"), "rep", "rep_key"), "wanted"))
+    # a node whose rows all lack an id is found by its text
+    by_id = rows.where("doc_id IS NOT NULL").join(_few(members.where("rep IS NOT NULL")), F.col("doc_id") == F.col("rep"))
+    by_text = rows.where("doc_id IS NULL").join(_few(members.where("rep IS NULL")), F.col("text_key") == F.col("rep_key"))
+    texts = by_id.select("wanted", "text").union(by_text.select("wanted", "text"))
     sets = cut_lineage(arrow_map(texts, sets_kernel, "node long, shingles binary", k).dropDuplicates(["node"]))
     roots, last = None, False
     pairs = left.where("node <> a").select("a", F.col("node").alias("b"), "na", F.col("n").alias("nb"))
@@ -339,6 +342,31 @@ def _linked(nodes: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFram
         pairs = met.union(shared_rare)
 
 
+def _text_key(text):
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def _classes(docs: DataFrame, shingle_words: int, percent: int, bands: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc_id, text_key, n_shingles, node, group (one of its component's nodes)
+    and component_id; without words the last three are null."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                       _text_key(F.col(f"`{text_col}`")).alias("text_key"))
+    per = rows_per_band(percent / 100, bands)
+    sketches = cut_lineage(arrow_map(rows, sketch_kernel, "doc_id long, text_key binary, n_shingles long, node long, "
+                                     "bands array<long>", shingle_words, bands, per))
+    nodes = cut_lineage(sketches.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.first("text_key").alias("rep_key"), F.first("n_shingles").alias("n"),
+        F.first("bands").alias("bands")))
+    roots = _links(nodes, rows, shingle_words, percent)
+    of = nodes.select("node", F.col("node").alias("group"), F.col("rep").alias("component_id"))
+    if roots is not None:
+        least = cut_lineage(roots.join(of, "node").groupBy("root").agg(F.min("component_id").alias("least")))
+        linked_nodes = roots.join(least, "root").select("node", "root", "least")
+        of = cut_lineage(of.join(linked_nodes, "node", "left").select(
+            "node", F.coalesce("root", "group").alias("group"), F.coalesce("least", "component_id").alias("component_id")))
+    return sketches.select("doc_id", "text_key", "n_shingles", "node").join(of, "node", "left")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85, bands: int = BANDS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept.
@@ -348,28 +376,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     empty) have no shingles and are linked with nothing. A row without an id takes
     part by its text and has the component of the others; alone it has a null
     component and is kept. Repeated rows are one document. An empty table gives no
-    rows."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    per = rows_per_band(percent / 100, bands)
-    sketches = cut_lineage(arrow_map(rows, sketch_kernel, "doc_id long, n_shingles long, node long, bands array<long>",
-                                     shingle_words, bands, per))
-    nodes = cut_lineage(sketches.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
-    roots = _links(nodes, rows, shingle_words, percent)
-    of = nodes.select("node", F.col("rep").alias("component_id"))
-    if roots is not None:
-        least = cut_lineage(roots.join(of, "node").groupBy("root").agg(F.min("component_id").alias("least")))
-        linked_nodes = roots.join(least, "root").select("node", "least")
-        of = cut_lineage(of.join(linked_nodes, "node", "left").select("node", F.coalesce("least", "component_id").alias("component_id")))
-    return sketches.select("doc_id", "n_shingles", "node").join(of, "node", "left").select(
+    rows. A text is split into shingles whole, however long."""
+    return _classes(docs, shingle_words, percent, bands, id_col, text_col).select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows of documents that are not kept; all columns as they are."""
-    name = free_name(docs.columns, "_gone")
-    gone = cut_lineage(near_duplicates(docs, shingle_words, percent, id_col=id_col, text_col=text_col)
-                       .where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(name)).distinct())
-    return docs.join(_few(gone), docs[id_col].cast("long") == F.col(name), "left_anti")
+    """One row of each group of near-duplicates: that of the least id (rows without an id
+    come last, rows of one id by their text's digest), all columns as they are.
+
+    It is decided by row, not by id: of two rows of one id with different texts each
+    stays or goes with its own group. Of rows that repeat id and text one stays. Rows
+    without words (null, empty) all stay; an empty table gives no rows."""
+    with_group = cut_lineage(_classes(docs, shingle_words, percent, BANDS, id_col, text_col).where("node IS NOT NULL")
+                             .select("doc_id", "text_key", "group"))
+    first = with_group.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("m"))
+    marked = cut_lineage(with_group.join(first, "group").select(
+        "doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("text_key") == F.col("m.text_key"))).alias("stays")))
+    key, of_text = free_name(docs.columns, "_id"), free_name(docs.columns, "_text_key")
+
+    def named(rows: DataFrame) -> DataFrame:
+        return cut_lineage(rows.select(F.col("doc_id").alias(key), F.col("text_key").alias(of_text)))
+
+    gone = named(marked.where("NOT stays").distinct())
+    again = named(marked.where("stays").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    keyed = docs.withColumn(f"{key}_row", F.col(f"`{id_col}`").cast("long")).withColumn(f"{of_text}_row", _text_key(F.col(f"`{text_col}`")))
+    same = F.col(f"{key}_row").eqNullSafe(F.col(key)) & (F.col(f"{of_text}_row") == F.col(of_text))
+    out = keyed.join(_few(gone), same, "left_anti")
+    if not again.isEmpty():
+        one = out.join(_few(again), same, "left_semi").dropDuplicates([f"{key}_row", f"{of_text}_row"])
+        out = out.join(_few(again), same, "left_anti").union(one)
+    return out.drop(f"{key}_row", f"{of_text}_row")

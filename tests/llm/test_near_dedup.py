@@ -116,3 +116,23 @@ def test_sketch_coordinates_are_filled_and_estimate():
     b = np.concatenate([a[:800], g.integers(0, 2 ** 63, 100).astype(np.uint64)])
     assert abs((N.sketch(a, 2048) == N.sketch(b, 2048)).mean() - 0.8) < 0.04
     assert N.rows_per_band(0.85) == 8 and (1 - 0.85 ** 8) ** N.BANDS < N.MISS
+
+
+def test_one_row_of_a_group_stays_by_row(spark):
+    """Ids and texts repeat, are null, and one id stands in two groups."""
+    a, b, c = "alpha beta gamma delta epsilon", "one two three four five six", "sieben acht neun zehn elf"
+    rows = [(3, b, 1), (7, a, 2), (7, b, 3), (None, c, 4), (None, c, 5), (9, "x y z u v w q", 6), (9, "x y z u v w q", 7),
+            (11, None, 8), (11, None, 9), (12, c + " ", 10), (13, "nur eins hier steht etwas", 11), (None, "nur eins hier steht etwas", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int").repartition(3)
+    kept = sorted(tuple(r) for r in N.keep_one(docs).collect() if r.doc_id != 9 and r.doc_id != 11)
+    assert kept == [(3, b, 1), (7, a, 2), (12, c + " ", 10), (13, "nur eins hier steht etwas", 11)]
+    assert N.keep_one(docs).where("doc_id = 9").count() == 1 and N.keep_one(docs).where("doc_id = 11").count() == 2
+    none = docs.where("doc_id IS NULL")
+    assert sorted(r.text for r in N.keep_one(none).collect()) == sorted([c, "nur eins hier steht etwas"])
+    assert N.keep_one(docs.limit(0)).count() == 0
+
+
+def test_many_rows_without_ids_meet_only_their_own(spark):
+    rows = [(None, f"w{i} a{i} b{i} c{i} d{i} e{i} f{i} " + "common words " * 3) for i in range(400)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert N.near_duplicates(docs).count() == 800 and N.keep_one(docs).count() == 400
