@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,13 +59,24 @@ def _windows(lang: str, runs: list, lengths: list, m: int) -> pa.RecordBatch:
         key, top = key * (pad + 1) + column, top * (pad + 1)
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
     padded = pa.concat_arrays([vocabulary, pa.array([None], pa.binary())])
-    columns = [padded.take(pa.array(c[first])).cast(pa.string()) for c in lead]
-    return pa.record_batch([pa.array([lang] * len(first), pa.string()), *columns, pa.array(counts, pa.int64())],
-                           names=["lang", *[f"w{k + 1}" for k in range(m)], "n"])
+    columns = [padded.take(pa.array(c[first])) for c in lead]
+
+    def joined(some: list) -> pa.Array:
+        if not some:
+            return pa.array([""] * len(first), pa.string())
+        out = pc.fill_null(some[0], b"")
+        for more in some[1:]:  # pads are at the end: after one there are only pads
+            out = pc.if_else(pc.is_valid(more), pc.binary_join_element_wise(out, pc.fill_null(more, b""), b" "), out)
+        return out.cast(pa.string())
+
+    # two strings a window take a third less of the shuffle than one for each word
+    return pa.record_batch([pa.array([lang] * len(first), pa.string()), joined(columns[:2]), joined(columns[2:]),
+                            pa.array(counts, pa.int64())], names=["lang", "head", "tail", "n"])
 
 
 def windows_kernel(batches, m: int, chunk_words: int = CHUNK_WORDS, block_bytes: int = BLOCK_BYTES):
-    """(lang, text) rows to (lang, w1 .. wm, n): counts of the windows of a chunk."""
+    """(lang, text) rows to (lang, head, tail, n): counts of the windows of a chunk, their
+    first two words and the rest joined by spaces."""
     runs: dict[str, tuple[list, list]] = {}
     held = 0
 
@@ -109,16 +121,22 @@ def _encode(runs: dict) -> None:
 def _foldable(counted: DataFrame, columns: list[str], least: int) -> DataFrame:
     """Windows whose words stay only as far as the prefix occurs ``least`` times: the
     rest of a window is in no phrase that does, and only its shorter prefixes are asked
-    for. ``counted`` is dealt by its first two words, so all windows of a prefix are here."""
-    out, kept = counted, F.lit(True)
-    for k in range(2, len(columns) + 1):
-        prefix = Window.partitionBy("lang", *columns[:k])
-        total = F.col("n") if k == len(columns) else F.sum("n").over(prefix)
+    for. ``counted`` is dealt by language and head, so all windows of a prefix are here."""
+    m = len(columns)
+    out = counted.withColumn("w1", F.substring_index("head", " ", 1)).withColumn(
+        "w2", F.when(F.instr("head", " ") > 0, F.substring_index("head", " ", -1)))
+    rest = F.split("tail", " ")
+    for k in range(3, m + 1):
+        out = out.withColumn(f"w{k}", F.when(F.col("tail") != "", F.get(rest, k - 3)))
+    kept = F.lit(True)
+    for k in range(2, m + 1):
+        prefix = Window.partitionBy("lang", "head", *columns[2:k])
+        total = F.col("n") if k == m else F.sum("n").over(prefix)
         out = out.withColumn(f"_k{k}", total >= least)
-    for k in range(2, len(columns) + 1):
+    for k in range(2, m + 1):
         kept = kept & F.col(f"_k{k}")
         out = out.withColumn(f"_w{k}", F.when(kept, F.col(columns[k - 1])))
-    return out.select("lang", "w1", *[F.col(f"_w{k}").alias(f"w{k}") for k in range(2, len(columns) + 1)], "n")
+    return out.select("lang", "w1", *[F.col(f"_w{k}").alias(f"w{k}") for k in range(2, m + 1)], "n")
 
 
 def _ratio(a: Column, left: Column, right: Column) -> Column:
@@ -158,18 +176,21 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     columns = [f"w{k + 1}" for k in range(max_words)]
     read = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = ", ".join(["lang string", *[f"{c} string" for c in columns], "n long"])
-    found = arrow_map(read, windows_kernel, schema, max_words, chunk_words, block_bytes)
-    counted = found.repartition("lang", "w1", "w2").groupBy("lang", *columns).agg(F.sum("n").alias("n"))
+    found = arrow_map(read, windows_kernel, "lang string, head string, tail string, n long",
+                      max_words, chunk_words, block_bytes)
+    counted = found.repartition("lang", "head").groupBy("lang", "head", "tail").agg(F.sum("n").alias("n"))
     folded = _foldable(counted, columns, least).groupBy("lang", *columns).agg(F.sum("n").alias("n"))
-    sums = cut_lineage(folded.rollup("lang", *columns).agg(
-        F.sum("n").alias("n"), F.grouping_id().cast("int").alias("level")))
+    level = F.col("level")
+    # of each prefix length the prefixes that are not padded; Spark filters before it shuffles
+    real = (level == (1 << max_words) - 1)
+    for k in range(1, max_words + 1):
+        real = real | ((level == (1 << (max_words - k)) - 1) & F.col(columns[k - 1]).isNotNull())
+    sums = cut_lineage(folded.rollup("lang", *columns).agg(F.sum("n").alias("n"), F.grouping_id().alias("level")).where(real)
+                       .where(F.col("lang").isNotNull()))
 
     def counts(k: int) -> DataFrame:
         """Phrases of k words (0: the languages) with their counts."""
-        rows = sums.where(F.col("level") == (1 << (max_words - k)) - 1).where("lang IS NOT NULL")
-        return rows.where(F.col(columns[k - 1]).isNotNull()).select("lang", *columns[:k], "n") if k \
-            else rows.select("lang", "n")
+        return sums.where(F.col("level") == (1 << (max_words - k)) - 1).select("lang", *columns[:k], "n")
 
     # phrases that cannot be part of a candidate were folded; single words are cut here
     parts = {k: sized_broadcast(counts(k).where(F.col("n") >= least)) for k in range(1, max_words)}

@@ -80,6 +80,6 @@ def test_keys_beyond_64_bits():
     words = [f"w{i % 5000}".encode() for i in range(20_000)]
     run = pa.array(words, pa.binary()).dictionary_encode()
     out = C._windows("en", [run], np.array([20_000]), 6)
-    got = Counter({tuple(r[f"w{k}"] for k in range(1, 7)): r["n"] for r in out.to_pylist()})
-    padded = [w.decode() for w in words] + [None] * 5
-    assert got == Counter(tuple(padded[i:i + 6]) for i in range(20_000))
+    got = Counter({(r["head"], r["tail"]): r["n"] for r in out.to_pylist()})
+    plain = [w.decode() for w in words]
+    assert got == Counter((" ".join(plain[i:i + 2]), " ".join(plain[i + 2:i + 6])) for i in range(20_000))
