@@ -531,6 +531,116 @@ def _q_stream_handoff(spark, sf_dir):
     return _shown(read_window_metrics(spark, f"{root}/table"), DOUBLE_MEASURES)
 
 
+def _intervals(comments):
+    """An interval for each (video, hour) with comments, of 1 to 72 hours and some seconds."""
+    hour = F.floor(F.unix_seconds("published_at") / 3600).cast("long")
+    hours = comments.select("video_id", hour.alias("h")).distinct()
+    end = F.col("h") * 3600 + 3600 * (1 + F.col("h") % OQ.INTERVAL_HOURS) + OQ.INTERVAL_EXTRA
+    return hours.select(F.concat_ws("-", "video_id", F.col("h").cast("string")).alias("interval_id"), "video_id",
+                        F.timestamp_seconds(F.col("h") * 3600).alias("start_at"), F.timestamp_seconds(end).alias("end_at"))
+
+
+def _q_interval_metrics(spark, sf_dir):
+    """Measures of thousands of overlapping closed intervals in one plan."""
+    from burstwatch.operators.intervals import interval_metrics
+
+    _prepare(spark)
+    c = load_comments(spark, sf_dir)
+    return _shown(interval_metrics(c, _intervals(c)), DOUBLE_MEASURES)
+
+
+def _q_interval_timeline(spark, sf_dir):
+    """The first comments of thousands of overlapping closed intervals in one plan."""
+    from burstwatch.operators.intervals import interval_timeline
+
+    _prepare(spark)
+    c = load_comments(spark, sf_dir)
+    return interval_timeline(c, _intervals(c), P)
+
+
+def _q_indexed_inserts(spark, sf_dir):
+    """The comments in overlapping batches through the key index (small buckets and runs,
+    so that they move and grow), one batch killed between table and index."""
+    from burstwatch.sources.tables import comment_log, read_comments
+
+    _prepare(spark)
+    path = f"{_table_root(spark, 'indexed')}/comments"
+    c = load_comments(spark, sf_dir)
+    part = F.pmod(F.xxhash64("comment_id"), F.lit(4))
+
+    def batch(k):
+        return cut_lineage(c.where((part == k) | (part == (k + 1) % 4)))
+
+    def log():
+        return comment_log(spark, path, buckets=4, max_runs=2, keys_per_bucket=500)
+
+    for k in range(3):
+        one = log()
+        one.recover()
+        if k == 1:
+            one.follow = _killed
+            try:
+                one.insert(batch(k), keep_rows=False)
+            except RuntimeError:
+                continue
+        one.insert(batch(k), keep_rows=False)
+    rows = read_comments(spark, path)
+    return _shown(rows.select("comment_id", "video_id", "author_id", "text", "sentiment", "published_at"), ["sentiment"])
+
+
+def _killed(rows, token):
+    raise RuntimeError("killed")
+
+
+def _q_live_restart(spark, sf_dir):
+    """The live plan started three times on one root: the history and first pages, more
+    pages that overlap them, the rest and the end. Returns the window table."""
+    from burstwatch.plans.live import live_pipeline
+    from burstwatch.sources import (
+        land_comment_pages, read_comment_pages, read_window_metrics, stream_comment_pages,
+    )
+
+    _prepare(spark)
+    root = _table_root(spark, "live-restart")
+    c, old, new = _split(spark, sf_dir)
+    land_comment_pages(comment_pages(old), f"{root}/history")
+    history = read_comment_pages(spark, f"{root}/history", multi_line=False)
+    at = F.col("published_at")
+    halves = [new.where(at < F.lit(OQ.RESTART_AT).cast("timestamp")), new.where(at >= F.lit(OQ.RESTART_FROM).cast("timestamp"))]
+    for k, pages in enumerate(halves):
+        land_comment_pages(comment_pages(pages), f"{root}/landed")
+        for q in live_pipeline(spark, history if k == 0 else None,
+                               stream_comment_pages(spark, f"{root}/landed", multi_line=False), f"{root}/tables", P, WATERMARK,
+                               fetched_at=OQ.INGEST_FETCHED_AT, closing_at=CLOSING_AT if k else None,
+                               trigger={"availableNow": True}):
+            q.awaitTermination()
+    return _shown(read_window_metrics(spark, f"{root}/tables/windows"), DOUBLE_MEASURES)
+
+
+def _q_poll_windows(spark, sf_dir):
+    """History, then three polls of pages that overlap: windows between the polls, which
+    are aligned to nothing, held against the windows before. Returns the window table."""
+    from datetime import datetime, timezone
+
+    from burstwatch.sources import read_window_metrics, stream_comment_pages
+    from burstwatch.streaming.polling import poll_pipeline
+
+    _prepare(spark)
+    root = _table_root(spark, "polls")
+    c = load_comments(spark, sf_dir)
+    at, ends = F.col("published_at"), [F.lit(x).cast("timestamp") for x in OQ.POLLS_AT]
+    history = pages_from_json(comment_pages(c.where(at <= ends[0])))
+    for k in range(1, len(ends)):  # one file a poll, each with an hour of the poll before
+        pages = comment_pages(c.where((at > ends[k - 1] - F.expr("INTERVAL 1 HOUR")) & (at <= ends[k])))
+        pages.select(F.concat(F.lit('{"video_id":"'), "video_id", F.lit('",'), F.expr("substring(page_json, 2)")).alias("value")) \
+            .coalesce(1).write.mode("append").text(f"{root}/landed")
+    q = poll_pipeline(spark, history, stream_comment_pages(spark, f"{root}/landed", max_files_per_trigger=1, multi_line=False),
+                      f"{root}/tables", P, fetched_at=OQ.INGEST_FETCHED_AT, trigger={"availableNow": True},
+                      now=lambda poll: datetime.fromisoformat(OQ.POLLS_AT[poll + 1]).replace(tzinfo=timezone.utc))
+    q.awaitTermination()
+    return _shown(read_window_metrics(spark, f"{root}/tables/windows"), DOUBLE_MEASURES)
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str] | None]] = {
     "window_metrics": (_q_window_metrics, OQ.q_window_metrics),
     "window_metrics_live_gaps": (_q_window_metrics_live, OQ.q_window_metrics_live),
@@ -573,6 +683,11 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
     "stream_ingest": (_q_stream_ingest, OQ.q_ingest_comments),
     "live_pipeline": (_q_live_pipeline, OQ.q_live_pipeline),
     "quarantined_items": (_q_quarantined_items, OQ.q_quarantined_items),
+    "interval_metrics": (_q_interval_metrics, OQ.q_interval_metrics),
+    "interval_timeline": (_q_interval_timeline, OQ.q_interval_timeline),
+    "indexed_inserts": (_q_indexed_inserts, OQ.q_indexed_inserts),
+    "live_restart": (_q_live_restart, OQ.q_live_pipeline),
+    "poll_windows": (_q_poll_windows, OQ.q_poll_windows),
 }
 
 

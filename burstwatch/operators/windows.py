@@ -30,7 +30,7 @@ def _timed(comments: DataFrame, window_seconds: int) -> DataFrame:
     ).withColumn("_w", window_label(F.col("_sec"), window_seconds))
 
 
-def _combined(timed: DataFrame) -> DataFrame:
+def combined(timed: DataFrame) -> DataFrame:
     """Counts and sums per (video, window, second, author)."""
     return timed.groupBy("video_id", "_w", "_sec", "author_id").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -39,13 +39,13 @@ def _combined(timed: DataFrame) -> DataFrame:
         F.sum(F.col("sentiment") * F.col("sentiment")).alias("_s2"))
 
 
-_SUMS = ("_n", "_n_len", "_len", "_n_s", "_s", "_s2")
+SUMS = ("_n", "_n_len", "_len", "_n_s", "_s", "_s2")
 
 
 def _author_counts(combined: DataFrame) -> DataFrame:
     # the condition holds for every row; it reads all columns, so that this
     # branch and the seconds share one aggregation and its exchange
-    any_row = F.when(F.xxhash64(*_SUMS) >= F.lit(-(1 << 63)), 1)
+    any_row = F.when(F.xxhash64(*SUMS) >= F.lit(-(1 << 63)), 1)
     each = combined.groupBy("video_id", "_w", "author_id").agg(F.count(any_row).alias("_rows"))
     return each.groupBy("video_id", "_w").agg(
         F.count(F.when(F.col("_rows") > 0, F.col("author_id"))).alias("unique_authors"))
@@ -54,7 +54,7 @@ def _author_counts(combined: DataFrame) -> DataFrame:
 def _sums(combined: DataFrame) -> DataFrame:
     """Per (video, window): counts and sums, first and last second, and the sums
     of gaps between consecutive distinct seconds (equal seconds add a zero gap)."""
-    per_sec = combined.groupBy("video_id", "_w", "_sec").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    per_sec = combined.groupBy("video_id", "_w", "_sec").agg(*[F.sum(c).alias(c) for c in SUMS])
     ws = Window.partitionBy("video_id", "_w").orderBy("_sec")
     d = F.col("_d")
     return per_sec.withColumn("_d", F.col("_sec") - F.lag("_sec").over(ws)).groupBy("video_id", "_w").agg(
@@ -69,13 +69,17 @@ def _sums(combined: DataFrame) -> DataFrame:
     )
 
 
-def _windows(timed: DataFrame) -> DataFrame:
-    combined = _combined(timed)
+def sums_of(combined: DataFrame) -> DataFrame:
+    """Sums, authors and gaps per (video, window) of ``combined`` rows."""
     authors = _author_counts(combined).select(F.col("video_id").alias("_v"), F.col("_w").alias("_aw"), "unique_authors")
     return _sums(combined).join(authors, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_aw"))) \
         .drop("_v", "_aw")
 
 
+def _windows(timed: DataFrame) -> DataFrame:
+    return sums_of(combined(timed))
+
+
 def finish_measures(df: DataFrame, prev_last: Column | None) -> DataFrame:
     """Turn sums into the seven measures. ``prev_last`` is the last second of
     the previous non-empty window of the video (video scope) or None."""

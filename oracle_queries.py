@@ -723,3 +723,64 @@ def q_stream_handoff(p: Params = SIX_HOURS) -> str:
 SELECT video_id, window_start, total_comments, unique_authors, {_shown(DOUBLE_MEASURES)},
        coordination_score
 FROM s WHERE w >= CAST(epoch(TIMESTAMP '{HANDOFF_EDGE}') AS BIGINT)"""
+
+
+INTERVAL_HOURS, INTERVAL_EXTRA = 72, 17
+
+
+def _intervals_cte() -> str:
+    """One interval for each (video, hour) that has comments: 1 to 72 hours and 17 seconds."""
+    return f"""iv AS (SELECT DISTINCT video_id || '-' || CAST(sec // 3600 AS VARCHAR) AS interval_id, video_id, sec // 3600 * 3600 AS lo,
+       sec // 3600 * 3600 + 3600 * (1 + (sec // 3600) % {INTERVAL_HOURS}) + {INTERVAL_EXTRA} AS hi FROM c)"""
+
+
+def q_interval_metrics() -> str:
+    return f"""WITH {comments_cte()},
+{_intervals_cte()},
+x AS (SELECT c.author_id, c.text, c.sentiment, c.sec, iv.interval_id AS video_id, 0 AS w,
+             c.sec - lag(c.sec) OVER (PARTITION BY iv.interval_id ORDER BY c.sec, c.comment_id) AS gap
+      FROM c JOIN iv ON c.video_id = iv.video_id AND c.sec BETWEEN iv.lo AND iv.hi),
+{metrics_cte('mx', 'x')}
+SELECT iv.interval_id, iv.video_id, make_timestamp(iv.lo * 1000000) AS start_at, make_timestamp(iv.hi * 1000000) AS end_at,
+       total_comments, unique_authors, {_shown(DOUBLE_MEASURES)}
+FROM iv JOIN mx ON mx.video_id = iv.interval_id"""
+
+
+def q_interval_timeline(p: Params = SIX_HOURS) -> str:
+    return f"""WITH {comments_cte()},
+{_intervals_cte()},
+r AS (SELECT iv.interval_id, row_number() OVER (PARTITION BY iv.interval_id ORDER BY c.sec, c.comment_id) AS rank,
+             c.video_id, c.comment_id, make_timestamp(c.sec * 1000000) AS published_at, c.author_id, c.text
+      FROM c JOIN iv ON c.video_id = iv.video_id AND c.sec BETWEEN iv.lo AND iv.hi)
+SELECT * FROM r WHERE rank <= {p.timeline_limit}"""
+
+
+#: Rounds of the live queries end here; the history ends at the first.
+RESTART_AT, RESTART_FROM = "2024-01-25 00:00:00", "2024-01-24 22:00:00"
+POLLS_AT = ("2024-01-20 00:00:07", "2024-01-22 10:11:12", "2024-01-22 10:11:13", "2024-01-31 23:59:59")
+
+
+def q_poll_windows(p: Params = SIX_HOURS) -> str:
+    """Aligned windows of the history, then one closed interval for each poll; each is
+    held against the windows of its video before it."""
+    polls = ", ".join(f"({k}, CAST(epoch(TIMESTAMP '{a}') AS BIGINT), CAST(epoch(TIMESTAMP '{b}') AS BIGINT))"
+                      for k, (a, b) in enumerate(zip(POLLS_AT, POLLS_AT[1:])))
+    return f"""WITH {_lexicon_comments(p)},
+old AS (SELECT * FROM c WHERE sec <= epoch(TIMESTAMP '{POLLS_AT[0]}')),
+{gaps_cte('video', p.window_seconds, 'old', 'g')},
+{metrics_cte('mh', 'g')},
+polls(k, lo, hi) AS (VALUES {polls}),
+gp AS (SELECT c.*, lo AS w, sec - lag(sec) OVER (PARTITION BY video_id, k ORDER BY sec, comment_id) AS gap
+       FROM c JOIN polls ON sec BETWEEN lo AND hi),
+{metrics_cte('mp', 'gp')},
+m AS (SELECT *, FALSE AS live FROM mh UNION ALL SELECT *, TRUE FROM mp),
+{baseline_cte(p)},
+s AS (SELECT b.*, {score_expr(p)} AS coordination_score FROM b)
+SELECT s.video_id, s.window_start, s.total_comments, s.unique_authors, {_shown([f"s.{x}" for x in DOUBLE_MEASURES]).replace(" AS s.", " AS ")},
+       CASE WHEN m.live THEN coordination_score ELSE coalesce(coordination_score, CAST(0 AS DOUBLE)) END AS coordination_score
+FROM s JOIN m ON s.video_id = m.video_id AND s.w = m.w"""
+
+
+def q_indexed_inserts() -> str:
+    return f"""WITH {comments_cte()}
+SELECT comment_id, video_id, author_id, text, {_single('sentiment')} AS sentiment, make_timestamp(sec * 1000000) AS published_at FROM c"""
