@@ -617,6 +617,35 @@ def _q_live_restart(spark, sf_dir):
     return _shown(read_window_metrics(spark, f"{root}/tables/windows"), DOUBLE_MEASURES)
 
 
+def _q_stream_rounds(spark, sf_dir):
+    """Three rounds of landed pages that overlap each other, newest first, the last two
+    ending at the stop; a page of one video never lands, one of another lands last.
+    Returns the comment store, each video's mark flagged."""
+    from burstwatch.sources.adapters import round_pages
+    from burstwatch.sources.chains import stream_page_rounds
+    from burstwatch.sources.tables import read_comments
+    from burstwatch.streaming.rounds import round_marks, stream_rounds
+
+    _prepare(spark)
+    root = _table_root(spark, "rounds")
+    c, at, late = load_comments(spark, sf_dir), F.col("published_at"), None
+    for k, (lo, hi) in enumerate(OQ.ROUNDS):
+        own = c.where((at >= F.lit(lo).cast("timestamp")) & (at < F.lit(hi).cast("timestamp")))
+        pages = cut_lineage(round_pages(own, k + 1, OQ.ROUND_PAGE_SIZE, more=k > 0))
+        if k == 1:
+            hole = (F.col("page") == 1) & F.col("video_id").isin(OQ.HOLE_FOR_GOOD, OQ.HOLE_FOR_A_WHILE)
+            late = pages.where(hole & (F.col("video_id") == OQ.HOLE_FOR_A_WHILE))
+            pages = pages.where(~hole)
+        pages.select("line").coalesce(1).write.mode("append").text(f"{root}/landed")
+    late.select("line").coalesce(1).write.mode("append").text(f"{root}/landed")
+    stream_rounds(stream_page_rounds(spark, f"{root}/landed", max_files_per_trigger=1), root, trigger={"availableNow": True},
+                  params=P, fetched_at=OQ.INGEST_FETCHED_AT).awaitTermination()
+    marks = round_marks(spark, root).select(F.col("video_id").alias("_v"), "mark_id")
+    rows = read_comments(spark, f"{root}/comments").join(marks, F.col("video_id") == F.col("_v"), "left")
+    return rows.select("comment_id", "video_id", "author_id", "text", "published_at",
+                       F.coalesce(F.col("comment_id") == F.col("mark_id"), F.lit(False)).alias("is_mark"))
+
+
 def _q_poll_windows(spark, sf_dir):
     """History, then three polls of pages that overlap: windows between the polls, which
     are aligned to nothing, held against the windows before. Returns the window table."""
@@ -688,6 +717,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
     "indexed_inserts": (_q_indexed_inserts, OQ.q_indexed_inserts),
     "live_restart": (_q_live_restart, OQ.q_live_pipeline),
     "poll_windows": (_q_poll_windows, OQ.q_poll_windows),
+    "stream_rounds": (_q_stream_rounds, OQ.q_stream_rounds),
 }
 
 

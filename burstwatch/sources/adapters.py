@@ -5,7 +5,7 @@ is the video, the user is the author and ``value`` carries the sentiment."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from burstwatch.functions.timefn import epoch_seconds
@@ -62,6 +62,34 @@ def labels_as_predictions(labels: DataFrame) -> DataFrame:
     )
 
 
+def _item():
+    """A comment as the comment API gives it."""
+    return F.struct(
+        F.col("comment_id").alias("id"),
+        F.struct(F.struct(F.struct(
+            F.struct(F.col("author_id").alias("value")).alias("authorChannelId"),
+            F.col("text").alias("textOriginal"),
+            F.date_format(F.col("published_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+        ).alias("snippet")).alias("topLevelComment")).alias("snippet"))
+
+
+def round_pages(comments: DataFrame, number: int, page_size: int, more: bool) -> DataFrame:
+    """Comments of the driver's events as one round: per video pages of ``page_size``
+    items, newest first, each naming the token of the next; with ``more`` the last page
+    names one too, as it does when the fetch ended at the stop. (video_id, page, line)."""
+    newest = Window.partitionBy("video_id").orderBy(F.desc("published_at"), F.desc("comment_id"))
+    n = comments.withColumn("_rn", F.row_number().over(newest) - 1).withColumn("page", F.floor(F.col("_rn") / page_size).cast("int"))
+    pages = n.groupBy("video_id", "page").agg(F.sort_array(F.collect_list(F.struct("_rn", _item().alias("it")))).alias("_items"))
+    last = F.max("page").over(Window.partitionBy("video_id"))
+    token = F.concat(F.lit("p"), F.col("page").cast("string"))
+    following = F.concat(F.lit("p"), (F.col("page") + 1).cast("string"))
+    line = F.to_json(F.struct(
+        "video_id", F.lit(number).alias("round"), F.when(F.col("page") > 0, token).alias("pageToken"),
+        (following if more else F.when(F.col("page") < last, following)).alias("nextPageToken"),
+        F.transform("_items", lambda s: s.getField("it")).alias("items")))
+    return pages.select("video_id", "page", line.alias("line"))
+
+
 def comment_pages(comments: DataFrame, page_size: int = 100) -> DataFrame:
     """Comments of the driver's events laid out as API pages, newest first within
     a page: one JSON string per (video_id, page). The pages of a (video, hour) are
@@ -72,13 +100,7 @@ def comment_pages(comments: DataFrame, page_size: int = 100) -> DataFrame:
     buckets = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size)))
     bucketed = c.join(sized_broadcast(counts), ["video_id", "_hour"]).withColumn(
         "_page", F.pmod(F.xxhash64("comment_id"), buckets.cast("long")))
-    item = F.struct(
-        F.col("comment_id").alias("id"),
-        F.struct(F.struct(F.struct(
-            F.struct(F.col("author_id").alias("value")).alias("authorChannelId"),
-            F.col("text").alias("textOriginal"),
-            F.date_format(F.col("published_at"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
-        ).alias("snippet")).alias("topLevelComment")).alias("snippet"))
+    item = _item()
     pages = bucketed.groupBy("video_id", "_hour", "_page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("published_at"), F.col("comment_id"),
                                              item.alias("it"))), asc=False).alias("_items"))

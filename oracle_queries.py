@@ -784,3 +784,19 @@ FROM s JOIN m ON s.video_id = m.video_id AND s.w = m.w"""
 def q_indexed_inserts() -> str:
     return f"""WITH {comments_cte()}
 SELECT comment_id, video_id, author_id, text, {_single('sentiment')} AS sentiment, make_timestamp(sec * 1000000) AS published_at FROM c"""
+
+
+#: Rounds of landed pages: (from, until). Video click lacks a page of the second for good,
+#: purchase lacks it until the end.
+ROUNDS = (("2024-01-01 00:00:00", "2024-01-12 00:00:00"), ("2024-01-11 00:00:00", "2024-01-20 00:00:00"),
+          ("2024-01-19 00:00:00", "2024-02-02 00:00:00"))
+ROUND_PAGE_SIZE, HOLE_FOR_GOOD, HOLE_FOR_A_WHILE = 20, "click", "purchase"
+
+
+def q_stream_rounds() -> str:
+    """Each comment once; of the video with the hole only the round before it, which its
+    mark stays at."""
+    return f"""WITH {comments_cte()},
+t AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec DESC, comment_id DESC) AS rn FROM c
+      WHERE video_id <> '{HOLE_FOR_GOOD}' OR sec < epoch(TIMESTAMP '{ROUNDS[0][1]}'))
+SELECT t.comment_id, t.video_id, t.author_id, t.text, make_timestamp(t.sec * 1000000) AS published_at, t.rn = 1 AS is_mark FROM t"""
