@@ -646,6 +646,27 @@ def _q_stream_rounds(spark, sf_dir):
                        F.coalesce(F.col("comment_id") == F.col("mark_id"), F.lit(False)).alias("is_mark"))
 
 
+def _q_late_refresh(spark, sf_dir):
+    """A replay without some comments, which are then stored late; the windows that they
+    change are computed again. Returns the window table, equal to a whole replay."""
+    from burstwatch.plans.refresh import refresh_windows
+    from burstwatch.sources import read_comments, read_window_metrics, store_comments, write_window_metrics
+
+    _prepare(spark)
+    root = _table_root(spark, "refresh")
+    c, at = load_comments(spark, sf_dir), F.col("published_at")
+
+    def within(lo, hi):
+        return (at >= F.lit(lo).cast("timestamp")) & (at < F.lit(hi).cast("timestamp"))
+
+    late = within(*OQ.LATE_HOUR) | (within(*OQ.LATE_DAYS) & (F.col("video_id") == OQ.LATE_VIDEO))
+    store_comments(spark, f"{root}/comments", c.where(~late), keep_rows=False)
+    write_window_metrics(spark, f"{root}/windows", replay(read_comments(spark, f"{root}/comments"), P))
+    added = store_comments(spark, f"{root}/comments", c.where(late))
+    refresh_windows(spark, f"{root}/comments", f"{root}/windows", added, P)
+    return _shown(read_window_metrics(spark, f"{root}/windows"), DOUBLE_MEASURES)
+
+
 def _q_poll_windows(spark, sf_dir):
     """History, then three polls of pages that overlap: windows between the polls, which
     are aligned to nothing, held against the windows before. Returns the window table."""
@@ -718,6 +739,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
     "live_restart": (_q_live_restart, OQ.q_live_pipeline),
     "poll_windows": (_q_poll_windows, OQ.q_poll_windows),
     "stream_rounds": (_q_stream_rounds, OQ.q_stream_rounds),
+    "late_refresh": (_q_late_refresh, OQ.q_replay),
 }
 
 

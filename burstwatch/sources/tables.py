@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from burstwatch.operators.joins import sized_broadcast
+from burstwatch.operators.joins import null_safe_join, sized_broadcast
 from burstwatch.operators.text import first_n
 from burstwatch.schemas import ALERTS, COMMENTS, QUARANTINE, WINDOW_METRICS
-from burstwatch.session import cut_lineage, scratch_tables
+from burstwatch.session import cut_lineage, remove_path, scratch_tables
 from burstwatch.sources.key_index import InsertLog, KeyIndex
 
 COMMENT_COLUMNS = [f.name for f in COMMENTS.fields]
@@ -152,18 +152,25 @@ def store_comments(spark: SparkSession, path: str, batch: DataFrame, prepare=Non
     return log.insert(cut_lineage(dedupe_batch(batch)), prepare, keep_rows)
 
 
-def _replace_rows(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, merge) -> None:
-    """Rewrite the dates of a table that ``rows`` (stored, with ``window_date``) touch
-    as ``merge(existing rows of those dates, rows)``."""
-    if rows.isEmpty():
+def _replace_rows(spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, merge,
+                  touched: DataFrame | None = None) -> None:
+    """Rewrite the dates of a table that ``rows`` (stored, with ``window_date``) or
+    ``touched`` (window keys) have, as ``merge(existing rows of those dates, rows)``."""
+    days = rows.select("window_date")
+    if touched is not None:
+        days = days.union(touched.select(F.to_date("window_start")))
+    if days.isEmpty():
         return
     plain = rows.drop("window_date")
     if table_exists(spark, path):
-        dates = [r[0] for r in rows.select("window_date").distinct().collect()]  # bounded by days
+        dates = [r[0] for r in days.distinct().collect()]  # bounded by days
         full = T.StructType([*schema.fields, T.StructField("window_date", T.DateType())])
         existing = spark.read.schema(full).parquet(path).filter(F.col("window_date").isin(dates)).drop("window_date")
         # stored first: the files that are replaced must not be in its lineage
         plain = cut_lineage(merge(existing, plain))
+        gone = set(dates) - {r[0] for r in plain.select(F.to_date("window_start")).distinct().collect()}
+        for day in gone:  # dates without any rows left are not overwritten by a write
+            remove_path(spark, f"{path.rstrip('/')}/window_date={day}")
     (plain.withColumn("window_date", F.to_date("window_start")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(path))
 
@@ -177,17 +184,20 @@ def write_window_metrics(spark: SparkSession, path: str, updates: DataFrame) ->
         _replace_rows(spark, path, rows, WINDOW_METRICS, upsert_window_metrics)
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
+def write_alerts(alerts: DataFrame, path: str, windows: DataFrame | None = None) -> None:
     """Write alerts (``schemas.ALERTS``; missing columns are null) into a table
     partitioned by window date. The alerts of a window replace those stored for
-    it, so a re-run changes nothing."""
+    it, so a re-run changes nothing. ``windows`` (keys): further windows whose stored
+    alerts go, those that have been looked at and have none any more."""
     spark = alerts.sparkSession
     with scratch_tables(spark):
         rows = cut_lineage(alerts.select(
             *[(F.col(f.name) if f.name in alerts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
               for f in ALERTS.fields]).withColumn("window_date", F.to_date("window_start")))
-        _replace_rows(spark, path, rows, ALERTS, lambda old, new: old.join(
-            new.select(*WINDOW_KEYS).distinct(), WINDOW_KEYS, "left_anti").unionByName(new))
+        looked = rows.select(*WINDOW_KEYS) if windows is None else rows.select(*WINDOW_KEYS).union(windows.select(*WINDOW_KEYS))
+        keys = cut_lineage(looked.distinct())
+        _replace_rows(spark, path, rows, ALERTS, lambda old, new: null_safe_join(
+            old, keys, WINDOW_KEYS, "left_anti").unionByName(new), keys)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

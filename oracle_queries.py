@@ -800,3 +800,7 @@ def q_stream_rounds() -> str:
 t AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec DESC, comment_id DESC) AS rn FROM c
       WHERE video_id <> '{HOLE_FOR_GOOD}' OR sec < epoch(TIMESTAMP '{ROUNDS[0][1]}'))
 SELECT t.comment_id, t.video_id, t.author_id, t.text, make_timestamp(t.sec * 1000000) AS published_at, t.rn = 1 AS is_mark FROM t"""
+
+
+#: Comments that come late: an hour of all videos, and two days of one.
+LATE_HOUR, LATE_DAYS, LATE_VIDEO = ("2024-01-10 03:00:00", "2024-01-10 04:00:00"), ("2024-01-15 00:00:00", "2024-01-17 00:00:00"), "click"
