@@ -1,7 +1,7 @@
 """Windows again after late comments: only those that the comments change.
 
 A late comment changes the measures of its window, the first gap of the next one, and,
-through the history, the scores of the next ``max_windows`` windows of its video. All
+through the history, the scores of the ``max_windows`` windows of its video after those. All
 others stay as they are stored. Comments are read for the windows whose measures change
 and the window before each (for its last second); histories come from the window table."""
 
@@ -41,7 +41,7 @@ def affected_windows(stored: DataFrame, touched: DataFrame, params: Params = DEF
     n = params.max_windows
     marked = every.withColumn("measure", (F.col("t") == 1) | (F.coalesce(F.lag("t").over(order), F.lit(0)) == 1)) \
         .withColumn("before", F.coalesce(F.lead("measure").over(order), F.lit(False))) \
-        .withColumn("score", F.max("t").over(order.rowsBetween(-n, 0)) == 1)
+        .withColumn("score", F.max(F.col("measure").cast("int")).over(order.rowsBetween(-n, 0)) == 1)
     # of the others only the histories of those
     reach = F.max(F.col("score").cast("int")).over(order.rowsBetween(0, n)) == 1
     return marked.withColumn("reach", reach).where(F.col("reach") | F.col("before")).drop("t", "reach")

@@ -15,7 +15,7 @@ from burstwatch.plans.live import live_pipeline
 from burstwatch.sources import pages_from_json, read_comments, read_window_metrics, stream_comment_pages
 from burstwatch.streaming.polling import poll_pipeline
 
-P = DEFAULT.with_(warmup=3) if hasattr(DEFAULT, "with_") else DEFAULT
+P = DEFAULT.with_(warmup=3)
 END = "2030-01-01 00:00:00"
 
 

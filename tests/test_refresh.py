@@ -12,7 +12,7 @@ from burstwatch.plans import replay, replay_alerts, scored_windows
 from burstwatch.plans.refresh import affected_windows, refresh_windows, refreshed, touched_windows
 from burstwatch.sources import read_alerts, read_comments, read_window_metrics, store_comments, write_alerts, write_window_metrics
 
-P = DEFAULT.with_(warmup=3, max_windows=4) if hasattr(DEFAULT, "with_") else DEFAULT
+P = DEFAULT.with_(warmup=3, max_windows=4)
 
 
 def rows(seed, n=700, days=20):
@@ -34,6 +34,7 @@ def table(df):
 def test_equal_to_a_whole_replay(spark, tmp_path):
     every = rows(1)
     late = {i for i in range(0, 700, 90)} | {i for i, x in enumerate(every) if x[1] == "v2" and 86400 * 5 <= x[5] < 86400 * 5 + 6000}
+    late |= {i for i, x in enumerate(every) if x[1] == "v3" and 86400 * 9 <= x[5] < 86400 * 11}  # whole windows
     late |= {max(range(700), key=lambda i: every[i][5]), min(range(700), key=lambda i: every[i][5])}
     c, w, a = (str(tmp_path / x) for x in ("c", "w", "a"))
     store_comments(spark, c, comments_df(spark, [x for i, x in enumerate(every) if i not in late]), keep_rows=False)
@@ -61,8 +62,8 @@ def test_only_what_changes_is_touched(spark, tmp_path):
     added = store_comments(spark, c, comments_df(spark, [("late", "v1", "b", "t", 0.5, 86400 * 10 + 3100)]))
     some = affected_windows(read_window_metrics(spark, w), touched_windows(added, P), P)
     flags = {k: some.where(k).count() for k in ("measure", "before", "score")}
-    assert flags == {"measure": 2, "before": 2, "score": 5} and some.where("video_id <> 'v1'").count() == 0
-    assert refreshed(spark, c, read_window_metrics(spark, w), added, P).count() == 5
+    assert flags == {"measure": 2, "before": 2, "score": 6} and some.where("video_id <> 'v1'").count() == 0
+    assert refreshed(spark, c, read_window_metrics(spark, w), added, P).count() == 6
     refresh_windows(spark, c, w, added, P)
     after = {p.name: {f.name for f in p.glob("part-*")} for p in Path(w).glob("window_date=*")}
     changed = {d for d in after if after[d] != before.get(d)}
