@@ -222,6 +222,23 @@ def _q_with_sentiment(spark, sf_dir):
     return _shown(out.select("doc_id", "label", "score", "sentiment"), ["score", "sentiment"])
 
 
+def _length_model():
+    """A stand-in batch model, whose answers depend on the text's length alone."""
+    def predict(texts):
+        return [{"label": "NEGATIVE" if len(t) % 2 else "POSITIVE", "score": 0.5 + len(t) % 50 / 100} for t in texts]
+
+    return predict
+
+
+def _q_model_sentiment(spark, sf_dir):
+    """Sentiment by a batch model, in batches of texts of about one length."""
+    from burstwatch.operators.sentiment import model_scorer
+
+    docs = load_table(spark, sf_dir, "documents", _tasks(spark)).select("doc_id", "text")
+    out = with_sentiment(docs, "text", model_scorer(_length_model), P, length_batches=True)
+    return _shown(out.select("doc_id", "sentiment"), ["sentiment"])
+
+
 def _q_with_embedding(spark, sf_dir):
     """Embeddings by a native column function (letter counts; a model takes its place
     through ``model_embedder``), one column per component."""
@@ -711,6 +728,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[],
     "sentiment_score": (_q_sentiment_score, OQ.q_sentiment_score),
     "with_sentiment": (_q_with_sentiment, OQ.q_with_sentiment),
     "with_embedding": (_q_with_embedding, OQ.q_with_embedding),
+    "model_sentiment": (_q_model_sentiment, OQ.q_model_sentiment),
     "with_gaps": (_q_with_gaps, OQ.q_with_gaps),
     "window_metrics_between": (_q_window_metrics_between, OQ.q_window_metrics_between),
     "parse_comments": (_q_parse_comments, OQ.q_parse_comments),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from burstwatch.operators.joins import sized_broadcast
 from burstwatch.operators.text import first_n
-from burstwatch.operators.windows import SUMS, combined, finish_measures, sums_of
+from burstwatch.operators.windows import PART_SECONDS, SUMS, combined, finish_measures, sums_of
 from burstwatch.params import DEFAULT, Params
 from burstwatch.session import cut_lineage
 
@@ -84,7 +84,7 @@ def interval_metrics(comments: DataFrame, intervals: DataFrame) -> DataFrame:
                             F.unix_seconds("published_at").alias("_sec"), F.lit(0).cast("long").alias("_w"))
     met = interval_join(combined(timed), intervals, F.col("_sec"))
     found = sums_of(met.drop("video_id").withColumnRenamed("interval_id", "video_id")
-                    .select("video_id", "_w", "_sec", "author_id", *SUMS))
+                    .select("video_id", "_w", "_sec", "author_id", *SUMS), PART_SECONDS)
     measures = finish_measures(found.withColumn("window_start", F.timestamp_seconds("_w")), None) \
         .drop("_last", "window_start").withColumnRenamed("video_id", "interval_id")
     names = [c for c in measures.columns if c != "interval_id"]

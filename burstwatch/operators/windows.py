@@ -51,12 +51,29 @@ def _author_counts(combined: DataFrame) -> DataFrame:
         F.count(F.when(F.col("_rows") > 0, F.col("author_id"))).alias("unique_authors"))
 
 
-def _sums(combined: DataFrame) -> DataFrame:
+def _sums(combined: DataFrame, part_seconds: int | None = None) -> DataFrame:
     """Per (video, window): counts and sums, first and last second, and the sums
-    of gaps between consecutive distinct seconds (equal seconds add a zero gap)."""
+    of gaps between consecutive distinct seconds (equal seconds add a zero gap).
+
+    With ``part_seconds`` the seconds of a long window are put in order part by part, and
+    the gaps between parts follow from the parts' first and last seconds."""
     per_sec = combined.groupBy("video_id", "_w", "_sec").agg(*[F.sum(c).alias(c) for c in SUMS])
-    ws = Window.partitionBy("video_id", "_w").orderBy("_sec")
     d = F.col("_d")
+    if part_seconds is not None:
+        part = per_sec.withColumn("_part", F.floor(F.col("_sec") / part_seconds))
+        ws = Window.partitionBy("video_id", "_w", "_part").orderBy("_sec")
+        parts = part.withColumn("_d", F.col("_sec") - F.lag("_sec").over(ws)).groupBy("video_id", "_w", "_part").agg(
+            *[F.sum(c).alias(c) for c in SUMS], F.min("_sec").alias("_a"), F.max("_sec").alias("_b"),
+            F.coalesce(F.sum("_d"), F.lit(0)).alias("_g"), F.coalesce(F.sum(d * d), F.lit(0)).alias("_g2"))
+        over = F.col("_a") - F.lag("_b").over(Window.partitionBy("video_id", "_w").orderBy("_part"))
+        return parts.withColumn("_d", F.coalesce(over, F.lit(0))).groupBy("video_id", "_w").agg(
+            F.sum("_n").alias("total_comments"),
+            (F.sum("_len") / F.sum("_n_len")).alias("_avg_len"),
+            (F.sum("_s") / F.sum("_n_s")).alias("_avg_sent"),
+            (F.sum("_s2") / F.sum("_n_s")).alias("_avg_sent_sq"),
+            F.min("_a").alias("_first"), F.max("_b").alias("_last"),
+            F.sum(F.col("_g") + d).alias("_sg"), F.sum(F.col("_g2") + d * d).alias("_sg2"))
+    ws = Window.partitionBy("video_id", "_w").orderBy("_sec")
     return per_sec.withColumn("_d", F.col("_sec") - F.lag("_sec").over(ws)).groupBy("video_id", "_w").agg(
         F.sum("_n").alias("total_comments"),
         (F.sum("_len") / F.sum("_n_len")).alias("_avg_len"),
@@ -69,15 +86,19 @@ def _sums(combined: DataFrame) -> DataFrame:
     )
 
 
-def sums_of(combined: DataFrame) -> DataFrame:
+#: Seconds of a long interval that are ordered together.
+PART_SECONDS = 21_600
+
+
+def sums_of(combined: DataFrame, part_seconds: int | None = None) -> DataFrame:
     """Sums, authors and gaps per (video, window) of ``combined`` rows."""
     authors = _author_counts(combined).select(F.col("video_id").alias("_v"), F.col("_w").alias("_aw"), "unique_authors")
-    return _sums(combined).join(authors, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_aw"))) \
+    return _sums(combined, part_seconds).join(authors, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_aw"))) \
         .drop("_v", "_aw")
 
 
-def _windows(timed: DataFrame) -> DataFrame:
-    return sums_of(combined(timed))
+def _windows(timed: DataFrame, part_seconds: int | None = None) -> DataFrame:
+    return sums_of(combined(timed), part_seconds)
 
 
 def finish_measures(df: DataFrame, prev_last: Column | None) -> DataFrame:
@@ -141,27 +162,35 @@ def with_gaps(comments: DataFrame, gap_scope: str = _VIDEO_SCOPE,
     the first. Among comments of one second the smallest ``comment_id`` takes
     the gap from the previous second and the others get 0.
 
-    Ordered per (video, window); for the video scope the first comment of a
+    Only distinct seconds are put in order, per (video, window), with the least id of
+    each; comments meet them by (video, second), a join that a hot video, window or
+    second does not gather in one task. For the video scope the first second of a
     window takes its gap from the window table (last seconds only)."""
     if gap_scope not in (_VIDEO_SCOPE, _WINDOW_SCOPE):
         raise ValueError(f"gap_scope must be 'video' or 'window', not {gap_scope!r}")
     sec = F.unix_seconds(F.col("published_at"))
-    timed = comments.withColumn("_sec", sec).withColumn("_w", window_label(F.col("_sec"), params.window_seconds))
-    order = Window.partitionBy("video_id", "_w").orderBy("_sec", "comment_id")
-    out = timed.withColumn("gap", F.col("_sec") - F.lag("_sec").over(order))
+    seconds = comments.select("video_id", sec.alias("_s"), "comment_id").groupBy("video_id", "_s").agg(
+        F.min("comment_id").alias("_first_id")).withColumn("_w", window_label(F.col("_s"), params.window_seconds))
+    before = F.lag("_s").over(Window.partitionBy("video_id", "_w").orderBy("_s"))
+    ordered = seconds.withColumn("_prev", before)
     if gap_scope == _VIDEO_SCOPE:
-        edges = timed.groupBy("video_id", "_w").agg(F.max("_sec").alias("_last")).select(
-            F.col("video_id").alias("_v"), F.col("_w").alias("_ew"),
+        edges = seconds.groupBy("video_id", "_w").agg(F.max("_s").alias("_last")).select(
+            F.col("video_id").alias("_ev"), F.col("_w").alias("_ew"),
             F.lag("_last").over(Window.partitionBy("video_id").orderBy("_w")).alias("_prev_last"))
-        out = (out.join(edges, F.col("video_id").eqNullSafe(F.col("_v")) & (F.col("_w") == F.col("_ew")))
-               .withColumn("gap", F.coalesce("gap", F.col("_sec") - F.col("_prev_last")))
-               .drop("_v", "_ew", "_prev_last"))
-    return out.drop("_w", "_sec")
+        ordered = ordered.join(edges, F.col("video_id").eqNullSafe(F.col("_ev")) & F.col("_w").eqNullSafe(F.col("_ew"))) \
+            .withColumn("_prev", F.coalesce("_prev", "_prev_last"))
+    found = ordered.select(F.col("video_id").alias("_v"), "_s", "_first_id", "_prev")
+    out = comments.withColumn("_sec", sec).join(
+        found, F.col("video_id").eqNullSafe(F.col("_v")) & F.col("_sec").eqNullSafe(F.col("_s")))
+    is_first = F.col("comment_id").eqNullSafe(F.col("_first_id"))
+    return out.withColumn("gap", F.when(is_first, F.col("_sec") - F.col("_prev")).otherwise(F.lit(0).cast("long"))) \
+        .drop("_sec", "_v", "_s", "_first_id", "_prev")
 
 
 def window_metrics_between(comments: DataFrame, start, end, videos=None) -> DataFrame:
     """Measures of one closed interval [start, end] per video, gaps inside the
-    interval only; a zero row for requested videos without comments.
+    interval only; a zero row for requested videos without comments. The seconds of a
+    long interval are ordered in parts of PART_SECONDS.
 
     ``start``/``end``: anything ``F.lit(...).cast('timestamp')`` accepts.
     ``videos``: a list of ids, a DataFrame with ``video_id``, or None for all
@@ -175,7 +204,7 @@ def window_metrics_between(comments: DataFrame, start, end, videos=None) -> Data
         F.length(F.col("text")).alias("text_len"),
         F.unix_seconds(F.col("published_at")).alias("_sec"),
     ).withColumn("_w", F.unix_seconds(lo))
-    found = _windows(timed).withColumn("window_start", F.timestamp_seconds(F.col("_w")))
+    found = _windows(timed, PART_SECONDS).withColumn("window_start", F.timestamp_seconds(F.col("_w")))
     metrics = finish_measures(found, None).drop("_last")
     if videos is None:
         wanted = comments.select("video_id").distinct()

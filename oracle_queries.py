@@ -804,3 +804,11 @@ SELECT t.comment_id, t.video_id, t.author_id, t.text, make_timestamp(t.sec * 100
 
 #: Comments that come late: an hour of all videos, and two days of one.
 LATE_HOUR, LATE_DAYS, LATE_VIDEO = ("2024-01-10 03:00:00", "2024-01-10 04:00:00"), ("2024-01-15 00:00:00", "2024-01-17 00:00:00"), "click"
+
+
+def q_model_sentiment() -> str:
+    """The stand-in model: POSITIVE if the text has an even number of characters; the score
+    follows from that number."""
+    blank = f"regexp_replace(coalesce(text, ''), '{BLANKS}+', '', 'g') = ''"
+    v = "CASE WHEN length(text) % 2 = 0 THEN 0.5::DOUBLE + (length(text) % 50)::DOUBLE / 100 ELSE 1 - (0.5::DOUBLE + (length(text) % 50)::DOUBLE / 100) END"
+    return f"""SELECT doc_id, {_single(f"CASE WHEN {blank} THEN 0::DOUBLE ELSE ({v} - 0.5) * 2 END")} AS sentiment FROM documents"""

@@ -105,3 +105,50 @@ def test_hot_group_mean_cosine_matches_all_pairs(spark):
         cos = u @ u.T
         want = (cos.sum() - np.trace(cos)) / (n * (n - 1))
         assert out[g] == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_gaps_of_one_hot_video_are_split(spark):
+    """A video of a whole year: no task of the ordered seconds holds much more than its
+    share, and gaps equal those of a plain walk."""
+    from pyspark.sql import functions as F
+
+    from burstwatch.operators import window_metrics_between, with_gaps
+    from burstwatch.schemas import COMMENTS
+
+    year = spark.range(40_000).select(
+        F.col("id").cast("string").alias("comment_id"), F.lit("v").alias("video_id"), F.lit("a").alias("author_id"),
+        F.lit("t").alias("text"), F.lit(0.0).alias("sentiment"),
+        F.timestamp_seconds(F.pmod(F.col("id") * 7919, F.lit(365 * 864)) * 100).alias("published_at"),
+        F.lit("2024-01-01").cast("timestamp").alias("fetched_at")).select(*COMMENTS.names)
+    rows = sorted((r.s, r.comment_id) for r in year.select(F.unix_seconds("published_at").alias("s"), "comment_id").collect())
+    want = {c: (s - rows[k - 1][0] if k else None) for k, (s, c) in enumerate(rows)}
+    got = {r.comment_id: r.gap for r in with_gaps(year).collect()}
+    assert got == want
+    m = window_metrics_between(year, "1970-01-01", "1971-01-01").first()
+    gaps = [g for g in want.values() if g is not None]
+    mean = sum(gaps) / len(gaps)
+    assert m.total_comments == 40_000 and abs(m.avg_gap - mean) < 1e-9
+    assert abs(m.gap_variance - (sum(g * g for g in gaps) / len(gaps) - mean * mean)) < 1e-3
+    plan = window_metrics_between(year, "1970-01-01", "1971-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in plan  # seconds are ordered per part of the interval
+
+
+def test_model_batches_hold_texts_of_about_one_length(spark):
+    from pyspark.sql import functions as F
+
+    from burstwatch.operators.sentiment import by_length, model_scorer, with_sentiment
+
+    df = spark.range(4_000).select("id", F.expr("repeat('x', CAST(pmod(id * 7919, 997) AS int))").alias("text")).repartition(4)
+
+    def padding(some):
+        lengths = [len(r.text) for r in some.collect()]
+        batches = [lengths[k:k + 32] for k in range(0, len(lengths), 32)]
+        return sum(max(b) * len(b) - sum(b) for b in batches) / sum(lengths)
+
+    assert padding(by_length(df, partitions=4)) < 0.05 < 0.5 < padding(df)
+
+    def make():
+        return lambda texts: [{"label": "POSITIVE", "score": (len(t) % 50) / 100 + 0.5} for t in texts]
+
+    one, two = (with_sentiment(df, scorer=model_scorer(make), length_batches=b).select("id", "sentiment") for b in (False, True))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
