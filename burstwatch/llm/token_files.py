@@ -1,10 +1,10 @@
 """Token files: identifiers of whole documents, coded by a static range
 asymmetric numeral system.
 
-One frequency table, counted over all documents and scaled to 2^16 slots, is
+One frequency table, counted over all documents and scaled to 2^20 slots, is
 shared by independent blocks of whole documents. The tokens of a block are dealt
-round-robin to lanes of at most LANE_TOKENS tokens; each lane has its own 32-bit
-state and 16-bit words, so lanes of many blocks are coded together, step by
+round-robin to lanes of at most LANE_TOKENS tokens; each lane has its own 64-bit
+state and 32-bit words, so lanes of many blocks are coded together, step by
 step, as arrays. A block stores, per lane, a checkpoint (final state and number
 of words) from which that lane can be decoded alone, and the CRC-32 of its
 identifiers.
@@ -32,30 +32,41 @@ LANE_TOKENS = 512
 BLOCK_TOKENS = 32_768
 #: Tokens whose blocks are coded together in a task.
 GROUP_TOKENS = 1_000_000
-BITS = 16
-LOW = 1 << 16
+#: Slots of the frequency table (2^BITS): twenty times the identifiers of a vocabulary,
+#: so that rare ones, which have a slot each, take little from the others. States are at
+#: least LOW, which leaves at most one word to be written for a token.
+BITS = 20
+LOW = 1 << 32
 
 
 # ------------------------------------------------------------------ the coder
 
 def scaled(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Slots (summing to 2^16, at least 1 each) of the identifiers that occur."""
+    """Slots (summing to 2^BITS, at least 1 each) of the identifiers that occur: those
+    whose share is below a slot get one, the others what is left in proportion, by largest
+    remainders (ties: the smaller identifier). More identifiers than slots are an error."""
     if len(ids) > 1 << BITS:
         raise ValueError("more distinct identifiers than slots")
-    slots = np.maximum(1, np.floor(counts * float(1 << BITS) / counts.sum())).astype(np.int64)
-    order = np.lexsort((ids, -counts))
-    rest = (1 << BITS) - int(slots.sum())
-    while rest:  # what flooring left goes to the frequent ones; what the floor of 1 took comes from them
-        take = order if rest > 0 else order[slots[order] > 1]
-        step = take[:abs(rest)]
-        slots[step] += 1 if rest > 0 else -1
-        rest = (1 << BITS) - int(slots.sum())
+    counts = np.asarray(counts, np.float64)
+    slots, large = np.ones(len(ids), np.int64), np.ones(len(ids), bool)
+    while large.any():
+        rest = (1 << BITS) - int((~large).sum())
+        share = counts * (rest / counts[large].sum())
+        small = large & (share < 1)
+        if not small.any():
+            floor = np.floor(share[large]).astype(np.int64)
+            where = np.flatnonzero(large)
+            order = np.lexsort((ids[where], floor - share[large]))
+            floor[order[:rest - int(floor.sum())]] += 1
+            slots[where] = floor
+            break
+        large &= ~small
     return slots
 
 
 class Coder:
     """Codes blocks with one table of (identifier, slots). The symbol after the last
-    has all 2^16 slots: coding it changes no state, so short lanes are filled with it."""
+    has all slots: coding it changes no state, so short lanes are filled with it."""
 
     def __init__(self, ids: np.ndarray, slots: np.ndarray):
         order = np.argsort(ids, kind="stable")
@@ -63,7 +74,7 @@ class Coder:
         self.freq = np.append(slots, np.uint64(1 << BITS))
         self.base = np.append(np.concatenate(([0], np.cumsum(slots)[:-1])), 0).astype(np.uint64) \
             if len(slots) else np.zeros(1, np.uint64)
-        self.symbol = np.repeat(np.arange(len(slots)), slots.astype(np.int64))
+        self.symbol = np.repeat(np.arange(len(slots), dtype=np.int32), slots.astype(np.int64))
         self.index = np.full(int(self.ids.max(initial=-1)) + 1, -1, np.int64)
         self.index[self.ids] = np.arange(len(self.ids))
 
@@ -84,22 +95,22 @@ class Coder:
             grid[:s, at:at + m] = cells.reshape(s, m)
             at += m
         x = np.full(width, LOW, np.uint64)
-        out = np.zeros((steps, width), np.uint16)
+        out = np.zeros((steps, width), np.uint32)
         full = np.zeros((steps, width), bool)
-        sixteen = np.uint64(16)
+        word, bits, top = np.uint64(32), np.uint64(BITS), np.uint64(64 - BITS)
         for s in range(steps - 1, -1, -1):
             f, c = self.freq[grid[s]], self.base[grid[s]]
-            emit = x >= (f << sixteen)
-            out[s], full[s] = x, emit  # the low 16 bits
-            x = np.where(emit, x >> sixteen, x)
+            emit = (x >> top) >= f
+            out[s], full[s] = x & np.uint64(0xFFFFFFFF), emit
+            x = np.where(emit, x >> word, x)
             q = x // f
-            x = (q << sixteen) + (x - q * f) + c
+            x = (q << bits) + (x - q * f) + c
         words, kept = np.ascontiguousarray(out.T), np.ascontiguousarray(full.T)
         made, at = [], 0
         for m, _ in shapes:
             k, w = kept[at:at + m], words[at:at + m]
-            check = np.stack([x[at:at + m].astype("<u4"), k.sum(axis=1).astype("<u4")])
-            made.append((check.tobytes(), w[k].astype("<u2").tobytes()))
+            check = x[at:at + m].astype("<u8").tobytes() + k.sum(axis=1).astype("<u4").tobytes()
+            made.append((check, w[k].astype("<u4").tobytes()))
             at += m
         return made
 
@@ -107,28 +118,27 @@ class Coder:
         """Identifiers of blocks given as (n_tokens, checkpoints, words)."""
         shapes = [self._lanes(n) for n, _, _ in coded]
         steps = max((s for _, s in shapes), default=0)
-        checks = [np.frombuffer(c, "<u4").reshape(2, -1) for _, c, _ in coded]
-        if not checks:
+        if not coded:
             return []
-        x = np.concatenate([c[0] for c in checks]).astype(np.uint64)
-        lengths = np.concatenate([c[1] for c in checks]).astype(np.int64)
-        words = np.concatenate([np.frombuffer(w, "<u2") for _, _, w in coded] + [np.zeros(1, "<u2")]).astype(np.uint64)
+        x = np.concatenate([np.frombuffer(c, "<u8", len(c) // 12) for _, c, _ in coded]).astype(np.uint64)
+        lengths = np.concatenate([np.frombuffer(c, "<u4", offset=len(c) // 12 * 8) for _, c, _ in coded]).astype(np.int64)
+        words = np.concatenate([np.frombuffer(w, "<u4") for _, _, w in coded] + [np.zeros(1, "<u4")]).astype(np.uint64)
         at = np.cumsum(lengths) - lengths
         ends = np.concatenate([np.where(np.arange(m) < n - m * (s - 1), s, s - 1)
                                for (n, _, _), (m, s) in zip(coded, shapes)])  # steps of each lane
         grid = np.zeros((steps, len(x)), np.int32)
-        sixteen, low = np.uint64(16), np.uint64(LOW)
-        mask = np.uint64(LOW - 1)
+        word, bits, low = np.uint64(32), np.uint64(BITS), np.uint64(LOW)
+        mask = np.uint64((1 << BITS) - 1)
         even = int(ends.min(initial=0))
         for s in range(steps):
             slot = x & mask
             sym = self.symbol[slot]
-            new = self.freq[sym] * (x >> sixteen) + slot - self.base[sym]
+            new = self.freq[sym] * (x >> bits) + slot - self.base[sym]
             if s >= even:  # lanes that have ended keep their state
                 live = ends > s
                 new = np.where(live, new, x)
             need = new < low
-            x = np.where(need, (new << sixteen) | words[np.minimum(at, len(words) - 1)], new)
+            x = np.where(need, (new << word) | words[np.minimum(at, len(words) - 1)], new)
             at += need
             grid[s] = sym
         made, col = [], 0

@@ -42,10 +42,21 @@ def test_size_is_near_the_entropy():
 
 def test_slots_cover_every_identifier():
     s = scaled(np.arange(60_000), np.append(np.full(59_999, 1), 10 ** 9))
-    assert s.sum() == 1 << 16 and s.min() >= 1
-    assert scaled(np.array([9]), np.array([3])).tolist() == [1 << 16]
+    assert s.sum() == 1 << 20 and s.min() >= 1
+    assert scaled(np.array([9]), np.array([3])).tolist() == [1 << 20]
+    assert scaled(np.arange(3), np.array([1, 1, 1])).tolist() == [349526, 349525, 349525]
+    assert len(scaled(np.zeros(0, np.int64), np.zeros(0))) == 0
     with pytest.raises(ValueError):
-        scaled(np.arange(70_000), np.ones(70_000))
+        scaled(np.arange((1 << 20) + 1), np.ones((1 << 20) + 1))
+
+
+def test_the_whole_vocabulary_stays_near_its_entropy():
+    """Every identifier of the vocabulary occurs, by a Zipf law with a thick tail."""
+    ids = np.arange(50_257)
+    counts = np.maximum(1, np.floor(10 ** 10 / (ids + 3.0)))
+    share = counts / counts.sum()
+    bits = -(share * np.log2(share)).sum()
+    assert -(share * np.log2(scaled(ids, counts) / 2.0 ** 20)).sum() < 1.02 * bits
 
 
 def test_identifiers_are_those_of_the_library():
