@@ -41,22 +41,24 @@ def blocks(text: bytes, limit: int = BLOCK_BYTES):
 def _windows(lang: str, runs: list, lengths: list, m: int) -> pa.RecordBatch:
     """Distinct padded windows of a chunk's words, with their counts."""
     words = pa.chunked_array(runs).unify_dictionaries()
-    ids = np.concatenate([c.indices.to_numpy() for c in words.chunks]).astype(np.int64)
+    ids = np.concatenate([c.indices.to_numpy() for c in words.chunks])
     vocabulary = words.chunk(0).dictionary
     pad, n = len(vocabulary), len(ids)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    at = np.arange(n)
+    left = np.repeat(np.cumsum(lengths).astype(np.int32), lengths) - np.arange(n, dtype=np.int32)  # in the piece
     lead = [ids]
     for k in range(1, m):
-        moved = np.full(n, pad, np.int64)
+        moved = np.full(n, pad, ids.dtype)
         moved[:n - k] = ids[k:] if k < n else ids[:0]
-        lead.append(np.where(at + k < ends, moved, pad))
-    key, top = lead[0], pad + 1
+        moved[left <= k] = pad
+        lead.append(moved)
+    del left
+    key, top = lead[0].astype(np.int64), pad + 1
     for column in lead[1:]:
         if top > (1 << 62) // (pad + 1):  # beyond 64 bits: number the prefixes anew
             key = np.unique(key, return_inverse=True)[1]
             top = int(key.max()) + 1
-        key, top = key * (pad + 1) + column, top * (pad + 1)
+        key, top = key * (pad + 1), top * (pad + 1)
+        key += column
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
     padded = pa.concat_arrays([vocabulary, pa.array([None], pa.binary())])
     columns = [padded.take(pa.array(c[first])) for c in lead]
@@ -179,7 +181,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     found = arrow_map(read, windows_kernel, "lang string, head string, tail string, n long",
                       max_words, chunk_words, block_bytes)
     counted = found.repartition("lang", "head").groupBy("lang", "head", "tail").agg(F.sum("n").alias("n"))
-    folded = _foldable(counted, columns, least).groupBy("lang", *columns).agg(F.sum("n").alias("n"))
+    folded = _foldable(counted, columns, least)
     level = F.col("level")
     # of each prefix length the prefixes that are not padded; Spark filters before it shuffles
     real = (level == (1 << max_words) - 1)
