@@ -169,8 +169,11 @@ def with_gaps(comments: DataFrame, gap_scope: str = _VIDEO_SCOPE,
     if gap_scope not in (_VIDEO_SCOPE, _WINDOW_SCOPE):
         raise ValueError(f"gap_scope must be 'video' or 'window', not {gap_scope!r}")
     sec = F.unix_seconds(F.col("published_at"))
-    seconds = comments.select("video_id", sec.alias("_s"), "comment_id").groupBy("video_id", "_s").agg(
-        F.min("comment_id").alias("_first_id")).withColumn("_w", window_label(F.col("_s"), params.window_seconds))
+    # the limit of one row a second applies before the shuffle
+    least = Window.partitionBy("video_id", "_s").orderBy("_first_id")
+    seconds = comments.select("video_id", sec.alias("_s"), F.col("comment_id").alias("_first_id")) \
+        .withColumn("_n", F.row_number().over(least)).where(F.col("_n") <= 1).drop("_n") \
+        .withColumn("_w", window_label(F.col("_s"), params.window_seconds))
     before = F.lag("_s").over(Window.partitionBy("video_id", "_w").orderBy("_s"))
     ordered = seconds.withColumn("_prev", before)
     if gap_scope == _VIDEO_SCOPE:
