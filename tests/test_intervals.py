@@ -66,3 +66,33 @@ def test_the_join_is_an_equi_join(spark):
 def test_no_intervals(spark):
     none = frame(spark, some_intervals()).limit(0)
     assert interval_metrics(comments(spark), none).count() == 0 and comments_of_intervals(comments(spark), none).count() == 0
+
+
+def test_overlaps_multiply_segments_not_comments(spark, monkeypatch):
+    from burstwatch.operators import intervals as I
+
+    rows = [(f"c{i:04}", "v1", f"a{i % 30}", "x", 0.5, at(i // 2), at(i // 2)) for i in range(4_000)]
+    c = spark.createDataFrame(rows, COMMENTS)
+    many = frame(spark, [(f"i{k}", "v1", 10 * k, 3_000) for k in range(20)])
+    met, join = [], I.interval_join
+
+    def counted(rows, *args):
+        met.append(rows.count())
+        return join(rows, *args)
+
+    monkeypatch.setattr(I, "interval_join", counted)
+    first = I.interval_timeline(c, many, limit=3).collect()
+    assert len(first) == 60 and {r.comment_id for r in first if r.interval_id == "i2"} == {"c0040", "c0041", "c0042"}
+    measured = {r.interval_id: r for r in I.interval_metrics(c, many).collect()}
+    assert all(measured[f"i{k}"].total_comments == 4_000 - 20 * k and measured[f"i{k}"].unique_authors == 30 for k in range(20))
+    assert len(met) == 3 and max(met) <= 100  # 20 segments
+
+
+def test_an_author_counts_once_in_each_interval(spark):
+    r = random.Random(7)
+    rows = [(f"c{i}", "v1", r.choice([None, "a", "b", "c", "d"]), "x", 0.5, at(s), at(s))
+            for i, s in enumerate(r.randint(0, 40_000) for _ in range(300))]
+    c = spark.createDataFrame(rows, T.StructType([T.StructField(f.name, f.dataType) for f in COMMENTS.fields]))
+    spans = [(f"i{k}", "v1", lo, lo + r.randint(0, 9_000)) for k, lo in enumerate(r.randint(0, 40_000) for _ in range(60))]
+    got = {x.interval_id: x.unique_authors for x in interval_metrics(c, frame(spark, spans)).collect()}
+    assert got == {i: len({x[2] for x in rows if at(a) <= x[5] <= at(b)} - {None}) for i, _, a, b in spans}
