@@ -115,3 +115,22 @@ def test_null_group_and_one_term_in_every_document(spark):
     assert top[None] == top["g"] and len(top[None]) == 2
     cut = [r.term for r in top_keywords(df, ["k"], "doc", "text", 9, max_df=0.95).where("k = 'hot'").collect()]
     assert sorted(cut) == [f"word{i}" for i in range(7)]
+
+
+def test_each_text_is_counted_and_sorted_once(spark):
+    from pyspark.sql import functions as F
+
+    from burstwatch.operators.sentiment import with_sentiment
+    from burstwatch.operators.text import term_counts
+
+    rows = [(1, "g", "good Good bad, goodness"), (2, "g", " 　\t"), (3, "g", None), (4, "g", "awful-best worst bad_")]
+    docs = spark.createDataFrame(rows, "doc_id long, k string, text string")
+    out = with_sentiment(docs, keep_prediction=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2 and "regexp_replace(" not in plan
+    got = {r.doc_id: (r.label, r.score, r.sentiment) for r in out.collect()}
+    assert got == {1: ("POSITIVE", 3 / 5, pytest.approx(0.2)), 2: (None, None, 0.0), 3: (None, None, 0.0),
+                   4: ("NEGATIVE", 3 / 5, pytest.approx(-0.2))}
+    terms = term_counts(docs, ["k"], "doc_id", "text")
+    assert "array_sort(" not in terms._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.term, r.tf) for r in terms.where(F.col("_doc") == 1).collect()} == {("good", 2), ("bad", 1), ("goodness", 1)}
