@@ -151,3 +151,19 @@ def test_windows_between_polls(spark, tmp_path, with_history):
     assert want and [r[:7] for r in windows(got)] == sorted(want)
     scores = [r.coordination_score for r in got.collect()]
     assert sum(s is not None for s in scores) == (7 if with_history else 1)
+
+
+def test_polls_of_the_query_land_in_many_files(spark, tmp_path, monkeypatch):
+    """Each poll's pages are written by as many tasks as made them; three polls remain."""
+    import __spark_entry__ as entry
+
+    key, root = "spark.sql.adaptive.coalescePartitions.enabled", tmp_path / "root"
+    monkeypatch.setattr(entry, "_table_root", lambda *_: str(root))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        assert entry.queries()["poll_windows"](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((root / "landed").glob("part-*"))) > 3
+    assert {p.name for p in (root / "tables/polls").iterdir()} == {"-1", "0", "1", "2"}
