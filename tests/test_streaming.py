@@ -178,3 +178,18 @@ def test_live_alerts_equal_batch_alerts(spark, tmp_path):
     live = read_alerts(spark, str(tmp_path / "a"))
     assert sorted(live.select(*cols).collect()) == sorted(batch.select(*cols).collect())
     assert live.where("gap_var_z IS NULL").count() == 0 < live.count()
+
+
+def test_state_rows_are_not_counted_unless_chosen(spark):
+    from burstwatch.streaming.pipeline import ROCKSDB_COUNT, use_rocksdb_state
+
+    before = spark.conf.get(ROCKSDB_COUNT, None)
+    try:
+        spark.conf.unset(ROCKSDB_COUNT)
+        use_rocksdb_state(spark)
+        assert spark.conf.get(ROCKSDB_COUNT) == "false"
+        spark.conf.set(ROCKSDB_COUNT, "true")
+        use_rocksdb_state(spark)
+        assert spark.conf.get(ROCKSDB_COUNT) == "true"
+    finally:
+        spark.conf.unset(ROCKSDB_COUNT) if before is None else spark.conf.set(ROCKSDB_COUNT, before)
