@@ -191,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, fe
     picked = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(toxic_col).cast("int").alias("toxic"))
               .dropna().groupBy("id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("id"), "id").limit(sample_docs))
-    picked = spark.createDataFrame(picked.toPandas(), picked.schema).where("toxic IS NOT NULL")
+    picked = spark.createDataFrame(picked.toArrow(), picked.schema).where("toxic IS NOT NULL")
     sample = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
         .join(F.broadcast(picked), "id").where("text IS NOT NULL").select("text", (F.col("toxic") > 0).alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}

@@ -77,3 +77,18 @@ def test_filters_keep_columns_of_any_name(spark):
         got = out.collect()
         assert got and all(r._text == r.doc_id == r._gone for r in got)
     assert toxicity.severity(odd, model).count() == language_id.identify(odd, models).count() == 40
+
+
+def test_small_tables_of_the_models_start_no_other_workers(spark, monkeypatch):
+    """Rows or pandas frames would be read by Python workers of a second kind, which each
+    executor keeps beside those of the kernels; Arrow tables stay in the JVM."""
+    import pyarrow as pa
+
+    from burstwatch.llm import language_id, toxicity
+
+    given, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: given.append(data) or make(self, data, *a, **k))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert language_id.learn(docs).langs
+    toxicity.learn(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    assert given and all(isinstance(x, pa.Table) for x in given)
