@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,34 @@ def test_shares_are_exact_beyond_64_bits(spark):
     rows = [(3 * 10**15, 10**16 + 1, 10**6), (0, 0, 0), (5, 7, 2)]
     got = spark.createDataFrame(rows, "c long, n long, v long").select(A._share(F.col("c"), F.col("n"), F.col("v"))).collect()
     assert [r[0] for r in got] == [1 + 10**9 * (c + 1) // max(1, n + v) for c, n, v in rows]
+
+
+@pytest.mark.parametrize("held", [0, 20, 10**6])
+def test_a_term_is_handed_on_once_for_all_sources(held):
+    """The shuffle carries a row per (lang, term) of a task, not one per source too."""
+    rows = rows_of_chance(4) + [(None, None, "w\xa0x \x00 \u65e5\u672cz")]
+    table = pa.table([pa.array([r[i] or "" if i < 2 else r[i] for r in rows], pa.string()) for i in range(3)],
+                     names=["lang", "source", "text"])
+    batches = [b.slice(1) if i == 1 else b for i, b in enumerate(table.to_batches(max_chunksize=25))]
+    rows.pop(25)  # the row that the slice leaves out
+    got = [r for b in A.term_counts_kernel(batches, held) for r in b.to_pylist()]
+    n, docs = Counter(), Counter()
+    for r in got:
+        assert len({f["source"] for f in r["found"]}) == len(r["found"])
+        for f in r["found"]:
+            n[r["lang"], f["source"], r["term"]] += f["n"]
+            docs[r["lang"], f["source"], r["term"]] += f["docs"]
+    want, want_docs = Counter(), Counter()
+    for lang, source, text in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").encode().lower().decode())
+        want.update((lang or "", source or "", t) for t in terms)
+        want_docs.update((lang or "", source or "", t) for t in set(terms))
+    assert n == want and docs == want_docs
+    if held == 10**6:
+        assert len(got) == len({(lang, term) for lang, _, term in want})
+
+
+def test_rows_without_a_term_hand_on_nothing():
+    batch = pa.record_batch([pa.array(["en", "en"]), pa.array(["a", "b"]), pa.array([None, "1 - 2"], pa.string())],
+                            names=["lang", "source", "text"])
+    assert [*A.term_counts_kernel([batch, batch.slice(0, 0)], 0)] == []
